@@ -170,3 +170,140 @@ ORDER BY reviews DESC NULLS LAST, city ASC NULLS LAST, state ASC NULLS LAST LIMI
 def city_metrics_filtered(spark, d):
     """P17 then A16: a dashboard filter on review stars reaches the fact scan."""
     return A.a16_city_metrics(A.apply_filters(ar(spark, d), {"stars": [4, 5]}))
+
+
+# ---- data quality (D1-D3, A32, A33, U3) ----------------------------------------------
+
+from sparkplate.operators import quality as Q  # noqa: E402
+
+query("check_unique_order_line", """SELECT key, count(*) AS n FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key FROM lineitem)
+WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1""")(
+    lambda s, d: Q.check_unique(analogs.table(s, d, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key")), "key"))
+query("check_unique_user_id", with_views(
+    "SELECT user_id, count(*) AS n FROM dim_user WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1",
+    "dim_user"))(lambda s, d: Q.check_unique(du(s, d), "user_id"))
+query("check_unique_restaurant_id", with_views(
+    "SELECT restaurant_id, count(*) AS n FROM dim_restaurant WHERE restaurant_id IS NOT NULL "
+    "GROUP BY restaurant_id HAVING count(*) > 1", "dim_restaurant"))(
+    lambda s, d: Q.check_unique(dr(s, d), "restaurant_id"))
+query("check_not_null_user_id", with_views("SELECT * FROM dim_user WHERE user_id IS NULL", "dim_user"))(
+    lambda s, d: Q.check_not_null(du(s, d), "user_id"))
+query("check_not_null_restaurant_id", with_views(
+    "SELECT * FROM dim_restaurant WHERE restaurant_id IS NULL", "dim_restaurant"))(
+    lambda s, d: flat_hours(Q.check_not_null(dr(s, d), "restaurant_id")))
+query("check_not_null_user_name", with_views(
+    "SELECT * FROM analyses_review WHERE user_name IS NULL", "analyses_review"))(
+    lambda s, d: flat_hours(Q.check_not_null(ar(s, d), "user_name")))
+
+DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+                 "pages benchmark labels conversations").split()
+query("table_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in DRIVER_TABLES))(
+    lambda s, d: Q.table_counts({t: analogs.table(s, d, t) for t in DRIVER_TABLES}))
+query("review_row_count", with_views("SELECT count(*) AS row_count FROM fact_review", "fact_review"))(
+    lambda s, d: Q.row_count(fr(s, d)))
+
+
+# ---- ids and transforms (M1, J1-J3, P5, A27) -------------------------------------------
+
+from sparkplate.operators import ids as I  # noqa: E402
+from sparkplate.operators import lookup as L  # noqa: E402
+from sparkplate.operators import scoring as S  # noqa: E402
+from sparkplate.plans.sqlviews import register  # noqa: E402
+
+register("restaurant_transform", """SELECT r.*, i.businessid FROM an_restaurant r JOIN (
+  SELECT business_id, CAST(row_number() OVER (ORDER BY business_id ASC NULLS FIRST) AS INTEGER) AS businessid
+  FROM (SELECT DISTINCT business_id FROM an_restaurant)) i USING (business_id)""", ["an_restaurant"])
+register("user_account", """SELECT u.user_id, u.name, u.friends, i.userid,
+  lower(replace(u.name, ' ', '')) AS account_name
+FROM an_user u JOIN (
+  SELECT user_id, CAST(row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS INTEGER) AS userid
+  FROM (SELECT DISTINCT user_id FROM an_user)) i USING (user_id)""", ["an_user"])
+register("encoded_ratings", """SELECT r.business_id, r.user_id, r.stars, r.date, u.userid, b.businessid
+FROM (SELECT business_id, user_id, stars, date FROM an_review) r
+JOIN (SELECT user_id, CAST(row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS INTEGER) AS userid
+      FROM (SELECT DISTINCT user_id FROM an_review)) u USING (user_id)
+JOIN (SELECT business_id, CAST(row_number() OVER (ORDER BY business_id ASC NULLS FIRST) AS INTEGER) AS businessid
+      FROM (SELECT DISTINCT business_id FROM an_review)) b USING (business_id)""", ["an_review"])
+
+
+def restaurant_tf(s, d):
+    return I.restaurant_transform(analogs.an_restaurant(s, d))
+
+
+def ratings(s, d):
+    return I.encode_ratings(review_features(analogs.an_review(s, d)))
+
+
+query("restaurant_transform", with_views("SELECT * FROM restaurant_transform", "restaurant_transform"))(
+    lambda s, d: flat_hours(restaurant_tf(s, d)))
+query("user_account", with_views("SELECT * FROM user_account", "user_account"))(
+    lambda s, d: I.user_account(analogs.an_user(s, d)))
+query("encode_ratings", with_views("SELECT * FROM encoded_ratings", "encoded_ratings"))(ratings)
+query("encode_ids_user", with_views(
+    "SELECT user_id, CAST(row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS INTEGER) AS userid "
+    "FROM (SELECT DISTINCT user_id FROM an_review)", "an_review"))(
+    lambda s, d: I.encode_ids(analogs.an_review(s, d), "user_id", "userid"))
+
+
+# ---- look-ups (P10-P12, U4, J8, P15) -------------------------------------------------
+
+query("lookup_account", with_views("""SELECT account_name, name, userid FROM (
+  SELECT account_name, name, userid, row_number() OVER (PARTITION BY account_name ORDER BY userid) AS rn
+  FROM user_account) WHERE rn = 1""", "user_account"))(
+    lambda s, d: L.lookup((acc := I.user_account(analogs.an_user(s, d))), "account_name",
+                          acc.select("account_name"), ["name", "userid"], "userid"))
+query("lookup_business", with_views("""SELECT businessid, business_id, name FROM (
+  SELECT businessid, business_id, name, row_number() OVER (PARTITION BY businessid ORDER BY business_id) AS rn
+  FROM restaurant_transform WHERE businessid IN (SELECT businessid FROM encoded_ratings)) WHERE rn = 1""",
+    "restaurant_transform", "encoded_ratings"))(
+    lambda s, d: L.lookup(restaurant_tf(s, d), "businessid", ratings(s, d).select("businessid"),
+                          ["business_id", "name"], "business_id"))
+
+ITEM_NAME = "small ring"  # a title picked by the user (parameter of P11/M10)
+query("read_item", with_views(f"""SELECT * FROM an_restaurant WHERE name = '{ITEM_NAME}'
+ORDER BY business_id LIMIT 1""", "an_restaurant"))(
+    lambda s, d: flat_hours(L.read_item(analogs.an_restaurant(s, d), ITEM_NAME)))
+query("first_per_name", with_views("""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY business_id) AS rn FROM an_restaurant) WHERE rn = 1""",
+    "an_restaurant"))(
+    lambda s, d: flat_hours(L.first_per(analogs.an_restaurant(s, d), "name", "business_id")))
+query("distinct_names", with_views("SELECT DISTINCT name FROM an_restaurant", "an_restaurant"))(
+    lambda s, d: L.distinct_values(analogs.an_restaurant(s, d), "name"))
+query("with_poster", with_views("""SELECT r.business_id, r.name,
+  coalesce('photos/' || p.photo_id || '.jpg', 'fallback.jpg') AS poster
+FROM an_restaurant r LEFT JOIN (SELECT business_id, min(photo_id) AS photo_id FROM an_photos GROUP BY business_id) p
+USING (business_id)""", "an_restaurant", "an_photos"))(
+    lambda s, d: L.with_poster(analogs.an_restaurant(s, d).select("business_id", "name"),
+                               analogs.an_photos(s, d)))
+
+
+# ---- score-based list (M8, M11, P15) -------------------------------------------------
+
+register("weighted", f"""SELECT *, {round_sql("(CAST(review_count AS DOUBLE) / (review_count + m)) * stars"
+                                              " + (m / (review_count + m)) * c", 6)} AS score
+FROM restaurant_transform, (SELECT avg(stars) AS c, CAST(quantile_cont(review_count, 0.7) AS DOUBLE) AS m
+                            FROM restaurant_transform) st
+WHERE review_count >= m""", ["restaurant_transform"])
+
+
+def scored(s, d):
+    out = S.weighted_rating(restaurant_tf(s, d))
+    return out.withColumn("score", round_half_up(F.col("score"), 6))
+
+
+from sparkplate.functions.numeric import round_half_up  # noqa: E402
+
+query("weighted_rating", with_views(
+    "SELECT business_id, businessid, name, stars, review_count, is_open, score FROM weighted", "weighted"))(
+    lambda s, d: scored(s, d).select("business_id", "businessid", "name", "stars", "review_count",
+                                     "is_open", "score"))
+query("top_scored", with_views("""SELECT business_id, name, score FROM weighted
+ORDER BY score DESC, review_count DESC, business_id LIMIT 5""", "weighted"))(
+    lambda s, d: S.top_scored(scored(s, d)))
+query("detail_card", with_views(f"""SELECT business_id, name,
+  CASE WHEN is_open = 1 THEN 'Opening' ELSE 'Closed' END AS status,
+  {round_sql('score', 2)} AS score_card, {round_sql('score', 3)} AS score_list FROM weighted""", "weighted"))(
+    lambda s, d: L.detail_card(scored(s, d)))
