@@ -307,3 +307,97 @@ query("detail_card", with_views(f"""SELECT business_id, name,
   CASE WHEN is_open = 1 THEN 'Opening' ELSE 'Closed' END AS status,
   {round_sql('score', 2)} AS score_card, {round_sql('score', 3)} AS score_list FROM weighted""", "weighted"))(
     lambda s, d: L.detail_card(scored(s, d)))
+
+
+# ---- content-based (P9, M9, M10) -----------------------------------------------------
+
+from sparkplate.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, text_features  # noqa: E402
+from sparkplate.operators import content as C  # noqa: E402
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
+
+
+def _tfidf_sql(source: str, max_features: int = 5000) -> str:
+    """TF-IDF in SQL over ``source(business_id, text_features)``."""
+    return f"""SELECT business_id, term, {round_sql('w / sqrt(sum(w * w) OVER (PARTITION BY business_id))', 6)} AS weight
+FROM (
+  SELECT t.business_id, t.term, t.tf * (ln((1.0 + (SELECT count(*) FROM {source})) / (v.dfreq + 1)) + 1) AS w
+  FROM (SELECT business_id, term, count(*) AS tf FROM (
+          SELECT business_id, unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term
+          FROM {source}) WHERE term NOT IN ({_STOP_SQL}) GROUP BY business_id, term) t
+  JOIN (SELECT term, count(*) AS dfreq FROM (
+          SELECT business_id, term FROM (
+            SELECT business_id, unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term
+            FROM {source}) WHERE term NOT IN ({_STOP_SQL}) GROUP BY business_id, term)
+        GROUP BY term
+        HAVING term IN (SELECT term FROM (
+          SELECT unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term FROM {source})
+          WHERE term NOT IN ({_STOP_SQL}) GROUP BY term ORDER BY count(*) DESC, term LIMIT {max_features})) v
+  USING (term))"""
+
+
+register("part_text", """SELECT business_id, name, coalesce(categories, '') || ' ' || coalesce(name, '') AS text_features
+FROM restaurant_transform""", ["restaurant_transform"])
+register("corpus_text", "SELECT business_id, name, coalesce(categories, '') AS text_features FROM an_corpus",
+         ["an_corpus"])
+register("part_tfidf", _tfidf_sql("part_text"), ["part_text"])
+register("corpus_tfidf", _tfidf_sql("corpus_text"), ["corpus_text"])
+
+
+def part_items(s, d):
+    """The reference's item frame (business_id, name, categories) with its feature text."""
+    return text_features(restaurant_tf(s, d).select("business_id", "name", "categories"))
+
+
+def corpus_items(s, d):
+    return text_features(analogs.an_corpus(s, d), ["categories"])
+
+
+def rounded(df: DataFrame, col: str = "weight") -> DataFrame:
+    return df.withColumn(col, round_half_up(F.col(col), 6))
+
+
+query("text_features", with_views("SELECT * FROM part_text", "part_text"))(
+    lambda s, d: part_items(s, d).select("business_id", "name", "text_features"))
+query("tfidf_part", with_views("SELECT * FROM part_tfidf", "part_tfidf"))(
+    lambda s, d: rounded(C.tfidf(part_items(s, d))))
+query("tfidf_documents", with_views("SELECT * FROM corpus_tfidf", "corpus_tfidf"))(
+    lambda s, d: rounded(C.tfidf(corpus_items(s, d))))
+
+PART_TITLES = ["small ring", "red widget"]
+DOC_TITLES = ["src3", "src7"]
+
+
+def _similar_sql(items: str, vec: str, titles: list[str], k: int = 5) -> str:
+    tl = ", ".join(f"'{t}'" for t in titles)
+    return f"""WITH sel AS (
+  SELECT business_id FROM (SELECT business_id, row_number() OVER (PARTITION BY name ORDER BY business_id) AS rn
+                           FROM {items} WHERE name IN ({tl})) WHERE rn = 1),
+dots AS (
+  SELECT c.business_id, max(d) AS score FROM (
+    SELECT a.business_id, b.business_id AS sel, sum(a.weight * b.weight) AS d
+    FROM {vec} a JOIN {vec} b ON a.term = b.term
+    WHERE b.business_id IN (SELECT business_id FROM sel)
+    GROUP BY a.business_id, b.business_id) c GROUP BY c.business_id)
+SELECT i.business_id, i.name, CASE WHEN dots.score > 0 THEN {round_sql('dots.score', 6)} ELSE 0.0 END AS score
+FROM {items} i LEFT JOIN dots USING (business_id)
+WHERE i.business_id NOT IN (SELECT business_id FROM sel) AND EXISTS (SELECT 1 FROM sel)
+ORDER BY score DESC, i.business_id LIMIT {k}"""
+
+
+register("part_tfidf_raw", _tfidf_sql("part_text").replace(
+    round_sql('w / sqrt(sum(w * w) OVER (PARTITION BY business_id))', 6),
+    'w / sqrt(sum(w * w) OVER (PARTITION BY business_id))'), ["part_text"])
+register("corpus_tfidf_raw", _tfidf_sql("corpus_text").replace(
+    round_sql('w / sqrt(sum(w * w) OVER (PARTITION BY business_id))', 6),
+    'w / sqrt(sum(w * w) OVER (PARTITION BY business_id))'), ["corpus_text"])
+
+query("similar_items_part", with_views(_similar_sql("part_text", "part_tfidf_raw", PART_TITLES),
+                                       "part_text", "part_tfidf_raw"))(
+    lambda s, d: C.similar_items(C.tfidf(items := part_items(s, d)), items, PART_TITLES))
+query("similar_items_documents", with_views(_similar_sql("corpus_text", "corpus_tfidf_raw", DOC_TITLES),
+                                            "corpus_text", "corpus_tfidf_raw"))(
+    lambda s, d: C.similar_items(C.tfidf(items := corpus_items(s, d)), items, DOC_TITLES))
+query("similar_items_unknown", with_views(_similar_sql("part_text", "part_tfidf_raw", ["no such title"]),
+                                          "part_text", "part_tfidf_raw"))(
+    lambda s, d: C.similar_items(C.tfidf(items := part_items(s, d)), items, ["no such title"]))

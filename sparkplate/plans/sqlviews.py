@@ -57,4 +57,6 @@ def with_views(body: str, *names: str) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0]}\n)" for n in order)
+    if body.lstrip().upper().startswith("WITH "):  # merge the body's own CTEs into one clause
+        return f"WITH {ctes},\n{body.lstrip()[5:]}"
     return f"WITH {ctes}\n{body}"
