@@ -9,8 +9,11 @@ moves every key into one task. Here the same numbers come from a distributed ran
    over those ``p`` rows, and broadcast them (size bound: one row per partition);
 4. number = offset of the partition + position + 1.
 
-Both uses of step 1 read one range shuffle (the exchange is reused), so the positions agree.
-The order must be total over the rows (the keys are distinct here).
+The tagged rows are written once to the shared checkpoint folder before steps 3-4: range
+bounds come from sampling, and a second evaluation of step 1 could sample different bounds,
+so counts and positions must come from one materialisation. The checkpoint also lets a
+lost executor re-read its rows instead of recomputing the ranking. The order must be total
+over the rows (the keys are distinct here).
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkplate.session import cut_lineage
+
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | position in partition
 
 
@@ -33,16 +38,17 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
                       num_partitions: int | None = None) -> DataFrame:
     """1-based ``row_number() OVER (ORDER BY order)`` without a single-partition exchange."""
     p = _num_partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_part", F.shiftright(F.col("_mid"), _POS_BITS))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-            .withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("int"))
-            .drop("_mid", "_part", "_pos", "_off"))
+    tagged = cut_lineage(
+        df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+        .withColumn("__rn_mid", F.monotonically_increasing_id())
+        .withColumn("__rn_part", F.shiftright(F.col("__rn_mid"), _POS_BITS))
+        .withColumn("__rn_idx", F.col("__rn_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+    sizes = tagged.groupBy("__rn_part").agg(F.count(F.lit(1)).alias("__rn_n"))
+    before = Window.orderBy("__rn_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__rn_part", F.coalesce(F.sum("__rn_n").over(before), F.lit(0)).alias("__rn_off"))
+    return (tagged.join(F.broadcast(offsets), "__rn_part")
+            .withColumn(out, (F.col("__rn_off") + F.col("__rn_idx") + 1).cast("int"))
+            .drop("__rn_mid", "__rn_part", "__rn_idx", "__rn_off"))
 
 
 def encode_ids(df: DataFrame, key: str, out: str, num_partitions: int | None = None) -> DataFrame:

@@ -401,3 +401,124 @@ query("similar_items_documents", with_views(_similar_sql("corpus_text", "corpus_
 query("similar_items_unknown", with_views(_similar_sql("part_text", "part_tfidf_raw", ["no such title"]),
                                           "part_text", "part_tfidf_raw"))(
     lambda s, d: C.similar_items(C.tfidf(items := part_items(s, d)), items, ["no such title"]))
+
+
+# ---- time split (M3) -----------------------------------------------------------------
+
+from sparkplate.operators import split as SP  # noqa: E402
+
+register("encoded_ratings_by_order", """SELECT r.business_id, r.user_id, r.stars, r.date, u.userid, b.businessid
+FROM (SELECT business_id, user_id, stars, date FROM an_review_by_order) r
+JOIN (SELECT user_id, CAST(row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS INTEGER) AS userid
+      FROM (SELECT DISTINCT user_id FROM an_review_by_order)) u USING (user_id)
+JOIN (SELECT business_id, CAST(row_number() OVER (ORDER BY business_id ASC NULLS FIRST) AS INTEGER) AS businessid
+      FROM (SELECT DISTINCT business_id FROM an_review_by_order)) b USING (business_id)""", ["an_review_by_order"])
+
+
+def _split_sql(src: str, part: str, ratio: str = "0.3", seed: int = 42, swap: float = 0.3) -> str:
+    cond = ("(pos > n + k) OR moved" if part == "train"
+            else "(pos <= n AND NOT moved) OR (pos > n AND pos <= n + k)")
+    return f"""WITH r AS (SELECT DISTINCT business_id, user_id, stars, date, userid, businessid FROM {src}),
+ranked AS (SELECT *, row_number() OVER (ORDER BY date DESC NULLS LAST, user_id ASC NULLS FIRST,
+                                        business_id ASC NULLS FIRST, stars ASC NULLS FIRST) AS pos FROM r),
+params AS (SELECT CAST(floor(count(*) * {ratio}) AS BIGINT) AS n FROM r),
+um AS (SELECT userid, max(pos) AS umax FROM ranked GROUP BY userid),
+flagged AS (
+  SELECT ranked.*, params.n,
+    (pos <= params.n AND umax <= params.n AND substr(md5(concat_ws('|', '{seed}', user_id, business_id, date,
+       CAST(stars AS VARCHAR))), 1, 2) < '{SP.swap_threshold(swap)}') AS moved
+  FROM ranked JOIN um USING (userid) CROSS JOIN params),
+kk AS (SELECT count(*) FILTER (WHERE moved) AS k FROM flagged)
+SELECT business_id, user_id, CAST(stars AS INTEGER) AS stars, date, CAST(userid AS INTEGER) AS userid,
+       CAST(businessid AS INTEGER) AS businessid
+FROM flagged CROSS JOIN kk WHERE {cond}"""
+
+
+def ratings_by_order(s, d):
+    return I.encode_ratings(review_features(analogs.an_review_by_order(s, d)))
+
+
+query("time_split_train", with_views(_split_sql("encoded_ratings", "train"), "encoded_ratings"))(
+    lambda s, d: SP.time_split(ratings(s, d))[0])
+query("time_split_test", with_views(_split_sql("encoded_ratings", "test"), "encoded_ratings"))(
+    lambda s, d: SP.time_split(ratings(s, d))[1])
+query("time_split_order_train", with_views(_split_sql("encoded_ratings_by_order", "train"),
+                                           "encoded_ratings_by_order"))(
+    lambda s, d: SP.time_split(ratings_by_order(s, d))[0])
+query("time_split_order_test", with_views(_split_sql("encoded_ratings_by_order", "test"),
+                                          "encoded_ratings_by_order"))(
+    lambda s, d: SP.time_split(ratings_by_order(s, d))[1])
+_RS_HASH = ("substr(md5(concat_ws('|', '42', business_id, user_id, CAST(stars AS VARCHAR), date, "
+            "CAST(userid AS VARCHAR), CAST(businessid AS VARCHAR))), 1, 4)")
+query("random_split_train", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} < 'cccd'",
+                                       "encoded_ratings"))(
+    lambda s, d: SP.random_split(ratings(s, d), (0.8, 0.2), 42)[0])
+query("random_split_test", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} >= 'cccd'",
+                                      "encoded_ratings"))(
+    lambda s, d: SP.random_split(ratings(s, d), (0.8, 0.2), 42)[1])
+
+
+# ---- ALS (M4-M7, O5, J7, A31) and runs (S14, M12) ------------------------------------
+
+from sparkplate.operators import als as M  # noqa: E402
+from sparkplate.operators import runs as R  # noqa: E402
+
+
+def _model_and_test(s, d):
+    train, test = SP.time_split(ratings(s, d))
+    return M.train_als(train), test
+
+
+query("als_predict")(lambda s, d: (lambda mt: M.predict(mt[0], mt[1]))(_model_and_test(s, d)))
+
+
+def _recs(s, d, n=5):
+    model, test = _model_and_test(s, d)
+    return M.recommend(model, test.select("userid"), n)
+
+
+query("als_recommend")(lambda s, d: _recs(s, d))
+query("als_recommend_named")(lambda s, d: L.enrich_recommendations(_recs(s, d), restaurant_tf(s, d)))
+query("als_grouped")(lambda s, d: M.recommend_grouped(_recs(s, d)))
+query("als_error_metrics")(
+    lambda s, d: (lambda mt: M.error_metrics(M.predict(mt[0], mt[1])))(_model_and_test(s, d)))
+query("als_pipeline_predict")(
+    lambda s, d: (lambda tr: M.predict(M.train_als_pipeline(tr[0]), tr[1]))(
+        SP.random_split(ratings(s, d), (0.8, 0.2), 42)))
+
+
+def _baseline_runs(s, d):
+    """Three baseline predictors (global, user and item mean) evaluated on all ratings."""
+    r = ratings(s, d).select("userid", "businessid", F.col("stars").cast("double").alias("stars"))
+    c = r.agg(F.avg("stars")).first()[0]
+    user_mean = r.groupBy("userid").agg(F.avg("stars").alias("prediction"))
+    item_mean = r.groupBy("businessid").agg(F.avg("stars").alias("prediction"))
+    runs = [
+        M.error_metrics(r.withColumn("prediction", F.lit(c))).withColumn("run_name", F.lit("global_mean")),
+        M.error_metrics(r.join(user_mean, "userid")).withColumn("run_name", F.lit("user_mean")),
+        M.error_metrics(r.join(item_mean, "businessid")).withColumn("run_name", F.lit("item_mean")),
+    ]
+    wide = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    long = R.metrics_from_frame(wide)
+    return long.withColumn("value", round_half_up(F.col("value"), 6))
+
+
+register("baseline_runs", f"""SELECT run_name AS run_id, run_name, metric, {round_sql('value', 6)} AS value FROM (
+  SELECT run_name, count(*) AS n, avg(e) AS mse, sqrt(avg(e)) AS rmse FROM (
+    SELECT 'global_mean' AS run_name, power(stars - (SELECT avg(stars) FROM encoded_ratings), 2) AS e FROM encoded_ratings
+    UNION ALL
+    SELECT 'user_mean', power(stars - avg(stars) OVER (PARTITION BY userid), 2) FROM encoded_ratings
+    UNION ALL
+    SELECT 'item_mean', power(stars - avg(stars) OVER (PARTITION BY businessid), 2) FROM encoded_ratings)
+  GROUP BY run_name)
+UNPIVOT (value FOR metric IN (n, mse, rmse))""", ["encoded_ratings"])
+
+query("baseline_error_metrics", with_views("SELECT run_id, run_name, metric, value FROM baseline_runs",
+                                           "baseline_runs"))(
+    lambda s, d: _baseline_runs(s, d).select("run_id", "run_name", "metric", "value"))
+query("best_run", with_views("""SELECT run_id, run_name, metric, value FROM baseline_runs WHERE metric = 'rmse'
+ORDER BY value ASC NULLS LAST, run_id LIMIT 1""", "baseline_runs"))(
+    lambda s, d: R.best_run(_baseline_runs(s, d)).select("run_id", "run_name", "metric", "value"))
+query("find_run", with_views("SELECT run_id, run_name, metric, value FROM baseline_runs WHERE run_name = 'user_mean'",
+                             "baseline_runs"))(
+    lambda s, d: R.find_run(_baseline_runs(s, d), "user_mean").select("run_id", "run_name", "metric", "value"))
