@@ -11,9 +11,10 @@
 
 Positions come from the distributed ``global_row_number`` (no single-partition sort);
 whether a user has a training row is ``max(position) > n`` per user, an aggregate joined
-back (AQE splits a hot user on the rating side). The flagged table is checkpointed into
-the shared checkpoint folder: both outputs and the count ``k`` read it, and a lost
-executor re-reads it instead of recomputing the ranking.
+back (AQE splits a hot user on the rating side). The ranked rows are checkpointed into
+the shared checkpoint folder by ``global_row_number``: the count ``k`` and both outputs
+derive from that one materialisation, and a lost executor re-reads it instead of
+recomputing the ranking.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkplate.operators.ids import global_row_number
-from sparkplate.session import cut_lineage
 
 RATING_COLUMNS = ["business_id", "user_id", "stars", "date", "userid", "businessid"]
 
@@ -51,7 +51,7 @@ def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed:
     ranked = global_row_number(d, order, "_pos", num_partitions)
     user_last = ranked.groupBy("userid").agg(F.max("_pos").alias("_umax"))
     moved = (F.col("_pos") <= n) & (F.col("_umax") <= n) & (row_hash(seed) < F.lit(swap_threshold(swap)))
-    flagged = cut_lineage(ranked.join(user_last, "userid").withColumn("_moved", moved))
+    flagged = ranked.join(user_last, "userid").withColumn("_moved", moved)
     k = flagged.where("_moved").count()
     pos = F.col("_pos")
     train = flagged.where((pos > n + k) | F.col("_moved"))

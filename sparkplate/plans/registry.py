@@ -313,6 +313,7 @@ query("detail_card", with_views(f"""SELECT business_id, name,
 
 from sparkplate.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, text_features  # noqa: E402
 from sparkplate.operators import content as C  # noqa: E402
+from sparkplate.session import cut_lineage  # noqa: E402
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
 
@@ -394,13 +395,13 @@ register("corpus_tfidf_raw", _tfidf_sql("corpus_text").replace(
 
 query("similar_items_part", with_views(_similar_sql("part_text", "part_tfidf_raw", PART_TITLES),
                                        "part_text", "part_tfidf_raw"))(
-    lambda s, d: C.similar_items(C.tfidf(items := part_items(s, d)), items, PART_TITLES))
+    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := part_items(s, d))), items, PART_TITLES))
 query("similar_items_documents", with_views(_similar_sql("corpus_text", "corpus_tfidf_raw", DOC_TITLES),
                                             "corpus_text", "corpus_tfidf_raw"))(
-    lambda s, d: C.similar_items(C.tfidf(items := corpus_items(s, d)), items, DOC_TITLES))
+    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := corpus_items(s, d))), items, DOC_TITLES))
 query("similar_items_unknown", with_views(_similar_sql("part_text", "part_tfidf_raw", ["no such title"]),
                                           "part_text", "part_tfidf_raw"))(
-    lambda s, d: C.similar_items(C.tfidf(items := part_items(s, d)), items, ["no such title"]))
+    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := part_items(s, d))), items, ["no such title"]))
 
 
 # ---- time split (M3) -----------------------------------------------------------------

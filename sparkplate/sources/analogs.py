@@ -27,6 +27,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A parquet row group is read by one task, so a small file written as one row group puts
+    all per-row work before the first shuffle into one task. A large input (many files or
+    row groups) already has enough splits and is returned unchanged: no shuffle is added.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def fact_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """A large table, pruned to ``cols`` before any spread (only those columns move)."""
+    return spread(table(spark, sf_dir, name).select(*cols))
+
+
 def padded(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), KEY_WIDTH, "0"))
 
@@ -68,6 +86,10 @@ def an_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def _review_columns(user_key: Column) -> list[Column]:
     return [
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
@@ -85,7 +107,7 @@ def _review_columns(user_key: Column) -> list[Column]:
 
 def an_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews: one per line item; the reviewer is the order's customer."""
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(*_review_columns(F.col("o_custkey")))
 
@@ -94,7 +116,7 @@ def an_review_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews where each order acts as one reviewer (no join needed). Orders ship over a
     short span, so the latest rows hold reviewers never seen before: this is the analog
     on which the new-user swap of the time split has work to do."""
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS)
     return li.select(*_review_columns(F.col("l_orderkey")))
 
 
@@ -110,7 +132,7 @@ def an_photos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def an_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text corpus for TF-IDF at scale: documents as items (doc_id, source as name, text)."""
-    d = table(spark, sf_dir, "documents")
+    d = fact_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
     return d.select(F.col("doc_id").alias("business_id"), F.col("source").alias("name"),
                     F.col("text").alias("categories"))
 
