@@ -29,6 +29,12 @@ def _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col,
     return als
 
 
+def _blocks(ratings: DataFrame, num_blocks: int | None) -> int:
+    """Factor blocks: one per core of the cluster (at least 10, the library default), so
+    each iteration's block joins use the whole cluster rather than ten tasks."""
+    return num_blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+
+
 def train_als(ratings: DataFrame, rank: int = 4, max_iter: int = 4, reg: float = 0.35,
               nonnegative: bool = True, seed: int = 42, cold_start: str = "drop",
               user_col: str = "userid", item_col: str = "businessid", rating_col: str = "stars",
@@ -36,7 +42,7 @@ def train_als(ratings: DataFrame, rank: int = 4, max_iter: int = 4, reg: float =
     """M4: explicit-feedback ALS; defaults are the reference's main configuration."""
     checkpoint_dir(ratings.sparkSession)
     return _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col,
-                rating_col, num_blocks).fit(ratings)
+                rating_col, _blocks(ratings, num_blocks)).fit(ratings)
 
 
 def train_als_pipeline(ratings: DataFrame, rank: int = 12, max_iter: int = 10, reg: float = 0.1,
@@ -44,7 +50,8 @@ def train_als_pipeline(ratings: DataFrame, rank: int = 12, max_iter: int = 10, r
                        rating_col: str = "stars") -> PipelineModel:
     """M4, second configuration: ALS as the single stage of a ``Pipeline``."""
     checkpoint_dir(ratings.sparkSession)
-    als = _als(rank, max_iter, reg, False, seed, "drop", user_col, item_col, rating_col, None)
+    als = _als(rank, max_iter, reg, False, seed, "drop", user_col, item_col, rating_col,
+               _blocks(ratings, None))
     return Pipeline(stages=[als]).fit(ratings)
 
 

@@ -523,3 +523,31 @@ ORDER BY value ASC NULLS LAST, run_id LIMIT 1""", "baseline_runs"))(
 query("find_run", with_views("SELECT run_id, run_name, metric, value FROM baseline_runs WHERE run_name = 'user_mean'",
                              "baseline_runs"))(
     lambda s, d: R.find_run(_baseline_runs(s, d), "user_mean").select("run_id", "run_name", "metric", "value"))
+
+
+# ---- ad-hoc SQL over published views (S7, S16) ---------------------------------------
+
+from sparkplate.sources.catalog import publish_view, query as sql_query  # noqa: E402
+
+
+@query("adhoc_sql", with_views("""SELECT city, count(*) AS reviews, CAST(sum(stars) AS BIGINT) AS stars_total
+FROM analyses_review WHERE stars >= 3 GROUP BY city""", "analyses_review"))
+def adhoc_sql(spark, d):
+    """S7 + S16: publish the gold table as a view, then a parameterised SQL query over it."""
+    publish_view(spark, ar(spark, d), "gold.analyses_review")
+    return sql_query(spark, """SELECT city, count(*) AS reviews, CAST(sum(stars) AS BIGINT) AS stars_total
+FROM gold_analyses_review WHERE stars >= :min_stars GROUP BY city""", {"min_stars": 3})
+
+
+# ---- one shared id numbering for training and look-up (M1 trap) ----------------------
+
+def _shared_recs(s, d, n=5):
+    items = restaurant_tf(s, d)
+    users = I.user_account(analogs.an_user(s, d))
+    r = I.encode_ratings(review_features(analogs.an_review(s, d)), user_ids=users, item_ids=items)
+    train, test = SP.time_split(r)
+    recs = M.recommend(M.train_als(train), test.select("userid"), n)
+    return L.enrich_recommendations(recs, items)
+
+
+query("als_recommend_shared_ids")(_shared_recs)
