@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from sparkplate.functions.numeric import round_half_up
 from sparkplate.functions.text import ENGLISH_STOP_WORDS, tokens
 from sparkplate.operators.lookup import first_per
+from sparkplate.session import cut_lineage
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str,
@@ -44,7 +45,9 @@ def tfidf(df: DataFrame, id_col: str = "business_id", text_col: str = "text_feat
     bound is the parameter itself. Without a cap the term table is joined by shuffle.
     """
     n_docs = df.count()
-    tf = term_counts(df, id_col, text_col, stop_words)
+    # term counts feed both the vocabulary and the weights: materialised once, so the
+    # corpus is tokenised once (the checkpoint also survives a lost executor)
+    tf = cut_lineage(term_counts(df, id_col, text_col, stop_words))
     terms = tf.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
     if max_features:
         vocab = F.broadcast(terms.orderBy(F.col("_total").desc(), F.col("term")).limit(max_features))

@@ -44,11 +44,11 @@ def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed:
                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: ``(train, test)`` with ``userid``, ``businessid``, ``stars`` cast to int."""
     d = ratings.select(*RATING_COLUMNS).distinct()
-    total = d.count()
-    n = int(Fraction(total) * Fraction(str(ratio)))
     order = [F.col("date").desc_nulls_last(), F.col("user_id").asc_nulls_first(),
              F.col("business_id").asc_nulls_first(), F.col("stars").asc_nulls_first()]
     ranked = global_row_number(d, order, "_pos", num_partitions)
+    total = ranked.count()  # read from the checkpointed ranking, not a new pass over the input
+    n = int(Fraction(total) * Fraction(str(ratio)))
     user_last = ranked.groupBy("userid").agg(F.max("_pos").alias("_umax"))
     moved = (F.col("_pos") <= n) & (F.col("_umax") <= n) & (row_hash(seed) < F.lit(swap_threshold(swap)))
     flagged = ranked.join(user_last, "userid").withColumn("_moved", moved)
@@ -88,3 +88,14 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
         pieces.append(df.where(cond))
         lower = upper
     return pieces
+
+
+def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` not in ``right``, duplicates removed (``EXCEPT DISTINCT``).
+
+    Columns are matched by name: the right side is re-ordered to the left's columns first,
+    so a join that moved a key to the front cannot turn this into a comparison of unlike
+    columns (the positional pitfall of ``subtract``)."""
+    if sorted(left.columns) != sorted(right.columns):
+        raise ValueError(f"columns differ: {left.columns} vs {right.columns}")
+    return left.subtract(right.select(*left.columns))

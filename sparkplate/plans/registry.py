@@ -551,3 +551,12 @@ def _shared_recs(s, d, n=5):
 
 
 query("als_recommend_shared_ids")(_shared_recs)
+
+
+# ---- set difference (U1) -------------------------------------------------------------
+
+query("pairs_never_top_rated", with_views("""SELECT user_id, business_id FROM an_review
+EXCEPT SELECT user_id, business_id FROM an_review WHERE stars = 5""", "an_review"))(
+    lambda s, d: SP.except_distinct(
+        (r := analogs.an_review(s, d)).select("user_id", "business_id"),
+        r.where(F.col("stars") == 5).select("business_id", "user_id")))

@@ -54,6 +54,8 @@ def test_raw_readers(spark, scratch):
     assert biz.count() == 6 and biz.schema["hours"].dataType.fieldNames()[0] == "Monday"
     inferred = Rw.read_raw(spark, f"{d}/user.json", "user", infer=True)
     assert inferred.columns == sorted(inferred.columns)
+    _write_jsonl(f"{d}/requests.json", [{"userid": 3, "res_num": 5, "token": "t"}])
+    assert [tuple(r) for r in Rw.read_requests(spark, f"{d}/requests.json").collect()] == [(3, 5)]
     photos = Rw.read_photo_index(spark, f"{d}/missing-photos.json")
     assert photos.count() == 0 and photos.columns == ["business_id", "photo_id", "caption", "label"]
     posters = {r.business_id: r.poster for r in with_poster(biz.select("business_id"), photos).collect()}

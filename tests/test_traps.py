@@ -126,3 +126,10 @@ def test_quality_checks_report_offenders(spark):
     assert Q.check_not_null(df, "k").count() == 1
     counts = {r.table_name: r.row_count for r in Q.table_counts({"t1": df, "t2": df.limit(1)}).collect()}
     assert counts == {"t1": 4, "t2": 1}
+
+
+def test_except_distinct_aligns_by_name_and_dedups(spark):
+    from sparkplate.operators.split import except_distinct
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([("y", 2)], "v string, k int")
+    assert [tuple(r) for r in except_distinct(a, b).collect()] == [(1, "x")]
