@@ -68,8 +68,8 @@ def similar_items(vectors: DataFrame, items: DataFrame, titles: Sequence[str], k
       and no known title gives an empty result with the same columns;
     * score of a candidate = max cosine over the selected items; the selected rows
       themselves are excluded, namesakes stay candidates;
-    * the selected vectors (at most ``len(titles)`` x vocabulary rows) are broadcast and
-      joined on ``term`` to the long matrix: work is k x N, never N x N;
+    * the selected vectors (at most ``len(titles)`` x vocabulary rows) are joined on
+      ``term`` to the long matrix: work is k x N, never N x N;
     * candidates sharing no term score 0 and fill the list only when fewer than ``k``
       items score above 0; ties (scores equal at ``digits`` decimals) go by id.
     """
@@ -78,8 +78,10 @@ def similar_items(vectors: DataFrame, items: DataFrame, titles: Sequence[str], k
         return items.select(id_col, name_col, F.lit(0.0).alias("score")).where(F.lit(False))
     selected = first_per(items.select(id_col, name_col).where(F.col(name_col).isin(list(titles))),
                          name_col, id_col).select(id_col)
-    sel_vec = F.broadcast(vectors.join(F.broadcast(selected), id_col, "left_semi").select(
-        F.col(id_col).alias("_sel"), "term", F.col("weight").alias("_sw")))
+    # the selected vectors are small (titles x terms of those items); AQE broadcasts them
+    # after checking their runtime size, and falls back to a shuffle join otherwise
+    sel_vec = vectors.join(F.broadcast(selected), id_col, "left_semi").select(
+        F.col(id_col).alias("_sel"), "term", F.col("weight").alias("_sw"))
     dots = (vectors.join(sel_vec, "term")
             .groupBy(id_col, "_sel").agg(F.sum(F.col("weight") * F.col("_sw")).alias("_dot"))
             .groupBy(id_col).agg(F.max("_dot").alias("score")))

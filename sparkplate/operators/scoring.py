@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkplate.functions.scoring import weighted_rating as _formula
+from sparkplate.operators.ids import global_row_number
+
+
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """Linear-interpolation quantile of the non-null values (pandas' default rule), exact.
+
+    The values are ranked by the distributed ``global_row_number`` and only the (at most)
+    two rows around position ``q * (n - 1)`` reach the driver, so no task ever holds all
+    distinct values (unlike a global ``percentile`` aggregate).
+    """
+    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ranked = global_row_number(vals, [F.col("_v").asc()], "_r")
+    n = ranked.count()
+    if n == 0:
+        return None
+    pos = q * (n - 1)
+    lo = math.floor(pos)
+    hi = min(lo + 1, n - 1)
+    got = {r["_r"]: r["_v"] for r in ranked.where(F.col("_r").isin(lo + 1, hi + 1)).collect()}
+    v_lo, v_hi = got[lo + 1], got[hi + 1]
+    return v_lo + (v_hi - v_lo) * (pos - lo)
 
 
 def weighted_rating(df: DataFrame, q: float = 0.70, votes: str = "review_count", stars: str = "stars",
@@ -13,16 +36,19 @@ def weighted_rating(df: DataFrame, q: float = 0.70, votes: str = "review_count",
     """M8: keep items with ``votes >= m`` (m = q-quantile of votes, linear interpolation;
     null votes dropped) and score them against the global mean ``C`` of ``stars``.
 
-    The two statistics come from one distributed aggregate (partial per task, one row to
-    the driver); as literals they let Catalyst push ``votes >= m`` into the scan.
-    ``percentile`` is exact (it keeps a count per distinct value); ``approx=True`` switches
-    to ``percentile_approx`` for huge inputs with many distinct vote counts.
+    Both statistics are scalars from distributed jobs (the mean a partial aggregate, the
+    quantile ``exact_quantile``); as literals they let Catalyst push ``votes >= m`` into
+    the scan. ``approx=True`` uses ``percentile_approx`` (one pass, bounded memory).
     """
-    quant = (F.percentile_approx(votes, q, accuracy) if approx else F.percentile(votes, q))
-    stats = df.agg(F.avg(stars).alias("C"), quant.cast("double").alias("m")).first()
-    if stats["m"] is None:  # no votes at all: nothing qualifies
+    if approx:
+        stats = df.agg(F.avg(stars).alias("C"),
+                       F.percentile_approx(votes, q, accuracy).cast("double").alias("m")).first()
+        c_val, m_val = stats["C"], stats["m"]
+    else:
+        c_val, m_val = df.agg(F.avg(stars)).first()[0], exact_quantile(df, votes, q)
+    if m_val is None:  # no votes at all: nothing qualifies
         return df.where(F.lit(False)).withColumn("score", F.lit(None).cast("double"))
-    c, m = F.lit(stats["C"]).cast("double"), F.lit(stats["m"]).cast("double")
+    c, m = F.lit(c_val).cast("double"), F.lit(m_val).cast("double")
     return (df.where(F.col(votes) >= m)
             .withColumn("score", _formula(F.col(votes).cast("double"), F.col(stars), m, c)))
 
