@@ -98,3 +98,24 @@ def save_model(model, path: str) -> None:
 def load_model(path: str, pipeline: bool = False):
     """Load a saved model once; reuse the returned object for every request batch."""
     return PipelineModel.load(path) if pipeline else ALSModel.load(path)
+
+
+def train_and_evaluate(ratings: DataFrame, rank: int = 4, max_iter: int = 4, reg: float = 0.35,
+                       full_data: bool = False, just_train: bool = False, seed: int = 42,
+                       split=None) -> tuple[ALSModel, dict]:
+    """M4-M6 wrapper: split (or train = test = all with ``full_data``), fit, and unless
+    ``just_train`` evaluate on both sides. Returns the model and the run's metrics (row
+    counts, errors and parameters), ready for ``runs.metrics_rows``."""
+    if full_data:
+        train, test = ratings, ratings
+    else:
+        from sparkplate.operators.split import time_split
+        train, test = (split or time_split)(ratings)
+    model = train_als(train, rank=rank, max_iter=max_iter, reg=reg, seed=seed)
+    metrics = {"rank": rank, "max_iter": max_iter, "reg": reg,
+               "training_nrows": train.count(), "test_nrows": test.count()}
+    if not just_train:
+        for side, df in (("test", test), ("train", train)):
+            row = error_metrics(predict(model, df)).first()
+            metrics[f"{side}_rmse"], metrics[f"{side}_mse"] = row["rmse"], row["mse"]
+    return model, metrics

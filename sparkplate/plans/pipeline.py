@@ -14,7 +14,6 @@ from pyspark.sql import SparkSession
 
 from sparkplate.operators import als as M
 from sparkplate.operators import runs as R
-from sparkplate.operators import split as SP
 from sparkplate.operators.gold import analyses_review
 from sparkplate.operators.ids import encode_ratings, restaurant_transform, user_account
 from sparkplate.operators.silver import dim_date, dim_restaurant, dim_user, fact_review, review_features
@@ -47,16 +46,9 @@ def run_pipeline(spark: SparkSession, raw_dir: str, fmt: str = "parquet", train:
     out = {"analyses_review": spark.table("gold_analyses_review")}
     if train:
         ratings = encode_ratings(spark.table("feature_store.review"))
-        train_df, test_df = SP.time_split(ratings)
-        model = M.train_als(train_df)
-        rows = M.error_metrics(M.predict(model, test_df)).first()
-        train_rows = M.error_metrics(M.predict(model, train_df)).first()
+        model, metrics = M.train_and_evaluate(ratings)
         run_id = datetime.now(timezone.utc).strftime("als-%Y%m%dT%H%M%S%f")
-        metrics = R.metrics_rows(spark, run_id, "spark_als_model", {
-            "training_nrows": train_df.count(), "test_nrows": test_df.count(),
-            "test_rmse": rows["rmse"], "test_mse": rows["mse"],
-            "train_rmse": train_rows["rmse"], "train_mse": train_rows["mse"]})
-        R.log_metrics(metrics, metrics_table)
+        R.log_metrics(R.metrics_rows(spark, run_id, "spark_als_model", metrics), metrics_table)
         if model_path:
             M.save_model(model, model_path)
         out.update(model=model, metrics=spark.table(metrics_table))

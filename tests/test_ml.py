@@ -48,3 +48,12 @@ def test_als_bounds(spark, scratch):
     M.save_model(model, path)
     again = M.load_model(path)
     assert again.rank == 4
+
+
+def test_train_and_evaluate_modes(spark):
+    ratings = G.ratings(spark, SMALL)
+    _, full = M.train_and_evaluate(ratings, full_data=True, just_train=True)
+    assert full["training_nrows"] == full["test_nrows"] == ratings.count() and "test_rmse" not in full
+    _, split = M.train_and_evaluate(ratings)
+    assert split["test_nrows"] == ratings.distinct().count() * 3 // 10
+    assert split["train_rmse"] > 0 and split["test_mse"] >= 0 and split["rank"] == 4
