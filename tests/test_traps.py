@@ -63,16 +63,13 @@ def test_dense_ids_match_literal_row_number(spark):
 
 
 def test_global_row_number_has_no_single_partition_sort(spark):
-    import io
-    from contextlib import redirect_stdout
+    from sparkplate.plans.checks import single_partition_exchanges
     df = spark.range(0, 1000, 1, 4).select(F.col("id"))
     out = global_row_number(df, [F.col("id").desc()], "rn", 4)
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        out.explain()
-    plan = buf.getvalue()
     # the only single-partition exchange is the running sum over the per-partition counts
-    assert plan.count("SinglePartition") <= 1
+    assert single_partition_exchanges(out) <= 1
+    literal = df.selectExpr("id", "row_number() OVER (ORDER BY id DESC) AS rn")
+    assert single_partition_exchanges(literal) == 1
     assert [r.rn for r in out.orderBy(F.col("id").desc()).limit(3).collect()] == [1, 2, 3]
 
 
@@ -133,3 +130,12 @@ def test_except_distinct_aligns_by_name_and_dedups(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([("y", 2)], "v string, k int")
     assert [tuple(r) for r in except_distinct(a, b).collect()] == [(1, "x")]
+
+
+def test_city_dashboard_prunes_columns(spark):
+    from sparkplate.plans.checks import read_schemas
+    from sparkplate.plans import registry as G
+    from conftest import SMALL
+    schemas = read_schemas(A.a16_city_metrics(G.ar(spark, SMALL)))
+    assert "struct<l_orderkey:bigint,l_partkey:bigint>" in schemas
+    assert all("l_extendedprice" not in s for s in schemas)
