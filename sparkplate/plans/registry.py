@@ -15,9 +15,20 @@ from pyspark.sql import functions as F
 from sparkplate.operators import dashboards as A
 from sparkplate.operators.gold import analyses_review
 from sparkplate.operators.silver import dim_date, dim_restaurant, dim_user, fact_review, review_features
-from sparkplate.functions.dates import date_spine
-from sparkplate.plans.sqlviews import month_sql, round_sql, with_views
+from sparkplate.plans.sqlviews import month_sql, register, round_sql, with_views
 from sparkplate.sources import analogs
+from sparkplate.functions.numeric import round_half_up
+from sparkplate.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, text_features
+from sparkplate.operators import als as M
+from sparkplate.operators import content as C
+from sparkplate.operators import ids as I
+from sparkplate.operators import lookup as L
+from sparkplate.operators import quality as Q
+from sparkplate.operators import runs as R
+from sparkplate.operators import scoring as S
+from sparkplate.operators import split as SP
+from sparkplate.session import cut_lineage
+from sparkplate.sources.catalog import publish_view, query as sql_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,7 +185,6 @@ def city_metrics_filtered(spark, d):
 
 # ---- data quality (D1-D3, A32, A33, U3) ----------------------------------------------
 
-from sparkplate.operators import quality as Q  # noqa: E402
 
 query("check_unique_order_line", """SELECT key, count(*) AS n FROM (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key FROM lineitem)
@@ -208,10 +218,6 @@ query("review_row_count", with_views("SELECT count(*) AS row_count FROM fact_rev
 
 # ---- ids and transforms (M1, J1-J3, P5, A27) -------------------------------------------
 
-from sparkplate.operators import ids as I  # noqa: E402
-from sparkplate.operators import lookup as L  # noqa: E402
-from sparkplate.operators import scoring as S  # noqa: E402
-from sparkplate.plans.sqlviews import register  # noqa: E402
 
 register("restaurant_transform", """SELECT r.*, i.businessid FROM an_restaurant r JOIN (
   SELECT business_id, CAST(row_number() OVER (ORDER BY business_id ASC NULLS FIRST) AS INTEGER) AS businessid
@@ -294,8 +300,6 @@ def scored(s, d):
     return out.withColumn("score", round_half_up(F.col("score"), 6))
 
 
-from sparkplate.functions.numeric import round_half_up  # noqa: E402
-
 query("weighted_rating", with_views(
     "SELECT business_id, businessid, name, stars, review_count, is_open, score FROM weighted", "weighted"))(
     lambda s, d: scored(s, d).select("business_id", "businessid", "name", "stars", "review_count",
@@ -311,9 +315,6 @@ query("detail_card", with_views(f"""SELECT business_id, name,
 
 # ---- content-based (P9, M9, M10) -----------------------------------------------------
 
-from sparkplate.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, text_features  # noqa: E402
-from sparkplate.operators import content as C  # noqa: E402
-from sparkplate.session import cut_lineage  # noqa: E402
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
 
@@ -406,7 +407,6 @@ query("similar_items_unknown", with_views(_similar_sql("part_text", "part_tfidf_
 
 # ---- time split (M3) -----------------------------------------------------------------
 
-from sparkplate.operators import split as SP  # noqa: E402
 
 register("encoded_ratings_by_order", """SELECT r.business_id, r.user_id, r.stars, r.date, u.userid, b.businessid
 FROM (SELECT business_id, user_id, stars, date FROM an_review_by_order) r
@@ -461,9 +461,6 @@ query("random_split_test", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS
 
 # ---- ALS (M4-M7, O5, J7, A31) and runs (S14, M12) ------------------------------------
 
-from sparkplate.operators import als as M  # noqa: E402
-from sparkplate.operators import runs as R  # noqa: E402
-
 
 def _model_and_test(s, d):
     train, test = SP.time_split(ratings(s, d))
@@ -527,8 +524,6 @@ query("find_run", with_views("SELECT run_id, run_name, metric, value FROM baseli
 
 # ---- ad-hoc SQL over published views (S7, S16) ---------------------------------------
 
-from sparkplate.sources.catalog import publish_view, query as sql_query  # noqa: E402
-
 
 @query("adhoc_sql", with_views("""SELECT city, count(*) AS reviews, CAST(sum(stars) AS BIGINT) AS stars_total
 FROM analyses_review WHERE stars >= 3 GROUP BY city""", "analyses_review"))
