@@ -104,19 +104,30 @@ DIM_DATE_SQL = """SELECT
   CAST((month(d) + 2) % 12 + 1 AS BIGINT) AS FiscalMonthOctToSep,
   CAST(CASE WHEN month(d) >= 7 THEN year(d) + 1 ELSE year(d) END AS BIGINT) AS FiscalYearJulToJun,
   CAST((month(d) + 5) % 12 + 1 AS BIGINT) AS FiscalMonthJulToJun
-FROM (SELECT CAST(g AS DATE) AS d
-      FROM generate_series(DATE '{b}', DATE '{e}', INTERVAL 1 DAY) t(g))"""
+FROM (SELECT CAST(unnest(generate_series(CAST(b AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM ({span}) span)"""
 
 
-def _review_span_sql() -> str:
-    return with_views("SELECT CAST(min(CAST(review_date AS TIMESTAMP)) AS DATE) AS b, "
-                      "CAST(max(CAST(review_date AS TIMESTAMP)) AS DATE) AS e FROM fact_review",
-                      "fact_review")
+def dim_date_reviews(s, d):
+    """M2 over the span of the review dates (ship dates of the line items)."""
+    li = analogs.table(s, d, "lineitem")
+    span = li.agg(F.min(F.to_date("l_shipdate")).alias("b"), F.max(F.to_date("l_shipdate")).alias("e")).first()
+    return dim_date(s, str(span["b"]), str(span["e"]))
 
 
-query("dim_date", DIM_DATE_SQL.format(b="2010-01-01", e="2037-01-01"))(lambda s, d: dim_date(s))
-query("dim_date_wide", DIM_DATE_SQL.format(b="2000-01-01", e="2050-12-31"))(
-    lambda s, d: dim_date(s, "2000-01-01", "2050-12-31"))
+def dim_date_orders(s, d):
+    """M2 over the whole order-to-delivery span: first order date to last ship date."""
+    b = analogs.table(s, d, "orders").agg(F.min(F.to_date("o_orderdate"))).first()[0]
+    e = analogs.table(s, d, "lineitem").agg(F.max(F.to_date("l_shipdate"))).first()[0]
+    return dim_date(s, str(b), str(e))
+
+
+query("dim_date", DIM_DATE_SQL.format(
+    span="SELECT CAST(min(l_shipdate) AS DATE) AS b, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem"))(
+    dim_date_reviews)
+query("dim_date_wide", DIM_DATE_SQL.format(
+    span="SELECT (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS b, "
+         "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) AS e"))(dim_date_orders)
 
 
 # ---- dashboards A1-A26 ---------------------------------------------------------------
