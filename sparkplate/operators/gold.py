@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,21 +15,44 @@ GOLD_RESTAURANT_COLUMNS = [
 ]
 
 
-def analyses_review(fact: DataFrame, dim_restaurant: DataFrame, dim_user: DataFrame) -> DataFrame:
+def analyses_review(fact: DataFrame, dim_restaurant: DataFrame, dim_user: DataFrame,
+                    needed: Iterable[str] | None = None, unique_dims: bool = False) -> DataFrame:
     """Fact LEFT JOIN restaurants LEFT JOIN users; 20 columns, unmatched facts kept.
 
     Only the needed dimension columns enter the joins. No broadcast hint: AQE broadcasts a
     dimension only when its runtime size is under the threshold and otherwise keeps the
     sort-merge join, splitting a hot restaurant or user key (skew join) on the fact side.
+
+    ``needed`` + ``unique_dims=True``: when the caller uses only the listed columns and
+    the dimension keys are known to be unique (D1 passes), a dimension none of whose
+    columns is needed is not joined at all. Catalyst keeps an unused left join (it cannot
+    know the key is unique), so this saves a shuffle of the whole fact per skipped
+    dimension. Off by default: with a duplicated key the join would fan rows out.
     """
-    wanted = [c for c, _ in GOLD_RESTAURANT_COLUMNS if c in dim_restaurant.columns]
-    dr = dim_restaurant.select(F.col("restaurant_id").alias("_rid"),
-                               *[F.col(c).alias(f"_dr_{c}") for c in wanted])
-    du = dim_user.select(F.col("user_id").alias("_uid"), F.col("user_name").alias("_du_user_name"))
-    joined = (fact.join(dr, fact["restaurant_id"] == dr["_rid"], "left")
-              .join(du, fact["user_id"] == du["_uid"], "left"))
-    return joined.select(
-        *[fact[c] for c in fact.columns],
-        *[F.col(f"_dr_{c}").alias(g) for c, g in GOLD_RESTAURANT_COLUMNS if c in wanted],
-        F.col("_du_user_name").alias("user_name"),
-    )
+    if unique_dims and needed is not None:
+        needed = set(needed)
+        gold_names = {g for _, g in GOLD_RESTAURANT_COLUMNS}
+        if not needed & gold_names:
+            dim_restaurant = None
+        if "user_name" not in needed:
+            dim_user = None
+    return _star_join(fact, dim_restaurant, dim_user)
+
+
+def _star_join(fact: DataFrame, dim_restaurant: DataFrame | None, dim_user: DataFrame | None) -> DataFrame:
+    out = fact
+    if dim_restaurant is not None:
+        wanted = [c for c, _ in GOLD_RESTAURANT_COLUMNS if c in dim_restaurant.columns]
+        dr = dim_restaurant.select(F.col("restaurant_id").alias("_rid"),
+                                   *[F.col(c).alias(f"_dr_{c}") for c in wanted])
+        out = out.join(dr, out["restaurant_id"] == dr["_rid"], "left")
+    if dim_user is not None:
+        du = dim_user.select(F.col("user_id").alias("_uid"), F.col("user_name").alias("_du_user_name"))
+        out = out.join(du, out["user_id"] == du["_uid"], "left")
+    cols = [fact[c] for c in fact.columns]
+    if dim_restaurant is not None:
+        cols += [F.col(f"_dr_{c}").alias(g) for c, g in GOLD_RESTAURANT_COLUMNS if c in wanted]
+    if dim_user is not None:
+        cols.append(F.col("_du_user_name").alias("user_name"))
+    return out.select(*cols)
+

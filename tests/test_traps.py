@@ -139,3 +139,21 @@ def test_city_dashboard_prunes_columns(spark):
     schemas = read_schemas(A.a16_city_metrics(G.ar(spark, SMALL)))
     assert "struct<l_orderkey:bigint,l_partkey:bigint>" in schemas
     assert all("l_extendedprice" not in s for s in schemas)
+
+
+def test_skipping_unused_dimensions_keeps_results(spark):
+    from sparkplate.plans import registry as G
+    from sparkplate.plans.checks import read_schemas
+    from conftest import SMALL
+    fr, dr, du = G.fr(spark, SMALL), G.dr(spark, SMALL), G.du(spark, SMALL)
+    full = A.a16_city_metrics(analyses_review(fr, dr, du))
+    lean_ar = analyses_review(fr, dr, du, needed=["city", "state", "restaurant_id", "restaurant_stars"],
+                              unique_dims=True)
+    lean = A.a16_city_metrics(lean_ar)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, lean.collect()))
+    assert "user_name" not in lean_ar.columns
+    assert not any("c_custkey" in s for s in read_schemas(lean))  # the user dimension is not read
+    facts_only = analyses_review(fr, dr, du, needed=["review_date", "stars"], unique_dims=True)
+    assert facts_only.columns == fr.columns
+    assert A.a07_reviews_over_time(facts_only).exceptAll(
+        A.a07_reviews_over_time(analyses_review(fr, dr, du))).count() == 0
