@@ -39,8 +39,9 @@ def list_tables(spark: SparkSession, ns: str) -> DataFrame:
 
 def publish_view(spark: SparkSession, source: DataFrame | str, name: str) -> None:
     """Create or replace a view. SQL text over catalog tables becomes a catalog view;
-    a DataFrame becomes a session view (its plan is inlined into every query reading it,
-    so filters on the view still reach the scans)."""
+    a DataFrame becomes a session view named with ``_`` for ``.`` (``silver.dim_user`` ->
+    ``silver_dim_user``, since session views have no namespace); its plan is inlined into
+    every query reading it, so filters on the view still reach the scans."""
     if isinstance(source, str):
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS {source}")
     else:
