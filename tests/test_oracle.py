@@ -8,6 +8,8 @@ from tools.compare import canon, duck
 from conftest import SMALL
 
 NAMES = sorted(E.oracle_sql())
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +35,5 @@ def test_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert canon(df.columns, rows) == canon(ocols, cur.fetchall())
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
