@@ -3,10 +3,11 @@
 The reference numbers keys with ``row_number()`` over a window with no partition, which
 moves every key into one task. Here the same numbers come from a distributed rank:
 
-1. range-partition the rows by the order into ``p`` partitions and sort inside each;
+1. range-partition the rows by the order (``num_partitions`` if given, else AQE sizes the
+   partitions by merging adjacent ranges) and sort inside each;
 2. tag each row with ``monotonically_increasing_id`` = (partition index, position);
-3. count rows per partition (``p`` rows), turn the counts into offsets with a running sum
-   over those ``p`` rows, and broadcast them (size bound: one row per partition);
+3. count rows per partition (one row each), turn the counts into offsets with a running
+   sum over those rows, and broadcast them (size bound: one row per partition);
 4. number = offset of the partition + position + 1.
 
 The tagged rows are written once to the shared checkpoint folder before steps 3-4: range
@@ -28,18 +29,15 @@ from sparkplate.session import cut_lineage
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | position in partition
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
     """1-based ``row_number() OVER (ORDER BY order)`` without a single-partition exchange."""
-    p = _num_partitions(df, num_partitions)
+    # without an explicit count AQE may merge adjacent range partitions (a merged
+    # partition is still one contiguous range, so positions stay in order)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
     tagged = cut_lineage(
-        df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("__rn_mid", F.monotonically_increasing_id())
         .withColumn("__rn_part", F.shiftright(F.col("__rn_mid"), _POS_BITS))
         .withColumn("__rn_idx", F.col("__rn_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
