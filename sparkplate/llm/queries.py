@@ -1,12 +1,20 @@
 """The registered queries of this subpackage and their SQL twins."""
 
-from sparkplate.llm import lines, quality
+from sparkplate.llm import binary, bpe, chat, exact, langid, lines, packing, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_line_dedup": lines.op2_line_dedup,
+    "op3_chat_formatting": chat.op3_chat_formatting,
+    "op4_packing": packing.op4_packing,
+    "op5_exact_dedup": exact.op5_exact_dedup,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_language_id": langid.op8_language_id,
+    "op10_token_files": binary.op10_token_files,
 }
 ORACLE = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op2_line_dedup": lines.ORACLE_SQL,
+    "op3_chat_formatting": chat.ORACLE_SQL,
+    "op5_exact_dedup": exact.ORACLE_SQL,
 }
