@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL twins."""
 
-from sparkplate.llm import binary, bpe, chat, exact, langid, lines, packing, quality
+from sparkplate.llm import binary, bpe, chat, exact, langid, lines, packing, quality, substrings
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact.op5_exact_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language_id": langid.op8_language_id,
+    "op9_suffix_dedup": substrings.op9_suffix_dedup,
     "op10_token_files": binary.op10_token_files,
 }
 ORACLE = {
