@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL twins."""
 
-from sparkplate.llm import binary, bpe, chat, exact, langid, lines, packing, quality, substrings
+from sparkplate.llm import binary, bpe, chat, exact, langid, lines, ngrams, packing, quality, substrings
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op4_packing": packing.op4_packing,
     "op5_exact_dedup": exact.op5_exact_dedup,
+    "op6_ngram_join": ngrams.op6_ngram_join,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language_id": langid.op8_language_id,
     "op9_suffix_dedup": substrings.op9_suffix_dedup,
