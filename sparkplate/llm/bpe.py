@@ -1,16 +1,17 @@
 """Operator 7, byte-level BPE by Spark higher-order functions, and its decoding.
 
 Encoding a word folds ranked merges over its array of byte ids: in each step the adjacent
-pair of lowest rank is looked up for every position in a literal rank map and merged, until
-no pair has a rank. The rank map is one literal array, an open-addressed table over pairs of
-ids with at most ``PROBES`` probes (the driver grows it until that holds), so a look-up
-takes constant time where a map literal would be searched from its start.
+pair of lowest rank is looked up for every position in the constant rank map and merged,
+until no pair has a rank. The rank map is one constant array, a perfectly hashed table over
+pairs of ids, so a look-up takes the same short time wherever the pair is (a map literal
+would be searched from its start). The tables reach the plan as a one-row scalar subquery,
+which keeps their values out of plan texts and in compact form.
 
 The words of a corpus are counted in full; the most frequent, at most ``HEAD`` of them
-(a fixed bound, some megabytes), are folded once and become a second literal table. A text
+(a fixed bound, some megabytes), are folded once and become a second constant table. A text
 is split by the pattern; each word takes its ids from the head table, and a word outside
 it is folded in place. So no text, word or id is shuffled after the count, and hot words
-cost one look-up. Decoding looks every id up in a literal table of byte strings and
+cost one look-up. Decoding looks every id up in a constant table of byte strings and
 concatenates them.
 
 Defined cases: null or empty text has no ids; repeated rows and ids are encoded row by row;
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import json
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from sparkplate.llm.common import documents, let, materialise
 
-HEAD, PROBES = 1 << 17, 4
-NONE = 2**31 - 1
+HEAD = 1 << 18
+#: Ranks lie below this; a look-up that finds no merge gives a value from here on.
+NONE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,129 +44,140 @@ def java_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-# --- literal tables --------------------------------------------------------------------
-
-def _place(home: np.ndarray, slots: int) -> np.ndarray | None:
-    """A slot for every key within PROBES of its home, or None where that fails."""
-    taken, where = np.zeros(slots + PROBES, bool), np.full(len(home), -1, np.int64)
-    left = np.arange(len(home))
-    for probe in range(PROBES):
-        at = home[left] + probe
-        _, first = np.unique(at, return_index=True)
-        free = first[~taken[at[first]]]
-        where[left[free]] = at[free]
-        taken[at[free]] = True
-        left = np.delete(left, free)
-        if not len(left):
-            return where
-    return None
+# --- perfectly hashed tables -----------------------------------------------------------
+
+def _displace(bucket: np.ndarray, base: np.ndarray, step: np.ndarray, buckets: int, slots: int) -> np.ndarray:
+    """A number per bucket such that ``base + number * step`` (modulo slots) differs for all keys."""
+    order = np.argsort(bucket, kind="stable")
+    sizes = np.bincount(bucket, minlength=buckets)
+    starts = np.cumsum(sizes) - sizes
+    pairs = list(zip(base[order].tolist(), step[order].tolist()))
+    taken, out, mask = bytearray(slots), [0] * buckets, slots - 1
+    for b in np.argsort(-sizes, kind="stable").tolist():
+        n = int(sizes[b])
+        if not n:
+            break
+        keys = pairs[starts[b]:starts[b] + n]
+        for number in range(1 << 22):
+            places = {(k + number * s) & mask for k, s in keys}
+            if len(places) == n and not any(taken[x] for x in places):
+                break
+        else:
+            raise RuntimeError("two keys hash alike")
+        for x in places:
+            taken[x] = 1
+        out[b] = number
+    return np.array(out, np.int64)
 
 
-def _fit(homes, n: int) -> tuple[int, np.ndarray]:
-    """(slots, place of each key): the table doubles until every key is found in PROBES."""
-    slots = 1 << max(4, int(n * 1.5).bit_length())
-    while (where := _place(homes(slots), slots)) is None:
-        slots *= 2
-    return slots, where
+def _sizes(n: int) -> tuple[int, int]:
+    """(buckets, slots), powers of two: about four keys a bucket, slots at most half full."""
+    bits = max(4, int(2 * n).bit_length())
+    return 1 << (bits - 3), 1 << bits
 
 
 #: Factors that spread a pair of ids; with ids below 2^20 the sum stays below 2^63.
-_LEFT, _RIGHT, _DROP = 0x1E3779B97F5, 0x2C9277B5AB3, 21
+_LEFT, _RIGHT = 0x1E3779B97F5, 0x2C9277B5AB3
 
 
 @functools.lru_cache(maxsize=4)
-def _rank_table(path: str) -> tuple[int, str]:
-    """(slots, JSON of the table): an entry is (left id, right id) * 2^20 + rank of the merge."""
+def _rank_table(path: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """(displacements, slots); a slot is (left id, right id) * 2^20 + rank of the merge."""
     ranks = read_ranks(path)
     pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items()
              for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
     left, right, rank = np.array(pairs, np.int64).T
-    key = left * (1 << 20) + right
-    mixed = (left * _LEFT + right * _RIGHT) >> _DROP
-    slots, where = _fit(lambda s: mixed & (s - 1), len(key))
-    table = np.full(slots + PROBES, -1, np.int64)
-    table[where] = key * (1 << 20) + rank
-    return slots, json.dumps(table.tolist(), separators=(",", ":"))
-
+    mixed = left * _LEFT + right * _RIGHT
+    buckets, slots = _sizes(len(mixed))
+    bucket, base, step = (mixed >> 39) & (buckets - 1), (mixed >> 20) & (slots - 1), (mixed & (NONE - 1)) | 1
+    number = _displace(bucket, base, step, buckets, slots)
+    table = np.full(slots, 1 << 61, np.int64)
+    table[(base + number[bucket] * step) & (slots - 1)] = (left << 40) + (right << 20) + rank
+    return tuple(number.tolist()), tuple(table.tolist())
 
-def _merge_rank(table: Column, slots: int, a: Column, b: Column) -> Column:
-    """Rank of the merge of two ids, NONE if there is none."""
-    a, b = a.cast("bigint"), b.cast("bigint")
-    key = F.shiftleft(a, 20) + b
-    home = F.shiftright(a * F.lit(_LEFT) + b * F.lit(_RIGHT), _DROP).bitwiseAND(F.lit(slots - 1)).cast("int")
 
-    def probe(k: Column, h: Column, n: int) -> Column:
-        if n == PROBES:
-            return F.lit(NONE)
-        return let(F.get(table, h + n), lambda v: F.when(F.shiftright(v, 20) == k, v.bitwiseAND(F.lit((1 << 20) - 1)).cast("int"))
-                   .when(v < 0, F.lit(NONE)).otherwise(probe(k, h, n + 1)))
+def _merge_rank(t: Column, slots: tuple[int, int], a: Column, b: Column) -> Column:
+    """Rank of the merge of two ids (bigint), NONE or more if there is none.
 
-    return let(key, lambda k: let(home, lambda h: probe(k, h, 0)))
+    The slot's key part cancels out against the pair, which leaves the rank.
+    """
+    mixed = a * F.lit(_LEFT) + b * F.lit(_RIGHT)
+    bucket = F.shiftright(mixed, 39).bitwiseAND(F.lit(slots[0] - 1)).cast("int")
+    step = mixed.bitwiseAND(F.lit(NONE - 1)).bitwiseOR(F.lit(1))
+    slot = (F.shiftright(mixed, 20) + F.get(t["moves"], bucket) * step).bitwiseAND(F.lit(slots[1] - 1)).cast("int")
+    return F.get(t["merges"], slot).bitwiseXOR(F.shiftleft(a, 40) + F.shiftleft(b, 20))
 
 
 # --- folding ---------------------------------------------------------------------------
 
-def _fold(word: Column, table: Column, slots: int, byte_ids: Column) -> Column:
+def _fold(word: Column, t: Column, slots: tuple[int, int]) -> Column:
     """Ids of one word: merge the lowest-ranked pair until none is left."""
     def ranks(ids: Column) -> Column:
         return F.transform(F.slice(ids, 1, F.size(ids) - 1),
-                           lambda a, i: _merge_rank(table, slots, a, F.get(ids, i + 1)))
-
-    def merged(ids: Column, rank: Column, low: Column) -> Column:
-        """Every occurrence of the pair from the left, none overlapping."""
-        first = F.array_position(rank, low).cast("int")
-        one = F.concat(F.slice(ids, 1, first - 1), F.array(low), F.slice(ids, first + 2, F.size(ids)))
-
-        def many(at: Column) -> Column:
-            # of adjoining places (a pair of equal ids) every second one counts
-            runs = let(F.transform(at, lambda p, j: p - j), lambda d: F.filter(at, lambda p, j: (
-                (j - F.array_position(d, p - j) + 1) % 2) == 0))
-            return let(runs, lambda c: F.filter(F.transform(ids, lambda x, i: F.when(F.array_contains(c, i), low)
-                       .when(F.array_contains(c, i - 1), F.lit(-1)).otherwise(x)), lambda x: x >= 0))
+                           lambda a, i: _merge_rank(t, slots, a, F.get(ids, i + 1)))
 
+    def many(ids: Column, rank: Column, low: Column) -> Column:
+        """Every occurrence of the pair from the left, none overlapping: of adjoining
+        places (a pair of equal ids) every second one counts."""
         places = F.filter(F.transform(rank, lambda r, i: F.when(r == low, i).otherwise(F.lit(-1))), lambda i: i >= 0)
-        return let(places, lambda at: F.when(F.size(at) == 1, one).otherwise(many(at)))
+        chosen = let(places, lambda at: let(F.transform(at, lambda p, j: p - j), lambda d: F.filter(
+            at, lambda p, j: ((j - F.array_position(d, p - j) + 1) % 2) == 0)))
+        return let(chosen, lambda c: F.filter(F.transform(ids, lambda x, i: F.when(F.array_contains(c, i), low)
+                   .when(F.array_contains(c, i - 1), F.lit(-1).cast("bigint")).otherwise(x)), lambda x: x >= 0))
+
+    def merged(ids: Column, rank: Column, low: Column) -> Column:
+        return let(F.array_position(rank, low).cast("int"), lambda p: F.when(
+            F.array_contains(F.slice(rank, p + 1, F.size(rank)), low), many(ids, rank, low)).otherwise(
+            F.concat(F.slice(ids, 1, p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids)))))
 
     def step(state: Column, _: Column) -> Column:
-        return let(F.array_min(state["rank"]), lambda low: F.when(
-            F.coalesce(low, F.lit(NONE)) == NONE, state).otherwise(
+        return let(F.array_min(state["rank"]), lambda low: F.when(F.coalesce(low >= NONE, F.lit(True)), state).otherwise(
             let(merged(state["ids"], state["rank"], low), lambda ids: F.struct(ids.alias("ids"), ranks(ids).alias("rank")))))
 
-    digits = F.hex(F.encode(word, "utf-8"))
-    start = let(F.regexp_extract_all(digits, F.lit("(..)")), lambda d: F.transform(
-        d, lambda x: F.get(byte_ids, F.conv(x, 16, 10).cast("int"))))
-    return let(start, lambda ids: F.when(F.size(ids) == 1, ids).otherwise(F.aggregate(
-        F.sequence(F.lit(2), F.size(ids)), F.struct(ids.alias("ids"), ranks(ids).alias("rank")), step, lambda s: s["ids"])))
+    # one character per byte
+    chars = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    start = F.transform(chars, lambda c: F.get(t["bytes"], F.ascii(c)))
+    return let(start, lambda ids: F.aggregate(
+        F.slice(ids, 2, F.size(ids)), F.struct(ids.alias("ids"), ranks(ids).alias("rank")), step, lambda s: s["ids"]))
 
 
 class Encoder:
-    """Column expressions of one rank file, with an optional head of ready words."""
+    """Column expressions of one rank file, with an optional head of ready words.
+
+    The tables are one-row frames in the shared folder. ``bind`` puts them beside a frame's
+    columns as scalar subqueries; the expressions use each of them once, so the optimiser
+    takes the subquery into the expression and no row carries a table.
+    """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, spark: SparkSession, path: str, pattern: str):
         self.pattern = java_pattern(pattern)
-        self.slots, self._table = _rank_table(path)
+        moves, merges = _rank_table(path)
+        self.slots = (len(moves), len(merges))
         ranks = read_ranks(path)
-        self._bytes = json.dumps([ranks[bytes([b])] for b in range(256)])
         pieces = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token.hex()
-        self._pieces = ",".join(pieces)
-        self._head, self.head_slots = "[]", 0
-
-    def _with(self, body) -> Column:
-        """Bind the literal tables once: body(rank table, byte ids)."""
-        return let(F.from_json(F.lit(self._table), "array<bigint>"),
-                   lambda t: let(F.from_json(F.lit(self._bytes), "array<int>"), lambda b: body(t, b)))
+        self.tables = materialise(spark.createDataFrame(
+            [(list(moves), list(merges), [ranks[bytes([b])] for b in range(256)], pieces)],
+            "moves array<bigint>, merges array<bigint>, bytes array<bigint>, pieces array<string>"), "bpe-tables")
+        self.head, self.head_slots = None, (0, 0)
+
+    def bind(self, df: DataFrame) -> DataFrame:
+        tables = [self.tables.select(F.struct("moves", "merges", "bytes")).scalar().alias("_merges"),
+                  self.tables.select("pieces").scalar().alias("_pieces")]
+        if self.head is not None:
+            tables.append(self.head.select(F.struct("words", "ids", "moves")).scalar().alias("_head"))
+        return df.select(*[c for c in df.columns if c not in ("_merges", "_pieces", "_head")], *tables)
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({self.pattern})"))
 
     def word_ids(self, word: Column) -> Column:
-        """Ids of one word, joined by commas."""
-        return self._with(lambda t, b: F.array_join(_fold(word, t, self.slots, b), ","))
+        """Ids of one word of a bound frame, joined by commas."""
+        return let(F.col("_merges"), lambda t: F.array_join(_fold(word, t, self.slots), ","))
 
     def learn(self, docs: DataFrame, head: int = HEAD) -> None:
-        """Count all words of ``docs``, fold the most frequent ones and keep them as a literal.
+        """Count all words of ``docs``, fold the most frequent ones and keep them as a table.
 
         The cut is a count such that at most ``head`` words reach it, read off the
         histogram of counts, so only the head's words come to the driver.
@@ -180,33 +192,47 @@ class Encoder:
             least = row["n"]
         if least is None:
             return
-        rows = (counts.where(F.col("n") >= least)
-                .select("word", F.xxhash64("word").alias("h"), self.word_ids(F.col("word")).alias("ids")).collect())
-        h = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
-        self.head_slots, where = _fit(lambda s: (h >> np.uint64(65 - s.bit_length())).astype(np.int64), len(rows))
-        table = [None] * (self.head_slots + PROBES)
-        for r, at in zip(rows, where.tolist()):
-            table[at] = {"w": r["word"], "i": r["ids"]}
-        self._head = json.dumps(table, ensure_ascii=False, separators=(",", ":"))
+        chosen = counts.where(F.col("n") >= least).select("word").repartition("word")
+        chosen = materialise(self.bind(chosen).select("word", F.xxhash64("word").alias("h"), self.word_ids(F.col("word")).alias("ids")), "head")
+        h = np.array([r["h"] for r in chosen.select("h").collect()], np.int64).view(np.uint64)  # at most ``head``
+        buckets, slots = _sizes(len(h))
+        base, step = (h & np.uint64(slots - 1)).astype(np.int64), ((h >> np.uint64(24)) & np.uint64(NONE - 1) | np.uint64(1)).astype(np.int64)
+        bucket = (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+        moves = _displace(bucket, base, step, buckets, slots)
+        spark = docs.sparkSession
+        move = materialise(spark.createDataFrame([(moves.tolist(),)], "moves array<bigint>"), "head-moves")
+        slot = let(F.col("_moves"), lambda m: self._head_slot(F.col("h"), m, buckets, slots))
+        placed = chosen.select("*", move.scalar().alias("_moves")).select("word", "ids", slot.alias("slot"))
+        # one row: the words in slot order, empty slots in between
+        every = spark.range(slots).select(F.col("id").cast("int").alias("slot"))
+        row = (every.join(placed, "slot", "left").groupBy().agg(F.sort_array(F.collect_list(F.struct(
+            "slot", F.coalesce("word", F.lit("")).alias("word"), F.coalesce("ids", F.lit("")).alias("ids")))).alias("r")))
+        row = row.select(F.col("r.word").alias("words"), F.col("r.ids").alias("ids")).withColumn("moves", move.scalar())
+        self.head, self.head_slots = materialise(row, "head-table"), (buckets, slots)
+
+    @staticmethod
+    def _head_slot(h: Column, moves: Column, buckets: int, slots: int) -> Column:
+        bucket = F.shiftrightunsigned(h, 65 - buckets.bit_length()).cast("int")
+        base, step = h.bitwiseAND(F.lit(slots - 1)), F.shiftright(h, 24).bitwiseAND(F.lit(NONE - 1)).bitwiseOR(F.lit(1))
+        return (base + F.get(moves, bucket) * step).bitwiseAND(F.lit(slots - 1)).cast("int")
 
     def ids_text(self, text: Column) -> Column:
-        """Ids of a whole text, joined by commas."""
-        def of(t: Column, b: Column, head: Column) -> Column:
-            def known(w: Column, h: Column, n: int) -> Column:
-                if n == PROBES or not self.head_slots:
-                    return F.array_join(_fold(w, t, self.slots, b), ",")
-                return let(F.get(head, h + n), lambda e: F.when(e["w"] == w, e["i"]).otherwise(known(w, h, n + 1)))
+        """Ids of a whole text of a bound frame, joined by commas."""
+        def fold(t: Column, w: Column) -> Column:
+            return F.array_join(_fold(w, t, self.slots), ",")
 
-            shift = 65 - max(2, self.head_slots).bit_length()
-            return F.array_join(F.transform(self.words(text), lambda w: let(
-                F.shiftrightunsigned(F.xxhash64(w), shift).cast("int"), lambda h: known(w, h, 0))), ",")
+        def known(t: Column, head: Column, w: Column) -> Column:
+            at = self._head_slot(F.xxhash64(w), head["moves"], *self.head_slots)
+            return let(at, lambda s: F.when(F.get(head["words"], s) == w, F.get(head["ids"], s)).otherwise(fold(t, w)))
 
-        return self._with(lambda t, b: let(F.from_json(F.lit(self._head), "array<struct<w:string,i:string>>"),
-                                           lambda head: of(t, b, head)))
+        if self.head is None:
+            return let(F.col("_merges"), lambda t: F.array_join(F.transform(self.words(text), lambda w: fold(t, w)), ","))
+        return let(F.col("_merges"), lambda t: let(F.col("_head"), lambda h: F.array_join(
+            F.transform(self.words(text), lambda w: known(t, h, w)), ",")))
 
     def decoded(self, ids: Column) -> Column:
-        """Bytes of an array of ids: their binary pieces one after the other."""
-        return let(F.split(F.lit(self._pieces), ","), lambda p: F.unhex(
+        """Bytes of an array of ids of a bound frame: their binary pieces one after the other."""
+        return let(F.col("_pieces"), lambda p: F.unhex(
             F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
 
 
@@ -216,17 +242,24 @@ def ids_of(ids_text: Column) -> Column:
 
 def encode(docs: DataFrame, encoder: Encoder) -> DataFrame:
     """``docs`` plus ``ids``, the token ids of ``text``."""
-    out = docs.drop("ids").withColumn("_ids", encoder.ids_text(F.col("text")))
-    return out.withColumn("ids", ids_of(F.col("_ids"))).drop("_ids")
+    own = [c for c in docs.columns if c != "ids"]
+    told = encoder.bind(docs.select(*own)).select(*own, encoder.ids_text(F.col("text")).alias("_told"))
+    return told.select(*own, ids_of(F.col("_told")).alias("ids"))
+
+
+def decode(encoded: DataFrame, encoder: Encoder) -> DataFrame:
+    """``encoded`` plus ``bytes``, what the array ``ids`` stands for."""
+    own = [c for c in encoded.columns if c != "bytes"]
+    return encoder.bind(encoded.select(*own)).select(*own, encoder.decoded(F.col("ids")).alias("bytes"))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoder = Encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    encoder = Encoder(spark, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     encoder.learn(docs)
-    told = docs.select("doc_id", encoder.ids_text(F.col("text")).alias("told"))
-    both = told.select("doc_id", "told", ids_of(F.col("told")).alias("ids"))
-    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("told", 256).alias("ids_sha256"),
-                       F.sha2(encoder.decoded(F.col("ids")), 256).alias("decoded_sha256"))
+    told = encoder.bind(docs).select("doc_id", encoder.ids_text(F.col("text")).alias("told"))
+    back = decode(told.select("doc_id", "told", ids_of(F.col("told")).alias("ids")), encoder)
+    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("told", 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))

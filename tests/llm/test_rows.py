@@ -113,19 +113,18 @@ def library():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _encoder():
+def _encoder(spark):
     import public_tokenizers as P
 
-    return bpe.Encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    return bpe.Encoder(spark, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
 @pytest.mark.parametrize("head", [0, 50])
 def test_bpe_matches_library(spark, odd, library, head):
-    encoder = _encoder()
+    encoder = _encoder(spark)
     if head:
         encoder.learn(odd, head)
-    out = bpe.encode(odd, encoder)
-    rows = out.select("text", "ids", encoder.decoded(F.col("ids")).alias("back")).collect()
+    rows = bpe.decode(bpe.encode(odd, encoder), encoder).select("text", "ids", F.col("bytes").alias("back")).collect()
     assert len(rows) == len(ODD)
     for r in rows:
         assert r["ids"] == library.encode_ordinary(r["text"] or ""), (r["text"] or "")[:60]
@@ -140,12 +139,12 @@ def test_bpe_folds_runs_and_random_words(spark, library):
     texts += ["".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 60))) for _ in range(300)]
     texts += ["".join(chr(rng.randint(33, 700)) for _ in range(30)) for _ in range(100)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    got = {r["text"]: r["ids"] for r in bpe.encode(df, _encoder()).collect()}
+    got = {r["text"]: r["ids"] for r in bpe.encode(df, _encoder(spark)).collect()}
     assert all(got[t] == library.encode_ordinary(t) for t in texts)
 
 
-def test_bpe_empty_table(none):
-    encoder = _encoder()
+def test_bpe_empty_table(spark, none):
+    encoder = _encoder(spark)
     encoder.learn(none)
     assert bpe.encode(none, encoder).count() == 0
 
