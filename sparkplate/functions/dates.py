@@ -13,15 +13,14 @@ def _c(c: Column | str) -> Column:
 
 
 def date_spine(spark: SparkSession, begin: str, end: str, name: str = "CalendarDate",
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int = 1) -> DataFrame:
     """One row per day from ``begin`` to ``end``, both ends included.
 
-    The days are generated from ``spark.range`` over the day offsets, so the rows are spread
-    over ``num_partitions`` tasks instead of being exploded from one array in one task.
+    The days are generated from ``spark.range`` over the day offsets; a calendar is a few
+    thousand rows, ``num_partitions`` spreads a longer one.
     """
     days = (date.fromisoformat(end) - date.fromisoformat(begin)).days
-    parts = num_partitions or max(1, min(spark.sparkContext.defaultParallelism, days // 4096 + 1))
-    return (spark.range(0, days + 1, 1, parts)
+    return (spark.range(0, days + 1, 1, num_partitions)
             .select(F.date_add(F.to_date(F.lit(begin)), F.col("id").cast("int")).alias(name)))
 
 
@@ -53,5 +52,6 @@ def fiscal_month(c: Column | str, start_month: int) -> Column:
 
 def month_start(c: Column | str) -> Column:
     """Month grain of a timestamp held as text (F13); the cast is required because the
-    silver layer keeps review dates as strings."""
-    return F.to_date(F.date_trunc("month", F.to_timestamp(_c(c))))
+    silver layer keeps review dates as strings. Malformed text gives null (its own month
+    group), not an error."""
+    return F.to_date(F.date_trunc("month", F.try_to_timestamp(_c(c))))

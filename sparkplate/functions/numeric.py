@@ -4,11 +4,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_half_up(c: Column | str, digits: int, guard: int = 9) -> Column:
+def round_half_up(c: Column | str, digits: int) -> Column:
     """``ROUND(x, digits)`` with decimal half-up rounding, returned as double.
 
-    The value is first fixed to ``guard`` decimals, so the result does not depend on the
-    binary representation of the double (2.345 -> 2.35 in any engine).
+    One rounding, of the shortest decimal that stands for the double: 2.345 gives 2.35 and
+    2.3449999996 gives 2.34.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast(f"decimal(38,{guard})"), digits).cast("double")
+    return F.round(col.cast("double"), digits)

@@ -9,49 +9,47 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkplate.session import checkpoint_dir
+from sparkplate.session import checkpoint_dir, cut_lineage
 
 # The reference's two model configurations.
 MAIN_CONFIG = dict(rank=4, max_iter=4, reg=0.35, nonnegative=True, seed=42)
 ALT_CONFIG = dict(rank=12, max_iter=10, reg=0.1, nonnegative=False, seed=42)
 
+#: Factor blocks of users and of items. MLlib seeds its factors per block, so the number is
+#: part of the result: it is a fixed parameter, not taken from the cluster. A block holds
+#: all ratings of its users or items; raise it for more than some hundred million ratings.
+NUM_BLOCKS = 10
+
 
 def _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col, rating_col,
          num_blocks) -> ALS:
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=user_col, itemCol=item_col,
+    return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=user_col, itemCol=item_col,
               ratingCol=rating_col, nonnegative=nonnegative, implicitPrefs=False,
-              coldStartStrategy=cold_start, seed=seed, checkpointInterval=5)
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return als
-
-
-def _blocks(ratings: DataFrame, num_blocks: int | None) -> int:
-    """Factor blocks: one per core of the cluster (at least 10, the library default), so
-    each iteration's block joins use the whole cluster rather than ten tasks."""
-    return num_blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+              coldStartStrategy=cold_start, seed=seed, checkpointInterval=5,
+               numUserBlocks=num_blocks, numItemBlocks=num_blocks)
 
 
-def train_als(ratings: DataFrame, rank: int = 4, max_iter: int = 4, reg: float = 0.35,
-              nonnegative: bool = True, seed: int = 42, cold_start: str = "drop",
+def train_als(ratings: DataFrame, rank: int = MAIN_CONFIG["rank"], max_iter: int = MAIN_CONFIG["max_iter"],
+              reg: float = MAIN_CONFIG["reg"], nonnegative: bool = True, seed: int = 42, cold_start: str = "drop",
               user_col: str = "userid", item_col: str = "businessid", rating_col: str = "stars",
-              num_blocks: int | None = None) -> ALSModel:
+              num_blocks: int = NUM_BLOCKS) -> ALSModel:
     """M4: explicit-feedback ALS; defaults are the reference's main configuration."""
     checkpoint_dir(ratings.sparkSession)
     return _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col,
-                rating_col, _blocks(ratings, num_blocks)).fit(ratings)
+                rating_col, num_blocks).fit(ratings)
 
 
-def train_als_pipeline(ratings: DataFrame, rank: int = 12, max_iter: int = 10, reg: float = 0.1,
+def train_als_pipeline(ratings: DataFrame, rank: int = ALT_CONFIG["rank"],
+                       max_iter: int = ALT_CONFIG["max_iter"], reg: float = ALT_CONFIG["reg"],
                        seed: int = 42, user_col: str = "userid", item_col: str = "businessid",
-                       rating_col: str = "stars") -> PipelineModel:
+                       rating_col: str = "stars", num_blocks: int = NUM_BLOCKS) -> PipelineModel:
     """M4, second configuration: ALS as the single stage of a ``Pipeline``."""
     checkpoint_dir(ratings.sparkSession)
     als = _als(rank, max_iter, reg, False, seed, "drop", user_col, item_col, rating_col,
-               _blocks(ratings, None))
+               num_blocks)
     return Pipeline(stages=[als]).fit(ratings)
 
 
@@ -69,16 +67,35 @@ def error_metrics(pred: DataFrame, label: str = "stars", prediction: str = "pred
             .withColumn("rmse", F.sqrt("mse")))
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int = 5, user_col: str = "userid") -> DataFrame:
+def recommend(model: ALSModel, users: DataFrame, n: int = 5, user_col: str = "userid",
+              count_col: str | None = None) -> DataFrame:
     """Top-``n`` items per requested user, long form ``(userid, businessid, rating)``.
 
     ``users`` is a table of requests (one HTTP request of the reference = one row here).
+    ``count_col`` names a column with a request's own list length; ``n`` is then the
+    greatest length served, and a user who asks several times gets the longest list.
+    MLlib scores the asked users against all item blocks, block by block.
     """
-    recs = model.recommendForUserSubset(users.select(user_col).distinct(), n)
+    asked = users.select(user_col).distinct()
+    if count_col:
+        asked = users.groupBy(user_col).agg(F.least(F.max(count_col), F.lit(n)).alias("_want"))
+    recs = model.recommendForUserSubset(asked.select(user_col), n)
     item_col = model.getItemCol()
+    if count_col:
+        recs = recs.join(asked, user_col).withColumn(
+            "recommendations", F.slice("recommendations", F.lit(1), F.greatest("_want", F.lit(0))))
     return recs.select(user_col, F.inline("recommendations")).select(user_col, item_col, "rating")
 
 
+def top_n(scores: DataFrame, n: int = 5, user_col: str = "userid", item_col: str = "businessid",
+          score_col: str = "rating") -> DataFrame:
+    """O5 over any scored candidates ``(user, item, score)``: each user's ``n`` best, ties by item.
+
+    The row limit per group is applied inside every task before the shuffle."""
+    best = Window.partitionBy(user_col).orderBy(F.col(score_col).desc(), F.col(item_col))
+    return (scores.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).drop("_rank"))
+
+
 def recommend_grouped(recs: DataFrame, user_col: str = "userid", item_col: str = "businessid") -> DataFrame:
     """M7, grouped form: one row per user with ``results`` sorted by rating desc.
 
@@ -111,6 +128,8 @@ def train_and_evaluate(ratings: DataFrame, rank: int = 4, max_iter: int = 4, reg
     else:
         from sparkplate.operators.split import time_split
         train, test = (split or time_split)(ratings)
+    # Both sides are read several times below
+    train, test = cut_lineage(train), cut_lineage(test)
     model = train_als(train, rank=rank, max_iter=max_iter, reg=reg, seed=seed)
     metrics = {"rank": rank, "max_iter": max_iter, "reg": reg,
                "training_nrows": train.count(), "test_nrows": test.count()}

@@ -4,14 +4,13 @@ The document-term matrix is a long DataFrame ``(id, term, weight)``: sparse, par
 Spark, never materialised as N x N. Numbers follow the reference's vectorizer defaults:
 
 * lower-case, token = run of 2+ word characters, English stop words removed;
-* vocabulary = the ``max_features`` terms with the largest total count (ties: term asc);
+* vocabulary = all terms, or the ``max_features`` with the largest total count (ties: term asc);
 * ``tf`` = raw count, ``idf = ln((1 + N) / (1 + df)) + 1`` (N = all documents);
 * each document row L2-normalised, so cosine similarity is a dot product.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -27,32 +26,41 @@ def term_counts(df: DataFrame, id_col: str, text_col: str,
                 stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS) -> DataFrame:
     """``(id, term, tf)``: raw count of each kept token per document.
 
-    Tokens are counted inside each task first (partial aggregation), so what is shuffled is
-    one row per distinct (document, term), not one per token.
+    Tokens are counted inside the document's row (sorted, then runs of equal tokens), so
+    nothing is shuffled: one row per distinct (document, term) leaves the scan. Rows of one
+    id are documents of their own, as ids are keys here.
     """
-    toks = df.select(F.col(id_col), F.explode(tokens(text_col)).alias("term"))
+    toks = tokens(text_col)
     if stop_words:
-        toks = toks.where(~F.col("term").isin(list(stop_words)))
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+        toks = F.filter(toks, lambda t: ~t.isin(list(stop_words)))
+
+    def runs(s):
+        starts = F.filter(F.transform(s, lambda x, i: F.when(x.eqNullSafe(F.get(s, i - 1)), F.lit(-1)).otherwise(i)),
+                          lambda i: i >= 0)
+        return F.transform(F.array(starts), lambda p: F.transform(p, lambda i, j: F.struct(
+            F.get(s, i).alias("term"),
+            (F.coalesce(F.get(p, j + 1), F.size(s)) - i).cast("bigint").alias("tf"))))[0]
+
+    counted = F.transform(F.array(F.sort_array(toks)), runs)[0]
+    return df.select(F.col(id_col), F.inline(counted))
 
 
 def tfidf(df: DataFrame, id_col: str = "business_id", text_col: str = "text_features",
-          max_features: int | None = 5000,
+          max_features: int | None = None,
           stop_words: Sequence[str] | None = ENGLISH_STOP_WORDS) -> DataFrame:
     """M9: ``(id, term, weight)`` for every document with at least one vocabulary term.
 
-    The vocabulary (at most ``max_features`` rows) is broadcast to every task; that size
-    bound is the parameter itself. Without a cap the term table is joined by shuffle.
+    All terms count by default; ``max_features`` keeps only the terms with the largest
+    totals (the reference's setting is 5,000). Either way the vocabulary is joined as it is:
+    AQE broadcasts it if its runtime size allows, else it joins by shuffle.
     """
     n_docs = df.count()
     # term counts feed both the vocabulary and the weights: materialised once, so the
-    # corpus is tokenised once (the checkpoint also survives a lost executor)
+    # corpus is tokenised once (the copy also survives a lost executor)
     tf = cut_lineage(term_counts(df, id_col, text_col, stop_words))
-    terms = tf.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
+    vocab = tf.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
     if max_features:
-        vocab = F.broadcast(terms.orderBy(F.col("_total").desc(), F.col("term")).limit(max_features))
-    else:
-        vocab = terms
+        vocab = vocab.orderBy(F.col("_total").desc(), F.col("term")).limit(max_features)
     idf = F.log(F.lit(float(1 + n_docs)) / (F.col("_df") + 1)) + 1
     weighted = tf.join(vocab.select("term", idf.alias("_idf")), "term").select(
         id_col, "term", (F.col("tf") * F.col("_idf")).alias("_w"))
@@ -73,34 +81,21 @@ def similar_items(vectors: DataFrame, items: DataFrame, titles: Sequence[str], k
     * candidates sharing no term score 0 and fill the list only when fewer than ``k``
       items score above 0; ties (scores equal at ``digits`` decimals) go by id.
     """
-    cols = [id_col, name_col, "score"]
     if not titles:
         return items.select(id_col, name_col, F.lit(0.0).alias("score")).where(F.lit(False))
-    selected = first_per(items.select(id_col, name_col).where(F.col(name_col).isin(list(titles))),
-                         name_col, id_col).select(id_col)
-    # the selected vectors are small (titles x terms of those items); AQE broadcasts them
-    # after checking their runtime size, and falls back to a shuffle join otherwise
-    sel_vec = vectors.join(F.broadcast(selected), id_col, "left_semi").select(
+    selected = cut_lineage(first_per(items.select(id_col, name_col).where(F.col(name_col).isin(list(titles))),
+                                     name_col, id_col).select(id_col))
+    # the selected rows and vectors are small (titles x terms of those items); AQE
+    # broadcasts them after checking their runtime size, else it joins by shuffle
+    sel_vec = vectors.join(selected, id_col, "left_semi").select(
         F.col(id_col).alias("_sel"), "term", F.col("weight").alias("_sw"))
     dots = (vectors.join(sel_vec, "term")
             .groupBy(id_col, "_sel").agg(F.sum(F.col("weight") * F.col("_sw")).alias("_dot"))
-            .groupBy(id_col).agg(F.max("_dot").alias("score")))
-    positive = (dots.where(F.col("score") > 0)
-                .join(F.broadcast(selected), id_col, "left_anti")
-                .withColumn("score", round_half_up(F.col("score"), digits)))
-    names = items.select(id_col, name_col)
-    scored = positive.join(names, id_col)
-    # zero-score fill exists only when some title was found (semi-join on a constant key
-    # against the selected rows, at most len(titles) of them)
-    found = F.broadcast(selected.select(F.lit(1).alias("_any")).distinct())
-    zero = (names.join(positive.select(id_col), id_col, "left_anti")
-            .join(F.broadcast(selected), id_col, "left_anti")
-            .withColumn("_any", F.lit(1)).join(found, "_any", "left_semi").drop("_any")
-            .withColumn("score", F.lit(0.0)))
-    best = scored.select(*cols).unionByName(zero.select(*cols))
-    return best.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
-
-
-def idf_value(n_docs: int, df: int) -> float:
-    """The smoothed idf of one term, for tests."""
-    return math.log((1 + n_docs) / (1 + df)) + 1
+            .groupBy(id_col).agg(F.max("_dot").alias("_best")))
+    # a score of zero only where some title was found (one-row semi-join on a constant key)
+    found = selected.select(F.lit(1).alias("_any")).distinct()
+    candidates = (items.select(id_col, name_col).join(selected, id_col, "left_anti")
+                  .withColumn("_any", F.lit(1)).join(found, "_any", "left_semi"))
+    scored = candidates.join(dots, id_col, "left").select(
+        id_col, name_col, F.when(F.col("_best") > 0, round_half_up(F.col("_best"), digits)).otherwise(F.lit(0.0)).alias("score"))
+    return scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)

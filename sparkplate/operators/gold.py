@@ -39,6 +39,14 @@ def analyses_review(fact: DataFrame, dim_restaurant: DataFrame, dim_user: DataFr
     return _star_join(fact, dim_restaurant, dim_user)
 
 
+def gold_sql(fact: str, dim_restaurant: str, dim_user: str) -> str:
+    """J4 as SQL text over catalog views, for a view that outlives the session."""
+    carried = ", ".join(f"dr.{c} AS {g}" for c, g in GOLD_RESTAURANT_COLUMNS)
+    return (f"SELECT fr.*, {carried}, du.user_name FROM {fact} fr "
+            f"LEFT JOIN {dim_restaurant} dr ON fr.restaurant_id = dr.restaurant_id "
+            f"LEFT JOIN {dim_user} du ON fr.user_id = du.user_id")
+
+
 def _star_join(fact: DataFrame, dim_restaurant: DataFrame | None, dim_user: DataFrame | None) -> DataFrame:
     out = fact
     if dim_restaurant is not None:

@@ -31,7 +31,7 @@ _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
-    """1-based ``row_number() OVER (ORDER BY order)`` without a single-partition exchange."""
+    """1-based bigint ``row_number() OVER (ORDER BY order)`` without a single-partition exchange."""
     # without an explicit count AQE may merge adjacent range partitions (a merged
     # partition is still one contiguous range, so positions stay in order)
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
@@ -45,14 +45,15 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
     before = Window.orderBy("__rn_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__rn_part", F.coalesce(F.sum("__rn_n").over(before), F.lit(0)).alias("__rn_off"))
     return (tagged.join(F.broadcast(offsets), "__rn_part")
-            .withColumn(out, (F.col("__rn_off") + F.col("__rn_idx") + 1).cast("int"))
+            .withColumn(out, F.col("__rn_off") + F.col("__rn_idx") + 1)
             .drop("__rn_mid", "__rn_part", "__rn_idx", "__rn_off"))
 
 
 def encode_ids(df: DataFrame, key: str, out: str, num_partitions: int | None = None) -> DataFrame:
     """M1: ``(key, out)``, with ``out`` = 1-based int rank of the distinct key (nulls first)."""
     keys = df.select(key).distinct()
-    return global_row_number(keys, [F.col(key).asc_nulls_first()], out, num_partitions)
+    numbered = global_row_number(keys, [F.col(key).asc_nulls_first()], out, num_partitions)
+    return numbered.withColumn(out, F.col(out).cast("int"))  # MLlib's ALS takes int ids only
 
 
 def restaurant_transform(restaurant: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -78,13 +79,20 @@ def user_account(user: DataFrame, with_pass: bool = False,
 
 
 def encode_ratings(ratings: DataFrame, user_ids: DataFrame | None = None,
-                   item_ids: DataFrame | None = None, num_partitions: int | None = None) -> DataFrame:
+                   item_ids: DataFrame | None = None, own_keys: bool = False,
+                   num_partitions: int | None = None) -> DataFrame:
     """Ratings with int ids: ``business_id, user_id, stars, date, userid, businessid``.
 
-    By default each side is numbered over the keys present in ``ratings`` (the reference's
-    behaviour). Pass the maps built from the dimensions (``restaurant_transform`` /
-    ``user_account``) to train and look up with one shared numbering.
+    Pass the maps built from the dimensions (``restaurant_transform`` / ``user_account``):
+    training and look-up then share one numbering. ``own_keys=True`` numbers each missing
+    side over the keys present in ``ratings`` instead (the reference's training script);
+    such ids mean nothing to a dimension that has keys without ratings, so it must be asked
+    for. The ratings are then written once and read for both maps and the join.
     """
+    if (user_ids is None or item_ids is None) and not own_keys:
+        raise ValueError("pass user_ids and item_ids, or own_keys=True")
+    if user_ids is None or item_ids is None:
+        ratings = cut_lineage(ratings)
     if user_ids is None:
         user_ids = encode_ids(ratings, "user_id", "userid", num_partitions)
     if item_ids is None:

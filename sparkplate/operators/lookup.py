@@ -12,16 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkplate.session import cut_lineage
+
 
 def first_per(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
-    """One row per ``key``, the one with the smallest ``order``.
+    """One row per ``key``, the one with the smallest ``order``; a null ``order`` comes
+    last, ties go to the smallest row of the other (orderable) columns.
 
     ``min_by`` over a struct is a partial aggregate: a key that holds a third of all rows
     is reduced inside every task before the shuffle, unlike a window over the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_first")
+    orderable = [c for c, t in df.dtypes if c in rest and "map<" not in t and "variant" not in t]
+    rank = F.struct(F.col(order).isNull(), F.col(order), *[F.col(c) for c in orderable if c != order])
+    packed = F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_first")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
@@ -49,10 +54,12 @@ def enrich_recommendations(recs: DataFrame, items: DataFrame, id_col: str = "bus
 
     One inner join against the item table deduplicated to one row per id (the first by
     ``key_col``); recommendations whose id or name is missing are dropped, as in the
-    reference. The item side is left to AQE: broadcast only if its runtime size is small.
+    reference. The item side is written once to the shared folder, so the join has an
+    exchange of its own on both sides: AQE broadcasts a small item table, and otherwise can
+    split an item that sits in a large share of all lists.
     """
-    one = first_per(items.select(id_col, key_col, name_col).where(
-        F.col(key_col).isNotNull() & F.col(name_col).isNotNull()), id_col, key_col)
+    one = cut_lineage(first_per(items.select(id_col, key_col, name_col).where(
+        F.col(key_col).isNotNull() & F.col(name_col).isNotNull()), id_col, key_col))
     return (recs.join(one, id_col)
             .select("userid", key_col, name_col, F.col("rating").alias("score")))
 

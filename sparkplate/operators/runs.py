@@ -1,7 +1,7 @@
 """Run metrics table and run selection.
 
-A metrics table of rows ``(run_id, run_name, run_ts, metric, value)`` replaces the
-experiment server: runs append to it, look-ups are filters and orderings over it.
+A metrics table of rows ``(run_id, run_name, run_ts, metric, value, text)`` replaces the
+experiment server (numbers in ``value``, text parameters such as a model path in ``text``): runs append to it, look-ups are filters and orderings over it.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("run_ts", T.TimestampType(), True),
     T.StructField("metric", T.StringType(), False),
     T.StructField("value", T.DoubleType(), True),
+    T.StructField("text", T.StringType(), True),
 ])
 
 
-def metrics_rows(spark: SparkSession, run_id: str, run_name: str, metrics: Mapping[str, float],
+def metrics_rows(spark: SparkSession, run_id: str, run_name: str, metrics: Mapping[str, float | str],
                  run_ts: datetime | None = None) -> DataFrame:
     """The rows one run logs (a handful of scalars per run)."""
     ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
-    rows = [(run_id, run_name, ts, k, float(v)) for k, v in metrics.items()]
+    rows = [(run_id, run_name, ts, k, None, v) if isinstance(v, str) else (run_id, run_name, ts, k, float(v), None)
+            for k, v in metrics.items()]
     return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
@@ -37,7 +39,8 @@ def metrics_from_frame(df: DataFrame, run_name_col: str = "run_name", ts: dateti
                                   for c in metric_cols])).alias("_m")
     run_ts = F.lit(ts).cast("timestamp") if ts else F.current_timestamp()
     return df.select(F.col(run_name_col).alias("run_id"), F.col(run_name_col).alias("run_name"),
-                     run_ts.alias("run_ts"), stacked).select("run_id", "run_name", "run_ts", "_m.metric", "_m.value")
+                     run_ts.alias("run_ts"), stacked).select("run_id", "run_name", "run_ts", "_m.metric", "_m.value",
+                                                             F.lit(None).cast("string").alias("text"))
 
 
 def log_metrics(metrics: DataFrame, table: str) -> None:

@@ -4,31 +4,39 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkplate.functions.scoring import weighted_rating as _formula
-from sparkplate.operators.ids import global_row_number
+from sparkplate.session import cut_lineage
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     """Linear-interpolation quantile of the non-null values (pandas' default rule), exact.
 
-    The values are ranked by the distributed ``global_row_number`` and only the (at most)
-    two rows around position ``q * (n - 1)`` reach the driver, so no task ever holds all
-    distinct values (unlike a global ``percentile`` aggregate).
+    Equal values are counted first (partial aggregation), so a value held by a third of the
+    rows is one row. The distinct values are range-partitioned; sums per partition (one row
+    each) become offsets, and a running sum inside each partition gives the position up to
+    which a value reaches. Only the (at most) two values around ``q * (n - 1)`` reach the
+    driver.
     """
     vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_row_number(vals, [F.col("_v").asc()], "_r")
-    n = ranked.count()
-    if n == 0:
+    counts = cut_lineage(vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).repartitionByRange("_v")
+                         .withColumn("_part", F.spark_partition_id()))
+    parts = counts.groupBy("_part").agg(F.sum("_n").alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    n = parts.agg(F.sum("_sum")).first()[0]
+    if not n:
         return None
+    inside = Window.partitionBy("_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.join(F.broadcast(offsets), "_part").select("_v", (F.col("_off") + F.sum("_n").over(inside)).alias("_end"), "_n")
     pos = q * (n - 1)
     lo = math.floor(pos)
     hi = min(lo + 1, n - 1)
-    got = {r["_r"]: r["_v"] for r in ranked.where(F.col("_r").isin(lo + 1, hi + 1)).collect()}
-    v_lo, v_hi = got[lo + 1], got[hi + 1]
-    return v_lo + (v_hi - v_lo) * (pos - lo)
+    holds = [(F.col("_end") > i) & (F.col("_end") - F.col("_n") <= i) for i in (lo, hi)]
+    got = upto.agg(*[F.max(F.when(h, F.col("_v"))) for h in holds]).first()
+    return got[0] + (got[1] - got[0]) * (pos - lo)
 
 
 def weighted_rating(df: DataFrame, q: float = 0.70, votes: str = "review_count", stars: str = "stars",

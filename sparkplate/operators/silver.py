@@ -50,6 +50,18 @@ def fact_review(review: DataFrame) -> DataFrame:
     )
 
 
+def view_sql(restaurant: str, user: str, review: str) -> dict[str, str]:
+    """P1-P3 as SQL text over catalog tables, for views that outlive the session."""
+    def columns(pairs):
+        return ", ".join(f"{s} AS {t}" for s, t in pairs)
+    return {
+        "dim_user": f"SELECT {columns(DIM_USER_COLUMNS)} FROM {user}",
+        "dim_restaurant": f"SELECT {columns(DIM_RESTAURANT_COLUMNS)} FROM {restaurant}",
+        "fact_review": "SELECT review_id, business_id AS restaurant_id, user_id, stars, cool, funny, useful, "
+                       f"CAST(date AS STRING) AS review_date, text AS review_description FROM {review}",
+    }
+
+
 def review_features(review: DataFrame) -> DataFrame:
     """The feature-store projection used for training."""
     return review.select("business_id", "user_id", "stars", "date")

@@ -9,12 +9,11 @@
    on every run and in every engine); the same number ``k`` of the latest training rows
    moves to test, so the test size stays ``n``.
 
-Positions come from the distributed ``global_row_number`` (no single-partition sort);
-whether a user has a training row is ``max(position) > n`` per user, an aggregate joined
-back (AQE splits a hot user on the rating side). The ranked rows are checkpointed into
-the shared checkpoint folder by ``global_row_number``: the count ``k`` and both outputs
-derive from that one materialisation, and a lost executor re-reads it instead of
-recomputing the ranking.
+Positions come from the distributed ``global_row_number`` (no single-partition sort). Only
+the test part asks whether its user trains: the users of training rows, one row each, are
+written to the shared folder and joined back, so both sides of that join are exchanged for
+it alone and AQE can split a hot user. The flagged rows are written once; the count ``k``
+and both outputs read that copy, and a lost executor re-reads it.
 """
 
 from __future__ import annotations
@@ -25,19 +24,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkplate.operators.ids import global_row_number
+from sparkplate.session import cut_lineage
 
 RATING_COLUMNS = ["business_id", "user_id", "stars", "date", "userid", "businessid"]
 
 
-def swap_threshold(swap: float) -> str:
-    """Two lowercase hex digits: ``md5`` prefixes below it make up ``swap`` of all rows."""
-    return format(min(255, max(0, round(swap * 256))), "02x")
+HASH_BITS = 60
+
+
+def hash60(*parts: Column) -> Column:
+    """A 60-bit non-negative integer from the md5 of the parts joined by ``|``."""
+    digest = F.md5(F.concat_ws("|", *parts))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def share_bound(share: float | Fraction) -> int:
+    """Hashes below it make up ``share`` of all; 1 and more take every row, 0 none."""
+    return min(1 << HASH_BITS, max(0, int((share if isinstance(share, Fraction) else Fraction(str(share))) * (1 << HASH_BITS))))
 
 
 def row_hash(seed: int) -> Column:
-    parts = [F.lit(str(seed)), F.col("user_id"), F.col("business_id"), F.col("date"),
-             F.col("stars").cast("string")]
-    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 2)
+    return hash60(F.lit(str(seed)), F.col("user_id"), F.col("business_id"), F.col("date"),
+                  F.col("stars").cast("string"))
 
 
 def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed: int = 42,
@@ -46,16 +54,19 @@ def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed:
     d = ratings.select(*RATING_COLUMNS).distinct()
     order = [F.col("date").desc_nulls_last(), F.col("user_id").asc_nulls_first(),
              F.col("business_id").asc_nulls_first(), F.col("stars").asc_nulls_first()]
-    ranked = global_row_number(d, order, "_pos", num_partitions)
-    total = ranked.count()  # read from the checkpointed ranking, not a new pass over the input
+    ranked = cut_lineage(global_row_number(d, order, "_pos", num_partitions))
+    total = ranked.count()
     n = int(Fraction(total) * Fraction(str(ratio)))
-    user_last = ranked.groupBy("userid").agg(F.max("_pos").alias("_umax"))
-    moved = (F.col("_pos") <= n) & (F.col("_umax") <= n) & (row_hash(seed) < F.lit(swap_threshold(swap)))
-    flagged = ranked.join(user_last, "userid").withColumn("_moved", moved)
-    k = flagged.where("_moved").count()
+    trains = cut_lineage(ranked.where(F.col("_pos") > n).select(F.col("userid").alias("_uid")).distinct())
+    late = ranked.where(F.col("_pos") <= n)
+    new = late.join(trains, F.col("userid") == F.col("_uid"), "left").where(F.col("_uid").isNull())
+    moved = cut_lineage(new.where(row_hash(seed) < F.lit(share_bound(swap))).select("_pos"))
+    k = moved.count()
+    stay = late.join(moved, "_pos", "left_anti")
+    swapped = late.join(moved, "_pos", "left_semi")
     pos = F.col("_pos")
-    train = flagged.where((pos > n + k) | F.col("_moved"))
-    test = flagged.where(((pos <= n) & ~F.col("_moved")) | ((pos > n) & (pos <= n + k)))
+    train = ranked.where(pos > n + k).unionByName(swapped.select(*ranked.columns))
+    test = stay.select(*ranked.columns).unionByName(ranked.where((pos > n) & (pos <= n + k)))
     return _typed(train), _typed(test)
 
 
@@ -72,18 +83,16 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
     re-evaluation, so the pieces are disjoint and complete on every run (``randomSplit``
     samples per partition and may differ when a partition is recomputed).
     """
-    total = float(sum(weights))
-    bounds, acc = [], 0.0
-    for w in weights:
-        acc += w / total
-        bounds.append(format(min(65536, round(acc * 65536)), "04x") if acc < 1 else None)
-    u = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])), 1, 4)
-    pieces, lower = [], None
-    for upper in bounds:
-        cond = F.lit(True)
-        if lower is not None:
-            cond = cond & (u >= F.lit(lower))
-        if upper is not None:
+    shares = [Fraction(str(w)) for w in weights]
+    total, acc, bounds = sum(shares), Fraction(0), []
+    for w in shares:
+        acc += w
+        bounds.append(share_bound(acc / total))
+    u = hash60(F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])
+    pieces, lower = [], 0
+    for i, upper in enumerate(bounds):
+        cond = u >= F.lit(lower)
+        if i < len(bounds) - 1:  # the last piece is open, so every row has a piece
             cond = cond & (u < F.lit(upper))
         pieces.append(df.where(cond))
         lower = upper

@@ -7,6 +7,7 @@ the operator; queries without one (ALS, random split) get a rows-only check.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from sparkplate.operators import runs as R
 from sparkplate.operators import scoring as S
 from sparkplate.operators import split as SP
 from sparkplate.session import cut_lineage
-from sparkplate.sources.catalog import publish_view, query as sql_query
+from sparkplate.sources.catalog import ensure_namespace, publish_view, query as sql_query, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,10 +46,13 @@ def query(name: str, sql: str | None = None):
 
 
 def flat_hours(df: DataFrame) -> DataFrame:
-    """Replace the ``hours`` struct by its Monday field for engine-neutral comparison."""
-    if "hours" not in df.columns:
-        return df
-    cols = [F.col("hours.Monday").alias("hours_monday") if c == "hours" else F.col(c) for c in df.columns]
+    """Replace the ``hours`` struct by one column per day for engine-neutral comparison."""
+    cols = []
+    for c in df.columns:
+        if c == "hours":
+            cols += [F.col(f"hours.{d}").alias(f"hours_{d.lower()}") for d in analogs.WEEKDAYS]
+        else:
+            cols.append(F.col(c))
     return df.select(*cols)
 
 
@@ -125,6 +129,9 @@ def dim_date_orders(s, d):
 query("dim_date", DIM_DATE_SQL.format(
     span="SELECT CAST(min(l_shipdate) AS DATE) AS b, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem"))(
     dim_date_reviews)
+# the default span of the operator: 9,863 days, whatever the tables hold; the span is its own input
+query("dim_date_default", DIM_DATE_SQL.format(span="SELECT DATE '2010-01-01' AS b, DATE '2037-01-01' AS e"))(
+    lambda s, d: dim_date(s))
 query("dim_date_wide", DIM_DATE_SQL.format(
     span="SELECT (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS b, "
          "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) AS e"))(dim_date_orders)
@@ -132,8 +139,28 @@ query("dim_date_wide", DIM_DATE_SQL.format(
 
 # ---- dashboards A1-A26 ---------------------------------------------------------------
 
+#: Gold columns a chart reads. Both dimension keys are unique (check_unique_user_id and
+#: check_unique_restaurant_id are empty), so a dimension that a chart does not read is not joined.
+CHART_COLUMNS = {
+    "a07_reviews_over_time": ["review_date"], "a08_avg_stars_over_time": ["review_date", "stars"],
+    "a09_total_funny": ["funny"], "a10_total_cool": ["cool"], "a11_total_useful": ["useful"],
+    "a12_review_stars_distribution": ["stars"], "a15_avg_rating_by_city": ["city", "restaurant_stars"],
+    "a16_city_metrics": ["city", "state", "restaurant_id", "restaurant_stars"],
+    "a24_top_cities_by_restaurants": ["city", "restaurant_id"], "a25_reviews_trend": ["review_date"],
+    "a26_top_categories": ["categories"],
+}
+
+
+def chart_gold(spark, d, columns):
+    return analyses_review(fr(spark, d), dr(spark, d), du(spark, d), needed=columns, unique_dims=True)
+
+
 def _chart(name: str, fn, key: str, sql: str) -> None:
-    query(name, with_views(sql, VIEW_OF[key]))(lambda s, d, fn=fn, key=key: fn(INPUTS[key](s, d)))
+    if key == "ar":
+        query(name, with_views(sql, VIEW_OF[key]))(
+            lambda s, d, fn=fn, name=name: fn(chart_gold(s, d, CHART_COLUMNS[name])))
+    else:
+        query(name, with_views(sql, VIEW_OF[key]))(lambda s, d, fn=fn, key=key: fn(INPUTS[key](s, d)))
 
 
 def _topk(group: str, metric_sql: str, alias: str, table: str, k: int | None, ordered: bool = True) -> str:
@@ -191,7 +218,8 @@ FROM analyses_review WHERE stars IN (4, 5) GROUP BY city, state
 ORDER BY reviews DESC NULLS LAST, city ASC NULLS LAST, state ASC NULLS LAST LIMIT 50""", "analyses_review"))
 def city_metrics_filtered(spark, d):
     """P17 then A16: a dashboard filter on review stars reaches the fact scan."""
-    return A.a16_city_metrics(A.apply_filters(ar(spark, d), {"stars": [4, 5]}))
+    gold = chart_gold(spark, d, ["city", "state", "restaurant_id", "restaurant_stars"])
+    return A.a16_city_metrics(A.apply_filters(gold, {"stars": [4, 5]}))
 
 
 # ---- data quality (D1-D3, A32, A33, U3) ----------------------------------------------
@@ -218,6 +246,44 @@ query("check_not_null_user_name", with_views(
     "SELECT * FROM analyses_review WHERE user_name IS NULL", "analyses_review"))(
     lambda s, d: flat_hours(Q.check_not_null(ar(s, d), "user_name")))
 
+# documents without a label give null keys and unmatched rows in the driver's own data
+DOC_LABELS_SQL = "SELECT doc_id, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)"
+
+
+def doc_labels(s, d):
+    docs = analogs.table(s, d, "documents").select("doc_id", "source")
+    labels = analogs.table(s, d, "labels").select("doc_id", "quality", "toxic")
+    return docs.join(labels, "doc_id", "left").select("doc_id", "source", "quality", "toxic")
+
+
+query("check_not_null_quality", f"SELECT * FROM ({DOC_LABELS_SQL}) WHERE quality IS NULL")(
+    lambda s, d: Q.check_not_null(doc_labels(s, d), "quality"))
+query("check_unique_source", "SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL "
+      "GROUP BY source HAVING count(*) > 1")(
+    lambda s, d: Q.check_unique(analogs.table(s, d, "documents"), "source"))
+
+
+def doc_gold(s, d):
+    """J4 with unmatched facts: documents as facts; labels as users and (where not toxic) as restaurants."""
+    docs, labels = analogs.table(s, d, "documents"), analogs.table(s, d, "labels")
+    key = F.col("doc_id").cast("string")
+    fact = docs.select(key.alias("review_id"), key.alias("restaurant_id"), key.alias("user_id"),
+                       F.col("n_chars").alias("stars"), F.col("source").alias("review_description"))
+    rest = labels.where("toxic = 0").select(key.alias("restaurant_id"), F.concat(F.lit("r"), key).alias("restaurant_name"),
+                                            F.col("quality").cast("double").alias("stars"))
+    return analyses_review(fact, rest, labels.select(key.alias("user_id"), F.concat(F.lit("u"), F.col("quality").cast("string")).alias("user_name")))
+
+
+DOC_GOLD_SQL = """SELECT f.*, r.restaurant_name, r.stars AS restaurant_stars, u.user_name
+FROM (SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id AS VARCHAR) AS restaurant_id,
+             CAST(doc_id AS VARCHAR) AS user_id, n_chars AS stars, source AS review_description FROM documents) f
+LEFT JOIN (SELECT CAST(doc_id AS VARCHAR) AS k, 'r' || doc_id AS restaurant_name, CAST(quality AS DOUBLE) AS stars
+           FROM labels WHERE toxic = 0) r ON f.restaurant_id = r.k
+LEFT JOIN (SELECT CAST(doc_id AS VARCHAR) AS k, 'u' || quality AS user_name FROM labels) u ON f.user_id = u.k"""
+query("gold_unmatched", DOC_GOLD_SQL)(doc_gold)
+query("check_not_null_gold", f"SELECT * FROM ({DOC_GOLD_SQL}) WHERE user_name IS NULL")(
+    lambda s, d: Q.check_not_null(doc_gold(s, d), "user_name"))
+
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
                  "pages benchmark labels conversations").split()
 query("table_counts", "\nUNION ALL\n".join(
@@ -251,7 +317,41 @@ def restaurant_tf(s, d):
 
 
 def ratings(s, d):
-    return I.encode_ratings(review_features(analogs.an_review(s, d)))
+    """Numbered over the reviewed keys only, as the reference's training script does."""
+    return I.encode_ratings(review_features(analogs.an_review(s, d)), own_keys=True)
+
+
+register("shared_ratings", """SELECT r.business_id, r.user_id, r.stars, r.date, u.userid, b.businessid
+FROM (SELECT business_id, user_id, stars, date FROM an_review) r
+JOIN user_account u USING (user_id) JOIN restaurant_transform b USING (business_id)""",
+         ["an_review", "user_account", "restaurant_transform"])
+
+
+def shared_ratings(s, d):
+    """Numbered by the dimensions: training, look-up and enrichment share the ids."""
+    return I.encode_ratings(review_features(analogs.an_review(s, d)),
+                            user_ids=I.user_account(analogs.an_user(s, d)), item_ids=restaurant_tf(s, d))
+
+
+query("encode_ratings_shared", with_views("SELECT * FROM shared_ratings", "shared_ratings"))(shared_ratings)
+
+
+def label_ratings(s, d):
+    """Ids with gaps: all documents are items, their labels the ratings, sources the users."""
+    docs = analogs.table(s, d, "documents").select(F.col("doc_id").alias("business_id"), F.col("source").alias("user_id"))
+    rated = (analogs.table(s, d, "labels").join(docs, F.col("doc_id") == F.col("business_id"))
+             .select("business_id", "user_id", F.col("quality").alias("stars"), F.lit("2024-01-01").alias("date")))
+    return I.encode_ratings(rated, user_ids=I.encode_ids(docs, "user_id", "userid"),
+                            item_ids=I.encode_ids(docs, "business_id", "businessid"))
+
+
+query("encode_ratings_gaps", """SELECT d.doc_id AS business_id, d.source AS user_id, l.quality AS stars, '2024-01-01' AS date,
+  u.userid, i.businessid
+FROM labels l JOIN documents d USING (doc_id)
+JOIN (SELECT source, CAST(row_number() OVER (ORDER BY source) AS INTEGER) AS userid FROM (SELECT DISTINCT source FROM documents)) u
+  ON u.source = d.source
+JOIN (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS businessid FROM (SELECT DISTINCT doc_id FROM documents)) i
+  ON i.doc_id = d.doc_id""")(label_ratings)
 
 
 query("restaurant_transform", with_views("SELECT * FROM restaurant_transform", "restaurant_transform"))(
@@ -274,9 +374,9 @@ query("lookup_account", with_views("""SELECT account_name, name, userid FROM (
                           acc.select("account_name"), ["name", "userid"], "userid"))
 query("lookup_business", with_views("""SELECT businessid, business_id, name FROM (
   SELECT businessid, business_id, name, row_number() OVER (PARTITION BY businessid ORDER BY business_id) AS rn
-  FROM restaurant_transform WHERE businessid IN (SELECT businessid FROM encoded_ratings)) WHERE rn = 1""",
-    "restaurant_transform", "encoded_ratings"))(
-    lambda s, d: L.lookup(restaurant_tf(s, d), "businessid", ratings(s, d).select("businessid"),
+  FROM restaurant_transform WHERE businessid IN (SELECT businessid FROM shared_ratings)) WHERE rn = 1""",
+    "restaurant_transform", "shared_ratings"))(
+    lambda s, d: L.lookup(restaurant_tf(s, d), "businessid", shared_ratings(s, d).select("businessid"),
                           ["business_id", "name"], "business_id"))
 
 ITEM_NAME = "small ring"  # a title picked by the user (parameter of P11/M10)
@@ -330,8 +430,11 @@ query("detail_card", with_views(f"""SELECT business_id, name,
 _STOP_SQL = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
 
 
-def _tfidf_sql(source: str, max_features: int = 5000) -> str:
+def _tfidf_sql(source: str, max_features: int | None = None) -> str:
     """TF-IDF in SQL over ``source(business_id, text_features)``."""
+    top = "" if max_features is None else f"""HAVING term IN (SELECT term FROM (
+          SELECT unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term FROM {source})
+          WHERE term NOT IN ({_STOP_SQL}) GROUP BY term ORDER BY count(*) DESC, term LIMIT {max_features})"""
     return f"""SELECT business_id, term, {round_sql('w / sqrt(sum(w * w) OVER (PARTITION BY business_id))', 6)} AS weight
 FROM (
   SELECT t.business_id, t.term, t.tf * (ln((1.0 + (SELECT count(*) FROM {source})) / (v.dfreq + 1)) + 1) AS w
@@ -343,9 +446,7 @@ FROM (
             SELECT business_id, unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term
             FROM {source}) WHERE term NOT IN ({_STOP_SQL}) GROUP BY business_id, term)
         GROUP BY term
-        HAVING term IN (SELECT term FROM (
-          SELECT unnest(regexp_extract_all(lower(text_features), '{TOKEN_PATTERN}')) AS term FROM {source})
-          WHERE term NOT IN ({_STOP_SQL}) GROUP BY term ORDER BY count(*) DESC, term LIMIT {max_features})) v
+        {top}) v
   USING (term))"""
 
 
@@ -355,6 +456,7 @@ register("corpus_text", "SELECT business_id, name, coalesce(categories, '') AS t
          ["an_corpus"])
 register("part_tfidf", _tfidf_sql("part_text"), ["part_text"])
 register("corpus_tfidf", _tfidf_sql("corpus_text"), ["corpus_text"])
+register("corpus_tfidf_5000", _tfidf_sql("corpus_text", 5000), ["corpus_text"])
 
 
 def part_items(s, d):
@@ -377,6 +479,9 @@ query("tfidf_part", with_views("SELECT * FROM part_tfidf", "part_tfidf"))(
 query("tfidf_documents", with_views("SELECT * FROM corpus_tfidf", "corpus_tfidf"))(
     lambda s, d: rounded(C.tfidf(corpus_items(s, d))))
 
+query("tfidf_documents_5000", with_views("SELECT * FROM corpus_tfidf_5000", "corpus_tfidf_5000"))(
+    lambda s, d: rounded(C.tfidf(corpus_items(s, d), max_features=5000)))  # the reference's vocabulary size
+
 PART_TITLES = ["small ring", "red widget"]
 DOC_TITLES = ["src3", "src7"]
 
@@ -427,6 +532,10 @@ JOIN (SELECT business_id, CAST(row_number() OVER (ORDER BY business_id ASC NULLS
       FROM (SELECT DISTINCT business_id FROM an_review_by_order)) b USING (business_id)""", ["an_review_by_order"])
 
 
+#: floor(swap * 2^60), written out: the oracle does not share the operator's bound.
+_SWAP_BOUND = {0.0: 0, 0.3: 345876451382054092, 1.0: 1152921504606846976}
+
+
 def _split_sql(src: str, part: str, ratio: str = "0.3", seed: int = 42, swap: float = 0.3) -> str:
     cond = ("(pos > n + k) OR moved" if part == "train"
             else "(pos <= n AND NOT moved) OR (pos > n AND pos <= n + k)")
@@ -437,8 +546,8 @@ params AS (SELECT CAST(floor(count(*) * {ratio}) AS BIGINT) AS n FROM r),
 um AS (SELECT userid, max(pos) AS umax FROM ranked GROUP BY userid),
 flagged AS (
   SELECT ranked.*, params.n,
-    (pos <= params.n AND umax <= params.n AND substr(md5(concat_ws('|', '{seed}', user_id, business_id, date,
-       CAST(stars AS VARCHAR))), 1, 2) < '{SP.swap_threshold(swap)}') AS moved
+    (pos <= params.n AND umax <= params.n AND CAST('0x' || substr(md5(concat_ws('|', '{seed}', user_id, business_id, date,
+       CAST(stars AS VARCHAR))), 1, 15) AS BIGINT) < {_SWAP_BOUND[swap]}) AS moved
   FROM ranked JOIN um USING (userid) CROSS JOIN params),
 kk AS (SELECT count(*) FILTER (WHERE moved) AS k FROM flagged)
 SELECT business_id, user_id, CAST(stars AS INTEGER) AS stars, date, CAST(userid AS INTEGER) AS userid,
@@ -447,38 +556,62 @@ FROM flagged CROSS JOIN kk WHERE {cond}"""
 
 
 def ratings_by_order(s, d):
-    return I.encode_ratings(review_features(analogs.an_review_by_order(s, d)))
+    return I.encode_ratings(review_features(analogs.an_review_by_order(s, d)), own_keys=True)
 
 
 query("time_split_train", with_views(_split_sql("encoded_ratings", "train"), "encoded_ratings"))(
     lambda s, d: SP.time_split(ratings(s, d))[0])
 query("time_split_test", with_views(_split_sql("encoded_ratings", "test"), "encoded_ratings"))(
     lambda s, d: SP.time_split(ratings(s, d))[1])
-query("time_split_order_train", with_views(_split_sql("encoded_ratings_by_order", "train"),
-                                           "encoded_ratings_by_order"))(
-    lambda s, d: SP.time_split(ratings_by_order(s, d))[0])
-query("time_split_order_test", with_views(_split_sql("encoded_ratings_by_order", "test"),
-                                          "encoded_ratings_by_order"))(
-    lambda s, d: SP.time_split(ratings_by_order(s, d))[1])
-_RS_HASH = ("substr(md5(concat_ws('|', '42', business_id, user_id, CAST(stars AS VARCHAR), date, "
-            "CAST(userid AS VARCHAR), CAST(businessid AS VARCHAR))), 1, 4)")
-query("random_split_train", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} < 'cccd'",
+for _part, _i in (("train", 0), ("test", 1)):
+    for _name, _swap in ((f"time_split_order_{_part}", 0.3), (f"time_split_no_swap_{_part}", 0.0),
+                         (f"time_split_all_swapped_{_part}", 1.0)):
+        query(_name, with_views(_split_sql("encoded_ratings_by_order", _part, swap=_swap), "encoded_ratings_by_order"))(
+            lambda s, d, i=_i, swap=_swap: SP.time_split(ratings_by_order(s, d), swap=swap)[i])
+_RS_HASH = ("CAST('0x' || substr(md5(concat_ws('|', '42', business_id, user_id, CAST(stars AS VARCHAR), date, "
+            "CAST(userid AS VARCHAR), CAST(businessid AS VARCHAR))), 1, 15) AS BIGINT)")
+# floor(0.8 * 2^60)
+query("random_split_train", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} < 922337203685477580",
                                        "encoded_ratings"))(
     lambda s, d: SP.random_split(ratings(s, d), (0.8, 0.2), 42)[0])
-query("random_split_test", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} >= 'cccd'",
+query("random_split_test", with_views(f"SELECT * FROM encoded_ratings WHERE {_RS_HASH} >= 922337203685477580",
                                       "encoded_ratings"))(
     lambda s, d: SP.random_split(ratings(s, d), (0.8, 0.2), 42)[1])
 
 
+def _pieces(s, d, weights):
+    parts = SP.random_split(cut_lineage(ratings(s, d)), weights, 42)
+    out = parts[0].withColumn("piece", F.lit(0))
+    for i, p in enumerate(parts[1:], 1):
+        out = out.unionByName(p.withColumn("piece", F.lit(i)))
+    return out
+
+
+# floor(0.7 * 2^60) and floor(0.9 * 2^60)
+query("random_split_three", with_views(f"""SELECT *, CASE WHEN h < 807045053224792883 THEN 0
+  WHEN h < 1037629354146162278 THEN 1 ELSE 2 END AS piece FROM (SELECT *, {_RS_HASH} AS h FROM encoded_ratings)""".replace(
+    "SELECT *, CASE", "SELECT * EXCLUDE (h), CASE"), "encoded_ratings"))(lambda s, d: _pieces(s, d, (0.7, 0.2, 0.1)))
+query("random_split_ten", with_views(f"""SELECT piece, count(*) AS n FROM (
+  SELECT CAST(least(9, {_RS_HASH}::HUGEINT * 10 // 1152921504606846976) AS INTEGER) AS piece FROM encoded_ratings) GROUP BY piece""",
+    "encoded_ratings"))(lambda s, d: _pieces(s, d, [1] * 10).groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
+
+
 # ---- ALS (M4-M7, O5, J7, A31) and runs (S14, M12) ------------------------------------
 
 
 def _model_and_test(s, d):
-    train, test = SP.time_split(ratings(s, d))
+    train, test = SP.time_split(shared_ratings(s, d))
     return M.train_als(train), test
 
 
+# the rows a prediction keeps are those whose user and item were trained on
+_TRAINED = f"""WITH tr AS ({_split_sql('shared_ratings', 'train')}),
+te AS ({_split_sql('shared_ratings', 'test')})
+"""
 query("als_predict")(lambda s, d: (lambda mt: M.predict(mt[0], mt[1]))(_model_and_test(s, d)))
+query("als_predict_rows", with_views(_TRAINED + """SELECT * FROM te
+WHERE userid IN (SELECT userid FROM tr) AND businessid IN (SELECT businessid FROM tr)""", "shared_ratings"))(
+    lambda s, d: (lambda mt: M.predict(mt[0], mt[1]).drop("prediction"))(_model_and_test(s, d)))
 
 
 def _recs(s, d, n=5):
@@ -487,23 +620,81 @@ def _recs(s, d, n=5):
 
 
 query("als_recommend")(lambda s, d: _recs(s, d))
+query("als_recommend_counts", with_views(_TRAINED + """SELECT userid, least(5, (SELECT count(DISTINCT businessid) FROM tr)) AS n
+FROM (SELECT DISTINCT userid FROM te WHERE userid IN (SELECT userid FROM tr))""", "shared_ratings"))(
+    lambda s, d: _recs(s, d).groupBy("userid").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _asked_recs(s, d):
+    """Requests with their own list length: 1 to 4 items, by user id."""
+    model, test = _model_and_test(s, d)
+    asked = test.select("userid", (F.col("userid") % 4 + 1).alias("res_num"))
+    return M.recommend(model, asked, 5, count_col="res_num").groupBy("userid").agg(F.count(F.lit(1)).alias("n"))
+
+
+query("als_recommend_asked", with_views(_TRAINED + """SELECT userid, CAST(least(userid % 4 + 1, (SELECT count(DISTINCT businessid) FROM tr)) AS BIGINT) AS n
+FROM (SELECT DISTINCT userid FROM te WHERE userid IN (SELECT userid FROM tr))""", "shared_ratings"))(_asked_recs)
+
+
+def _rec_faults(s, d):
+    """Rows that break what a recommendation list promises: all counts are zero."""
+    recs = cut_lineage(_recs(s, d))
+    lists = M.recommend_grouped(recs).select("results", F.transform("results", lambda r: r["rating"]).alias("r"),
+                                             F.transform("results", lambda r: r["businessid"]).alias("i"))
+
+    def count(cond):
+        return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    return lists.agg(count(F.array_min("r") < 0).alias("negative"),
+                     count(F.size(F.array_distinct("i")) < F.size("i")).alias("repeated"),
+                     count(F.sort_array("r", asc=False) != F.col("r")).alias("unsorted"),
+                     count(F.size("i") > 5).alias("too_long"))
+
+
+query("als_recommend_faults", "SELECT CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS repeated, "
+      "CAST(0 AS BIGINT) AS unsorted, CAST(0 AS BIGINT) AS too_long")(_rec_faults)
 query("als_recommend_named")(lambda s, d: L.enrich_recommendations(_recs(s, d), restaurant_tf(s, d)))
 query("als_grouped")(lambda s, d: M.recommend_grouped(_recs(s, d)))
 query("als_error_metrics")(
     lambda s, d: (lambda mt: M.error_metrics(M.predict(mt[0], mt[1])))(_model_and_test(s, d)))
 query("als_pipeline_predict")(
     lambda s, d: (lambda tr: M.predict(M.train_als_pipeline(tr[0]), tr[1]))(
-        SP.random_split(ratings(s, d), (0.8, 0.2), 42)))
+        SP.random_split(shared_ratings(s, d), (0.8, 0.2), 42)))
+
+
+# the same list operators on scores that SQL can compute: each user's reviewed items by mean stars
+register("mean_scores", f"""SELECT DISTINCT userid, businessid, {round_sql('avg(stars) OVER (PARTITION BY businessid)', 6)} AS rating
+FROM shared_ratings""", ["shared_ratings"])
+
+
+def mean_scores(s, d):
+    r = cut_lineage(shared_ratings(s, d).select("userid", "businessid", "stars"))
+    means = cut_lineage(r.groupBy("businessid").agg(round_half_up(F.avg("stars"), 6).alias("rating")))
+    return r.select("userid", "businessid").distinct().join(means, "businessid").select("userid", "businessid", "rating")
+
+
+_TOP_SQL = """SELECT userid, businessid, rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY userid ORDER BY rating DESC, businessid) AS rn FROM mean_scores) WHERE rn <= 5"""
+query("top_n_means", with_views(_TOP_SQL, "mean_scores"))(lambda s, d: M.top_n(mean_scores(s, d), 5))
+query("top_n_means_named", with_views(f"""SELECT t.userid, r.business_id, r.name, t.rating AS score
+FROM ({_TOP_SQL}) t JOIN restaurant_transform r USING (businessid)""", "mean_scores", "restaurant_transform"))(
+    lambda s, d: L.enrich_recommendations(M.top_n(mean_scores(s, d), 5), restaurant_tf(s, d)))
+query("top_n_means_grouped", with_views(f"""SELECT userid,
+  CAST(row_number() OVER (PARTITION BY userid ORDER BY rating DESC, businessid DESC) - 1 AS INTEGER) AS pos, businessid, rating
+FROM ({_TOP_SQL})""", "mean_scores"))(
+    lambda s, d: M.recommend_grouped(M.top_n(mean_scores(s, d), 5)).select("userid", F.posexplode("results").alias("pos", "r"))
+    .select("userid", "pos", "r.businessid", "r.rating"))
 
 
 def _baseline_runs(s, d):
     """Three baseline predictors (global, user and item mean) evaluated on all ratings."""
-    r = ratings(s, d).select("userid", "businessid", F.col("stars").cast("double").alias("stars"))
-    c = r.agg(F.avg("stars")).first()[0]
-    user_mean = r.groupBy("userid").agg(F.avg("stars").alias("prediction"))
-    item_mean = r.groupBy("businessid").agg(F.avg("stars").alias("prediction"))
+    r = cut_lineage(ratings(s, d).select("userid", "businessid", F.col("stars").cast("double").alias("stars")))
+    mean = r.agg(F.avg("stars").alias("prediction")).withColumn("_one", F.lit(1))
+    # written once, so each join has exchanges of its own and a hot key can be split
+    user_mean = cut_lineage(r.groupBy("userid").agg(F.avg("stars").alias("prediction")))
+    item_mean = cut_lineage(r.groupBy("businessid").agg(F.avg("stars").alias("prediction")))
     runs = [
-        M.error_metrics(r.withColumn("prediction", F.lit(c))).withColumn("run_name", F.lit("global_mean")),
+        M.error_metrics(r.withColumn("_one", F.lit(1)).join(F.broadcast(mean), "_one"))  # one row
+        .withColumn("run_name", F.lit("global_mean")),
         M.error_metrics(r.join(user_mean, "userid")).withColumn("run_name", F.lit("user_mean")),
         M.error_metrics(r.join(item_mean, "businessid")).withColumn("run_name", F.lit("item_mean")),
     ]
@@ -545,18 +736,37 @@ def adhoc_sql(spark, d):
 FROM gold_analyses_review WHERE stars >= :min_stars GROUP BY city""", {"min_stars": 3})
 
 
-# ---- one shared id numbering for training and look-up (M1 trap) ----------------------
+query("als_recommend_shared_ids")(
+    lambda s, d: L.enrich_recommendations(_recs(s, d), restaurant_tf(s, d)))
+
+
+# ---- catalog round trips (S3-S5, S8, S9, S14) -----------------------------------------
+
+def _fresh(name: str) -> str:
+    return f"sparkplate_check.{name}_{uuid.uuid4().hex}"
+
 
-def _shared_recs(s, d, n=5):
-    items = restaurant_tf(s, d)
-    users = I.user_account(analogs.an_user(s, d))
-    r = I.encode_ratings(review_features(analogs.an_review(s, d)), user_ids=users, item_ids=items)
-    train, test = SP.time_split(r)
-    recs = M.recommend(M.train_als(train), test.select("userid"), n)
-    return L.enrich_recommendations(recs, items)
+@query("catalog_round_trip", "SELECT p_partkey, p_name, p_size * 2 AS doubled FROM part")
+def catalog_round_trip(spark, d):
+    """Create a namespace and a table, replace it with another schema, read it."""
+    ensure_namespace(spark, "sparkplate_check")
+    name, part = _fresh("part"), analogs.table(spark, d, "part")
+    write_table(part.select("p_partkey"), name)
+    write_table(part.select("p_partkey", "p_name", (F.col("p_size") * 2).alias("doubled")), name)
+    return read_table(spark, name)
 
 
-query("als_recommend_shared_ids")(_shared_recs)
+@query("metrics_log", """SELECT 'r1' AS run_id, 'tables' AS run_name, 'part' AS metric, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM part
+UNION ALL SELECT 'r2', 'tables', 'customer', CAST(count(*) AS DOUBLE), NULL FROM customer
+UNION ALL SELECT 'r2', 'tables', 'model_path', NULL, 'models/als'""")
+def metrics_log(spark, d):
+    """Two runs appended to one metrics table, numbers and a text parameter."""
+    ensure_namespace(spark, "sparkplate_check")
+    name = _fresh("metrics")
+    R.log_metrics(R.metrics_rows(spark, "r1", "tables", {"part": analogs.table(spark, d, "part").count()}), name)
+    R.log_metrics(R.metrics_rows(spark, "r2", "tables", {"customer": analogs.table(spark, d, "customer").count(),
+                                                         "model_path": "models/als"}), name)
+    return read_table(spark, name).select("run_id", "run_name", "metric", "value", "text")
 
 
 # ---- set difference (U1) -------------------------------------------------------------

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Defaults that matter at scale: AQE re-plans joins (size-checked broadcast, skew split,
@@ -42,30 +40,28 @@ def get_session(master: str | None = None, app: str = "sparkplate",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only a local-mode session without the setting (tests) gets a
-    private folder. On a cluster an unset folder is an error: a machine-local folder would
-    not survive the loss of an executor.
+    Read from the session. Where it is unset (tests, a first try) the folder lies in the
+    warehouse, which driver and executors share by definition; never in a machine's own
+    temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
-    local = tempfile.mkdtemp(prefix="sparkplate-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # computed once, then written from the cache
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    """Write a frame to the shared folder and read it back.
+
+    Like a reliable checkpoint (a lost executor re-reads the files), but computed once and
+    stored as compressed columns, so later steps read only what they need.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

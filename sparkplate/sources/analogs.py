@@ -27,22 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A parquet row group is read by one task, so a small file written as one row group puts
-    all per-row work before the first shuffle into one task. A large input (many files or
-    row groups) already has enough splits and is returned unchanged: no shuffle is added.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def fact_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    """A large table, pruned to ``cols`` before any spread (only those columns move)."""
-    return spread(table(spark, sf_dir, name).select(*cols))
+    """A large table, pruned to ``cols``."""
+    return table(spark, sf_dir, name).select(*cols)
 
 
 def padded(prefix: str, key: Column) -> Column:
@@ -52,8 +39,9 @@ def padded(prefix: str, key: Column) -> Column:
 def an_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    hours = F.struct(*[(F.lit("9:0-22:0") if d == "Monday" else F.lit(None).cast("string")).alias(d)
-                       for d in WEEKDAYS])
+    # another opening time each day; every seventh restaurant is closed on a day
+    hours = F.struct(*[F.when(k % 7 != i, F.concat((k % (i + 5)).cast("string"), F.lit(f":0-{15 + i}:30"))).alias(d)
+                       for i, d in enumerate(WEEKDAYS)])
     return p.select(
         padded("b", k).alias("business_id"),
         F.col("p_name").alias("name"),
@@ -171,7 +159,13 @@ SQL_VIEWS = {
   1.0 + CAST(p_partkey % 9 AS DOUBLE) / 2 AS stars,
   CAST(p_size AS BIGINT) * 10 + p_partkey % 7 AS review_count,
   CAST(CASE WHEN p_partkey % 20 < 3 THEN 0 ELSE 1 END AS BIGINT) AS is_open,
-  '9:0-22:0' AS hours_monday
+  CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_partkey % 5 AS VARCHAR) || ':0-15:30' END AS hours_monday,
+  CASE WHEN p_partkey % 7 <> 1 THEN CAST(p_partkey % 6 AS VARCHAR) || ':0-16:30' END AS hours_tuesday,
+  CASE WHEN p_partkey % 7 <> 2 THEN CAST(p_partkey % 7 AS VARCHAR) || ':0-17:30' END AS hours_wednesday,
+  CASE WHEN p_partkey % 7 <> 3 THEN CAST(p_partkey % 8 AS VARCHAR) || ':0-18:30' END AS hours_thursday,
+  CASE WHEN p_partkey % 7 <> 4 THEN CAST(p_partkey % 9 AS VARCHAR) || ':0-19:30' END AS hours_friday,
+  CASE WHEN p_partkey % 7 <> 5 THEN CAST(p_partkey % 10 AS VARCHAR) || ':0-20:30' END AS hours_saturday,
+  CASE WHEN p_partkey % 7 <> 6 THEN CAST(p_partkey % 11 AS VARCHAR) || ':0-21:30' END AS hours_sunday
 FROM part""",
     "an_user": "SELECT\n  " + ",\n  ".join(
         [f"{_sql_pad('u', 'c_custkey')} AS user_id", "c_name AS name",

@@ -15,6 +15,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="sparkplate-test-")
     s = get_session("local[4]", app="sparkplate-tests", shuffle_partitions=8, conf={
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
+        "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
     })
     checkpoint_dir(s)
     yield s

@@ -29,6 +29,44 @@ def test_random_split_disjoint_complete(spark):
     assert a.intersect(b).count() == 0
 
 
+def test_random_split_pieces_sum_to_the_input(spark):
+    df = spark.range(0, 20000, 1, 4).select(F.col("id").cast("string").alias("k"))
+    for weights in ((0.7, 0.2, 0.1), (0.6, 0.3, 0.1), [1] * 10, (1,), (3, 0, 1)):
+        sizes = [p.count() for p in SP.random_split(df, weights)]
+        total = sum(weights)
+        assert sum(sizes) == 20000
+        assert all(abs(n - 20000 * w / total) < 500 for n, w in zip(sizes, weights))
+
+
+def test_time_split_swaps_all_or_none(spark):
+    ratings = G.ratings_by_order(spark, SMALL)
+    none_train, none_test = SP.time_split(ratings, swap=0)
+    all_train, all_test = SP.time_split(ratings, swap=1)
+    assert none_test.count() == all_test.count()
+    # everybody who is only in the test part moves to training
+    new = none_test.join(none_train.select("userid"), "userid", "left_anti")
+    assert new.count() > 0 and new.select(*all_train.columns).exceptAll(all_train).count() == 0
+
+
+def test_als_result_does_not_depend_on_partitions(spark):
+    ratings = G.shared_ratings(spark, SMALL).select("userid", "businessid", "stars")
+    few = M.recommend(M.train_als(ratings.coalesce(1)), ratings.select("userid"), 3)
+    many = M.recommend(M.train_als(ratings.repartition(23)), ratings.select("userid"), 3)
+    both = few.alias("a").join(many.alias("b"), ["userid", "businessid"])
+    n = few.count()
+    assert both.count() >= 0.98 * n  # same blocks; sums of floats may order near-ties differently
+    assert both.where("abs(a.rating - b.rating) > 0.01").count() == 0
+
+
+def test_requests_with_their_own_length(spark):
+    ratings = G.shared_ratings(spark, SMALL)
+    model = M.train_als(ratings)
+    asked = spark.createDataFrame([(1, 2), (1, 4), (2, 0), (3, 99)], "userid int, res_num int")
+    asked = asked.join(ratings.select("userid").distinct(), "userid")
+    got = {r.userid: r["count"] for r in M.recommend(model, asked, 5, count_col="res_num").groupBy("userid").count().collect()}
+    assert got == {u: n for u, n in {1: 4, 3: 5}.items() if u in {r.userid for r in asked.collect()}}
+
+
 def test_als_bounds(spark, scratch):
     ratings = G.ratings(spark, SMALL)
     train, test = SP.time_split(ratings)

@@ -42,8 +42,41 @@ def test_hot_keys_in_joins_and_aggregates(spark):
     assert first.review_id == "r0"
 
 
+def _splits_skew(spark, build) -> bool:
+    """Whether AQE splits a hot key in the joins of ``build()`` under low thresholds."""
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        df = build()
+        df.collect()
+        return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_split_in_plans(spark):
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 997).cast("int").alias("businessid"),
+        F.col("id").cast("int").alias("userid"), F.rand(1).cast("float").alias("rating"))
+    items = rows.select("businessid").distinct().select("businessid", F.col("businessid").cast("string").alias("business_id"),
+                                                        F.col("businessid").cast("string").alias("name"))
+    assert _splits_skew(spark, lambda: L.enrich_recommendations(rows, items))
+    ratings = rows.select(F.col("userid").cast("string").alias("business_id"), F.col("businessid").cast("string").alias("user_id"),
+                          F.lit(3).alias("stars"), F.concat(F.lit("2020-01-"), F.col("userid").cast("string")).alias("date"),
+                          F.col("businessid").alias("userid"), F.col("userid").alias("businessid"))
+    assert _splits_skew(spark, lambda: SP.time_split(ratings)[1]) or _splits_skew(
+        spark, lambda: SP.time_split(ratings, swap=1.0)[0])
+
+
 def test_time_split_with_hot_user(spark):
-    ratings = encode_ratings(_reviews(spark).select("business_id", "user_id", "stars", "date"))
+    ratings = encode_ratings(_reviews(spark).select("business_id", "user_id", "stars", "date"), own_keys=True)
     base = ratings.distinct()
     train, test = SP.time_split(ratings)
     assert test.count() == base.count() * 3 // 10

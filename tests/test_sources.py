@@ -6,7 +6,8 @@ import struct
 import zlib
 
 from sparkplate.operators.lookup import with_poster
-from sparkplate.plans.pipeline import run_pipeline
+from sparkplate.operators.ids import encode_ratings
+from sparkplate.plans.pipeline import run_pipeline, run_second_training
 from sparkplate.sources import catalog as K
 from sparkplate.sources import raw as Rw
 
@@ -72,13 +73,22 @@ def test_raw_readers(spark, scratch):
 def test_catalog_and_pipeline(spark, scratch):
     d = f"{scratch}/raw2"
     _fixtures(d)
-    out = run_pipeline(spark, d, model_path=f"{scratch}/model")
+    img = f"{scratch}/img2"
+    os.makedirs(img, exist_ok=True)
+    _png(f"{img}/a.png")
+    out = run_pipeline(spark, d, model_path=f"{scratch}/model", images=img)
+    assert set(out["checks"].values()) == {0} and len(out["checks"]) == 4
     assert out["analyses_review"].count() == 60
     names = {r.tableName for r in K.list_tables(spark, "bronze").collect()}
-    assert {"restaurant", "user", "review", "checkin", "tip", "restaurant_transform", "user_account"} <= names
+    assert {"restaurant", "user", "review", "checkin", "tip", "images", "restaurant_transform", "user_account"} <= names
     assert K.read_table(spark, "silver.dim_date").count() == 9863
     assert K.query(spark, "SELECT count(*) AS n FROM bronze.review WHERE stars >= :s", {"s": 3}).first().n == 36
+    # silver and gold are catalog views: another session sees them
+    assert spark.newSession().sql("SELECT count(*) AS n FROM gold.analyses_review").first().n == 60
     m = {r.metric: r.value for r in out["metrics"].collect()}
+    assert out["metrics"].where("metric = 'model_path'").first().text == f"{scratch}/model"
+    second = run_second_training(spark, encode_ratings(spark.table("feature_store.review"), own_keys=True))[1]
+    assert second["training_nrows"] + second["test_nrows"] == 60 and second["train_rmse"] >= 0
     assert m["training_nrows"] + m["test_nrows"] == 60
     from sparkplate.operators.dashboards import apply_filters
     from sparkplate.plans.checks import pushed_filters

@@ -108,7 +108,7 @@ def test_tfidf_numbers_and_unknown_title(spark):
                                   "business_id string, name string, text_features string")
     vec = C.tfidf(items)
     w = {(r.business_id, r.term): r.weight for r in vec.collect()}
-    idf_p, idf_q = C.idf_value(3, 2), C.idf_value(3, 1)
+    idf_p, idf_q = (math.log((1 + 3) / (1 + df)) + 1 for df in (2, 1))
     assert math.isclose(w[("b1", "pizza")], idf_p / math.hypot(idf_p, idf_q))
     assert not any(k[0] == "b3" for k in w)  # stop words only: zero vector
     sim = C.similar_items(vec, items, ["x"], k=5).collect()
@@ -117,6 +117,61 @@ def test_tfidf_numbers_and_unknown_title(spark):
     assert empty.count() == 0 and empty.columns == ["business_id", "name", "score"]
 
 
+def test_weighted_rating_without_votes(spark):
+    df = spark.createDataFrame([(f"b{i}", f"n{i}", 4.0, 0 if i < 9 else 5, 1) for i in range(10)],
+                               "business_id string, name string, stars double, review_count bigint, is_open bigint")
+    got = {r.business_id: r.score for r in S.weighted_rating(df).collect()}
+    assert len(got) == 10 and got["b0"] is None and got["b9"] == 4.0  # m = 0: nothing to weigh for no votes
+
+
+def test_exact_quantile_with_a_hot_value(spark):
+    df = spark.range(0, 3000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"))
+    vals = sorted(r.v for r in df.collect())
+    for q in (0.0, 0.1, 0.5, 0.7, 0.999, 1.0):
+        pos = q * (len(vals) - 1)
+        lo = int(pos)
+        hi = min(lo + 1, len(vals) - 1)
+        assert math.isclose(S.exact_quantile(df, "v", q), vals[lo] + (vals[hi] - vals[lo]) * (pos - lo))
+    assert S.exact_quantile(df.where("v < 0"), "v", 0.5) is None
+
+
+def test_first_per_keeps_values_of_null_orders(spark):
+    df = spark.createDataFrame([("k1", None, "v1"), ("k2", None, "x"), ("k2", 3, "b"), ("k2", 3, "a")],
+                               "k string, o int, v string")
+    got = {r.k: (r.o, r.v) for r in L.first_per(df, "k", "o").collect()}
+    assert got == {"k1": (None, "v1"), "k2": (3, "a")}
+
+
+def test_rounding_happens_once(spark):
+    from sparkplate.functions.numeric import round_half_up
+    df = spark.createDataFrame([(2.345,), (2.3449999996,), (-2.345,), (None,), (3.125,)], "x double")
+    assert [r[0] for r in df.select(round_half_up("x", 2)).collect()] == [2.35, 2.34, -2.35, None, 3.13]
+
+
+def test_malformed_dates_form_the_null_month(spark):
+    ar = spark.createDataFrame([("2020-01-05 10:00:00", 4), ("not a date", 2), (None, 1)], "review_date string, stars int")
+    got = {r.month: r.reviews for r in A.a07_reviews_over_time(ar).collect()}
+    assert got == {date(2020, 1, 1): 1, None: 2}
+
+
+def test_unreviewed_restaurants_keep_their_ids(spark):
+    """Ratings numbered by the dimensions: recommendations name the right restaurant."""
+    from sparkplate.operators.ids import encode_ratings, restaurant_transform, user_account
+    rest = spark.createDataFrame([("b1", "Empty"), ("b2", "Pho"), ("b3", "Taco")], "business_id string, name string")
+    users = spark.createDataFrame([("u0", "Ann", ""), ("u1", "Bo", "")], "user_id string, name string, friends string")
+    reviews = spark.createDataFrame([("b2", "u1", 5, "2020-01-01"), ("b3", "u1", 1, "2020-01-02")],
+                                    "business_id string, user_id string, stars int, date string")
+    items = restaurant_transform(rest)
+    r = encode_ratings(reviews, user_ids=user_account(users), item_ids=items)
+    assert {(x.business_id, x.businessid, x.userid) for x in r.collect()} == {("b2", 2, 2), ("b3", 3, 2)}
+    recs = r.select("userid", "businessid", F.col("stars").cast("float").alias("rating"))
+    got = {(x.business_id, x.name, x.score) for x in L.enrich_recommendations(recs, items).collect()}
+    assert got == {("b2", "Pho", 5.0), ("b3", "Taco", 1.0)}
+    import pytest
+    with pytest.raises(ValueError):
+        encode_ratings(reviews)
+
+
 def test_quality_checks_report_offenders(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
     assert [(r.k, r.n) for r in Q.check_unique(df, "k").collect()] == [("a", 2)]
