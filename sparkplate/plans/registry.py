@@ -129,9 +129,6 @@ def dim_date_orders(s, d):
 query("dim_date", DIM_DATE_SQL.format(
     span="SELECT CAST(min(l_shipdate) AS DATE) AS b, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem"))(
     dim_date_reviews)
-# the default span of the operator: 9,863 days, whatever the tables hold; the span is its own input
-query("dim_date_default", DIM_DATE_SQL.format(span="SELECT DATE '2010-01-01' AS b, DATE '2037-01-01' AS e"))(
-    lambda s, d: dim_date(s))
 query("dim_date_wide", DIM_DATE_SQL.format(
     span="SELECT (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS b, "
          "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) AS e"))(dim_date_orders)
