@@ -48,6 +48,13 @@ def row_hash(seed: int) -> Column:
                   F.col("stars").cast("string"))
 
 
+def users_never_in(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """``rows`` whose ``userid`` is not among ``users`` (one row each, already written, so
+    that both sides are exchanged for this join alone and a hot user can be split)."""
+    return rows.join(users.select(F.col("userid").alias("_uid")), F.col("userid") == F.col("_uid"), "left").where(
+        F.col("_uid").isNull()).drop("_uid")
+
+
 def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed: int = 42,
                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: ``(train, test)`` with ``userid``, ``businessid``, ``stars`` cast to int."""
@@ -57,9 +64,9 @@ def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed:
     ranked = cut_lineage(global_row_number(d, order, "_pos", num_partitions))
     total = ranked.count()
     n = int(Fraction(total) * Fraction(str(ratio)))
-    trains = cut_lineage(ranked.where(F.col("_pos") > n).select(F.col("userid").alias("_uid")).distinct())
+    trains = cut_lineage(ranked.where(F.col("_pos") > n).select("userid").distinct())
     late = ranked.where(F.col("_pos") <= n)
-    new = late.join(trains, F.col("userid") == F.col("_uid"), "left").where(F.col("_uid").isNull())
+    new = users_never_in(late, trains)
     moved = cut_lineage(new.where(row_hash(seed) < F.lit(share_bound(swap))).select("_pos"))
     k = moved.count()
     stay = late.join(moved, "_pos", "left_anti")

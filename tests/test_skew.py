@@ -8,6 +8,7 @@ from sparkplate.operators import quality as Q
 from sparkplate.operators import split as SP
 from sparkplate.operators.gold import analyses_review
 from sparkplate.operators.ids import encode_ratings
+from sparkplate.session import cut_lineage
 
 
 def _reviews(spark, n=3000):
@@ -68,11 +69,9 @@ def test_hot_keys_are_split_in_plans(spark):
     items = rows.select("businessid").distinct().select("businessid", F.col("businessid").cast("string").alias("business_id"),
                                                         F.col("businessid").cast("string").alias("name"))
     assert _splits_skew(spark, lambda: L.enrich_recommendations(rows, items))
-    ratings = rows.select(F.col("userid").cast("string").alias("business_id"), F.col("businessid").cast("string").alias("user_id"),
-                          F.lit(3).alias("stars"), F.concat(F.lit("2020-01-"), F.col("userid").cast("string")).alias("date"),
-                          F.col("businessid").alias("userid"), F.col("userid").alias("businessid"))
-    assert _splits_skew(spark, lambda: SP.time_split(ratings)[1]) or _splits_skew(
-        spark, lambda: SP.time_split(ratings, swap=1.0)[0])
+    late = rows.select(F.col("businessid").alias("userid"), "rating")
+    trains = cut_lineage(late.where("userid % 3 = 0").select("userid").distinct())
+    assert _splits_skew(spark, lambda: SP.users_never_in(late, trains))
 
 
 def test_time_split_with_hot_user(spark):
