@@ -124,7 +124,7 @@ def decode(payload: bytes, block_starts: np.ndarray, n: int, first: int = 0, las
 def write_tokens(docs: DataFrame, path: str, vocab: str, end_id: int = END_ID, chunk: int = CHUNK) -> None:
     """Encode ``docs`` in ascending id order and write the chunk files to ``path``."""
     def encode_shard(batches):
-        encoder, end = WordEncoder(vocab), np.array([end_id], "<u4").tobytes()
+        encoder, end = WordEncoder.of(vocab), np.array([end_id], "<u4").tobytes()
         shard, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, doc_tokens, parts, held = [], [], [], 0
 

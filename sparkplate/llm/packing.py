@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id: int =
            max_piece: int = MAX_PIECE) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) of every piece."""
     def cut(batches):
-        encoder, end = WordEncoder(vocab), np.array([end_id], "<u4").tobytes()
+        encoder, end = WordEncoder.of(vocab), np.array([end_id], "<u4").tobytes()
         rows = []
 
         def flush():
