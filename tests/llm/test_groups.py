@@ -151,6 +151,7 @@ def repeats(seed=1):
 def test_repeats_match_brute_force(spark, monkeypatch, hot, segment, odd_rows):
     monkeypatch.setattr(substrings, "HOT", hot)
     monkeypatch.setattr(substrings, "SEGMENT", segment)
+    monkeypatch.setattr(substrings, "SLICE", 7 if hot == 3 else 1 << 14)
     rows = ODD if odd_rows else repeats()
     df = frame(spark, rows)
     got = substrings._cut(df, ["doc_id"]).collect()
