@@ -8,14 +8,16 @@ form a node. Two nodes link when 100 * intersection >= 80 * union. Every link is
   counts over all documents names the hash cells that stand out. Only (shingle, node) pairs
   of that prefix are shuffled, and only shingles met by two nodes go on.
 * Stars. In each such group every node is held against the least node alone, so a group of
-  copies yields one pair a member. Pairs must pass the size bound and the count-vector
-  bound, then their sets are intersected.
+  copies yields one pair a member. Pairs must pass the size bound and a
+  count-vector bound on vectors as fine as the set is large (four to eight shingles a
+  class), then their sets are intersected.
 * R-trees. Groups whose members still lie in several components are searched whole: group
   counts (shingles per hash class) are points, packed in a tree of boxes, and two boxes or
   points are tried further only if the sum of coordinate minima can reach the overlap that
   their sizes need. Groups are cut into tiles of ``TILE`` members and joined tile by tile,
-  so that no task gathers a whole large group. Survivors in different components are
-  verified on their sets.
+  so that no task gathers a whole large group. This happens twice: first every member
+  proposes only its best partner in another component, which joins up dense groups with one
+  pair a member; then all pairs left between components are verified on their sets.
 
 A pair inside one component is not tried again: it cannot change a component. Components
 come from minimum labels over the verified links.
@@ -75,41 +77,61 @@ def count_vector(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 65535).astype("<u2").tobytes()
 
 
+def fine_vector(s: np.ndarray) -> bytes:
+    """Counts over a power of two of classes, at least GROUPS and about a sixth of the set; one
+    byte each, where 255 stands for 255 or more."""
+    classes = max(GROUPS, 1 << max(0, (len(s) // 4).bit_length() - 1))
+    return np.minimum(np.bincount((s & _U(classes - 1)).astype(np.int64), minlength=classes), 255).astype("u1").tobytes()
+
+
+def fine_overlap(a: bytes, b: bytes) -> int:
+    """An upper bound of the overlap of two sets, from their fine vectors folded to one length."""
+    x, y = (np.frombuffer(v, "u1").astype(np.int64) for v in (a, b))
+    x, y = (np.where(v == 255, 1 << 30, v) for v in (x, y))
+    classes = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, classes).sum(axis=0), y.reshape(-1, classes).sum(axis=0)).sum())
+
+
 def _texts(batch: pa.RecordBatch, column: str = "text"):
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """(doc_id, dig, n, node, vec) of every document."""
+    """(doc_id, dig, n, node, vec, fine) of every document, and a row per task with its ``cells``,
+    the counts of its shingles by the leading bits of their hash."""
+    names = ["doc_id", "dig", "n", "node", "vec", "fine", "cells"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
     def measure(batches):
+        cells = np.zeros(CELLS, np.int64)
         for batch in batches:
             sets = [shingles(t) for t in _texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([node_of(s) for s in sets], pa.int64()), pa.array([count_vector(s) for s in sets], pa.binary())],
-                ["doc_id", "dig", "n", "node", "vec"])
+            if sets:
+                cells += np.bincount((np.concatenate(sets) >> _U(48)).astype(np.int64), minlength=CELLS)
+            own = [[len(s) for s in sets], [node_of(s) for s in sets], [count_vector(s) for s in sets],
+                   [fine_vector(s) for s in sets], [None] * len(sets)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, t) for c, t in zip(own, types[2:]))], names)
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([None] * 6 + [cells.tobytes()], types)], names)
 
-    return docs.mapInArrow(measure, "doc_id bigint, dig bigint, n int, node bigint, vec binary")
+    return docs.mapInArrow(measure, "doc_id bigint, dig bigint, n int, node bigint, vec binary, fine binary, cells binary")
 
 
-def frequent_cells(docs: DataFrame) -> np.ndarray:
+def frequent_cells(features: DataFrame) -> np.ndarray:
     """Hash cells whose count over all documents stands out, as a table of CELLS booleans.
 
     A cell of ordinary shingles holds the mean, give or take its square root; eight times
     that and 64 more mark a cell with a frequent shingle in it. Only the order of shingles
     depends on it, never a result.
     """
-    def count(batches):
-        cells = np.zeros(CELLS, np.int64)
+    def spell(batches):
         for batch in batches:
-            for text in _texts(batch):
-                cells += np.bincount((shingles(text) >> _U(48)).astype(np.int64), minlength=CELLS) if text and len(text) > 100_000 else 0
-                if text and len(text) <= 100_000:
-                    np.add.at(cells, (shingles(text) >> _U(48)).astype(np.int64), 1)
-        at = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at], pa.int64())], ["cell", "n"])
+            for raw in batch.column(0).to_pylist():
+                cells = np.frombuffer(raw, np.int64)
+                at = np.flatnonzero(cells)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at], pa.int64())], ["cell", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    rows = (features.where("cells IS NOT NULL").select("cells").mapInArrow(spell, "cell int, n bigint")
+            .groupBy("cell").agg(F.sum("n").alias("n")).collect())
     n = np.zeros(CELLS, np.int64)
     for r in rows:  # at most CELLS rows
         n[r["cell"]] = r["n"]
@@ -236,8 +258,37 @@ def _vectors(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, GROUPS)
 
 
-def _search_tiles(rows: DataFrame) -> DataFrame:
-    """(a, b): bounded pairs in different components, from rows (tile, side, node, comp, n, vec).
+def _tile_pairs(tile, side, comp, n, vec):
+    """Numbers (a, b, overlap bound) of the row pairs of a tile, or of two, that lie in
+    different components and may link."""
+    order = np.lexsort((side, tile))
+    cuts = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1]]))
+    ends = np.concatenate([cuts[1:], [len(order)]])
+    found = []
+    small = (ends - cuts <= 2 * FAN) & (side[order[cuts]] == 2)
+    for size in np.unique((ends - cuts)[small]).tolist():  # little groups of one size at once
+        i, j = np.triu_indices(size, 1)
+        for at in np.array_split(cuts[small & (ends - cuts == size)], max(1, small.sum() * len(i) >> 20)):
+            found.append((order[at[:, None] + i].ravel(), order[at[:, None] + j].ravel()))
+    for a, b in zip(cuts[~small], ends[~small]):
+        part = order[a:b]
+        left, right = part[side[part] != 1], part[side[part] != 0]
+        if len(left) and len(right):
+            one = CountTree(vec[left], n[left])
+            two = one if side[part[0]] == 2 else CountTree(vec[right], n[right])
+            x, y = tree_join(one, two)
+            found.append((left[x], right[y]))
+    for a, b in found:
+        new = (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b]))
+        a, b = a[new], b[new]
+        most = pair_bound(vec, a, b)
+        ok = can_link(n[a], n[b], most)
+        yield a[ok], b[ok], most[ok]
+
+
+def _search_tiles(rows: DataFrame, best: bool) -> DataFrame:
+    """(a, b): bounded pairs in different components, from rows (tile, side, node, comp, n, vec);
+    with ``best`` the one of highest bound for each node, else all.
 
     ``side`` 0 and 1 are the two tiles of a pair, 2 marks a tile joined with itself.
     """
@@ -248,48 +299,58 @@ def _search_tiles(rows: DataFrame) -> DataFrame:
         t = pa.Table.from_batches(batches)
         tile, side, node, comp, n = (t.column(c).to_numpy() for c in ("tile", "side", "node", "comp", "n"))
         n, vec = n.astype(np.int64), np.concatenate([_vectors(c) for c in t.column("vec").chunks])
-        order = np.lexsort((side, tile))
-        cuts = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1]]))
-        ends = np.concatenate([cuts[1:], [len(order)]])
-        seen_a, seen_b = [], []
-        small = (ends - cuts <= 2 * FAN) & (side[order[cuts]] == 2)
-        for size in np.unique((ends - cuts)[small]).tolist():  # little groups of one size at once
-            i, j = np.triu_indices(size, 1)
-            for at in np.array_split(cuts[small & (ends - cuts == size)], max(1, small.sum() * len(i) >> 20)):
-                seen_a.append(order[at[:, None] + i].ravel())
-                seen_b.append(order[at[:, None] + j].ravel())
-        for a, b in zip(cuts[~small], ends[~small]):
-            part = order[a:b]
-            left, right = part[side[part] != 1], part[side[part] != 0]
-            if len(left) and len(right):
-                one = CountTree(vec[left], n[left])
-                two = one if side[part[0]] == 2 else CountTree(vec[right], n[right])
-                x, y = tree_join(one, two)
-                seen_a.append(left[x])
-                seen_b.append(right[y])
-        for a, b in zip(seen_a, seen_b):
-            new = (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b]))
-            a, b = a[new], b[new]
-            ok = can_link(n[a], n[b], pair_bound(vec, a, b))
-            pairs = np.unique(np.sort(np.stack([node[a[ok]], node[b[ok]]], axis=1), axis=1), axis=0)
+        for a, b, most in _tile_pairs(tile, side, comp, n, vec):
+            if best:
+                score = most / (n[a] + n[b] - most)
+                own, mate, score = np.concatenate([node[a], node[b]]), np.concatenate([node[b], node[a]]), np.concatenate([score, score])
+                order = np.lexsort((mate, -score, own))
+                order = order[np.concatenate([[True], own[order][1:] != own[order][:-1]])[:len(order)]]
+                pairs, score = np.stack([own[order], mate[order]], axis=1), score[order]
+            else:
+                pairs = np.unique(np.sort(np.stack([node[a], node[b]], axis=1), axis=1), axis=0)
+                score = np.zeros(len(pairs))
             if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(score)], ["a", "b", "score"])
+
+    pairs = rows.repartition("tile").mapInArrow(search, "a bigint, b bigint, score double")
+    if best:
+        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    return rows.mapInArrow(search, "a bigint, b bigint")
+
+def _open_tiles(routed: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members of groups that still hold several components, cut into pairs of tiles."""
+    same = Window.partitionBy("key")
+    placed = (routed.select("key", "node", "n").distinct().join(labels, "node", "left")
+              .select("key", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    groups = (placed.withColumn("least", F.min("comp").over(same)).withColumn("most", F.max("comp").over(same))
+              .withColumn("size", F.count("*").over(same)).withColumn("low", F.min("n").over(same))
+              .withColumn("high", F.max("n").over(same)).where("least < most")
+              .where("size > 2 OR 5 * low >= 4 * high"))
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(
+        F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j")))
+    return (groups.withColumn("tiles", tiles).withColumn("mine", mine)
+            .select("key", "node", "comp", "mine", F.explode(meets).alias("t"))
+            .select(F.xxhash64("key", "t.i", "t.j").alias("tile"), "node", "comp",
+                    F.when(F.col("t.i") == F.col("t.j"), 2).when(F.col("mine") == F.col("t.i"), 0).otherwise(1).alias("side"))
+            .join(nodes.select("node", "n", "vec"), "node")
+            .select("tile", "side", "node", "comp", "n", "vec"))
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose count vectors allow a link, with their sizes."""
+    """Pairs (a, b) whose sizes and fine vectors allow a link."""
     def keep(batches):
         for batch in batches:
-            n_a, n_b = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
-            ok = can_link(n_a, n_b, np.minimum(_vectors(batch.column(4)), _vectors(batch.column(5))).sum(axis=1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:4]], ["a", "b", "n_a", "n_b"])
+            a, b, n_a, n_b, one, two = (c.to_pylist() for c in batch.columns)
+            ok = [i for i in range(len(a)) if can_link(n_a[i], n_b[i], fine_overlap(one[i], two[i]))]
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(ok, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
 
-    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vec").alias("vec_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vec").alias("vec_b"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "vec_a", "vec_b")
-            .mapInArrow(keep, "a bigint, b bigint, n_a int, n_b int"))
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("fine").alias("fine_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("fine").alias("fine_b"))
+    return (pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+            .mapInArrow(keep, "a bigint, b bigint"))
 
 
 # --- verification ----------------------------------------------------------------------
@@ -334,13 +395,15 @@ def components(docs: DataFrame) -> DataFrame:
     (null without shingles).
     """
     own = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("dig"), "text")
-    table = materialise(_features(own), "features")
+    features = materialise(_features(own), "features")
+    table = features.where("cells IS NULL").drop("cells")
     nodes = materialise(table.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_order"), "doc_id", "dig")).alias("head"),
-        F.first("n").alias("n"), F.first("vec").alias("vec")).select("node", "n", "vec", "head.doc_id", "head.dig"), "nodes")
+        F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("fine").alias("fine"))
+        .select("node", "n", "vec", "fine", "head.doc_id", "head.dig"), "nodes")
 
     same = Window.partitionBy("key")
-    routed = (_prefixes(own, frequent_cells(own))
+    routed = (_prefixes(own, frequent_cells(features))
               .withColumn("pivot", F.min(F.struct("node", "n")).over(same)).withColumn("last", F.max("node").over(same))
               .where(F.col("pivot.node") < F.col("last"))
               .select("key", "node", "n", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
@@ -348,32 +411,24 @@ def components(docs: DataFrame) -> DataFrame:
     near = (5 * F.least("n", "pivot_n") >= 4 * F.greatest("n", "pivot_n")) & (F.col("node") != F.col("pivot"))
     stars = routed.where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     stars = materialise(_bounded(stars, nodes), "stars")
-    heads = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    sets = materialise(_sets(own, nodes.select("doc_id", "dig", "node").join(heads, "node")), "sets")
-    first = materialise(_verified(stars, sets), "first-links")
-    labels = connected_components(first)
-
-    # groups that still hold several components
-    placed = (routed.select("key", "node").distinct().join(labels, "node", "left")
-              .select("key", "node", F.coalesce("comp", "node").alias("comp")))
-    open_groups = (placed.withColumn("least", F.min("comp").over(same)).withColumn("most", F.max("comp").over(same))
-                   .withColumn("size", F.count("*").over(same)).where("least < most"))
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(
-        F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j")))
-    tiled = (open_groups.withColumn("tiles", tiles).withColumn("mine", mine)
-             .select("key", "node", "comp", "mine", F.explode(meets).alias("t"))
-             .select(F.xxhash64("key", "t.i", "t.j").alias("tile"), "node", "comp",
-                     F.when(F.col("t.i") == F.col("t.j"), 2).when(F.col("mine") == F.col("t.i"), 0).otherwise(1).alias("side"))
-             .join(nodes.select("node", "n", "vec"), "node")
-             .select("tile", "side", "node", "comp", "n", "vec"))
-    more = _search_tiles(tiled.repartition("tile")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialise(more, "more-pairs")
-    late = more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(heads, "node", "left_anti")
-    late_sets = _sets(own, nodes.select("doc_id", "dig", "node").join(late, "node"))
-    second = materialise(_verified(more, materialise(sets.unionByName(late_sets), "all-sets")), "second-links")
-    labels = connected_components(first.unionByName(second))
+    links, tried = None, None
+    known, sets = None, None
+    for step in ("stars", "best", "all"):
+        if step == "stars":
+            pairs = stars
+        else:
+            pairs = _search_tiles(_open_tiles(routed, labels, nodes), step == "best").join(tried, ["a", "b"], "left_anti")
+            pairs = materialise(_bounded(pairs, nodes), "pairs")
+        heads = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if known is not None:
+            heads = heads.join(known, "node", "left_anti")
+        heads = materialise(heads, "heads")
+        more = materialise(_sets(own, nodes.select("doc_id", "dig", "node").join(heads, "node")), "sets")
+        known, sets = (heads, more) if known is None else (known.union(heads), sets.union(more))
+        found = materialise(_verified(pairs, sets), "links")
+        links = found if links is None else links.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        labels = connected_components(links)
 
     table = table.join(labels, "node", "left").select("doc_id", "dig", "n", "node", F.coalesce("comp", "node").alias("root"))
     least = materialise(table.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "roots")
