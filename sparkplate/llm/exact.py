@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sparkplate.llm import fuse
 from sparkplate.llm.common import documents, materialise
 
-BUCKET = 50_000
+BUCKET = 1_000
 
 
 def normalised(text: Column) -> Column:
