@@ -4,16 +4,16 @@ A byte goes when a 50-byte string that covers it also starts in a document with
 id. A suffix array finds such strings by sorting suffixes; here, as in difference-cover
 construction, only the suffixes at cover positions enter a sort, block by block:
 
-* The cover holds, for every 50-byte string, the place of its smallest 16-byte hash. Equal
+* The cover holds, for every 50-byte string, the place of its smallest 24-byte hash. Equal
   strings have their cover place at the same offset, which is what a difference cover
-  provides, at about 2 / 36 of all places and without aligning documents.
+  provides, at about 2 / 28 of all places and without aligning documents.
 * Cover ranks: a first shuffle of (hash, text digest) tells which cover strings occur in two
   different texts. All other suffixes are settled without a further look.
 * Blocks: the surviving cover suffixes are dealt by rank (hash) with the bytes of the
   strings they stand for, and each block is sorted on its own: equal strings meet, and all
-  but those of the smallest id are marked. A rank held by more than ``HOT`` texts is not
-  gathered: its strings are hashed one per row and their smallest id found by partial
-  aggregation and a join that can be split.
+  but those of the smallest id are marked. A rank held by more than ``HOT`` texts is dealt
+  into several blocks by text; strings unmarked in their block are then compared across
+  blocks by their hash, with partial aggregation and a join that can be split.
 
 Exact copies of a smaller document are settled by digest before. Texts travel compressed.
 
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from sparkplate.llm.common import documents, materialise
 
-WINDOW, GRAM = 50, 16
+WINDOW, GRAM = 50, 24
 SPAN = WINDOW - GRAM + 1  # grams in a window
-HOT, SEGMENT = 4096, 1 << 19
+HOT, SEGMENT, SLICE = 4096, 1 << 19, 1 << 14
 _U = np.uint64
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256).astype(np.uint64) * _U(2) + _U(1)
 _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -175,32 +175,35 @@ def _packed(named: DataFrame, *more: str) -> DataFrame:
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """(key, doc, dig, first, bytes, hot): the strings each shared cover suffix stands for."""
+    """(key, block, hot, doc, nth, first, bytes): the strings each shared cover suffix stands for."""
+    names = ["key", "block", "hot", "doc", "nth", "first", "bytes"]
+
     def cut(batches):
         big = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = batch.to_pylist()
             wanted = [np.array(r["keys"], np.int64) for r in rows]
-            hot = [np.array(r["hot"], np.int64) for r in rows]
+            hot = [{h["key"]: h["blocks"] for h in r["hot"]} for r in rows]
             raws = ((i, big.decompress(r["raw"])) for i, r in enumerate(rows))
             for parts, h, first, last, part in _covered(raws):
                 key = _key(h)
-                out = [[], [], [], [], [], []]
+                out = [[] for _ in names]
                 bounds = np.searchsorted(part, np.arange(len(parts) + 1))
                 for (i, raw, at), a, b in zip(parts, bounds[:-1], bounds[1:]):
                     keep = a + np.flatnonzero(np.isin(key[a:b], wanted[i]))
+                    blocks = [hot[i].get(k, 1) for k in key[keep].tolist()] if hot[i] else [1] * len(keep)
                     out[0].append(key[keep])
-                    out[1].append(np.full(len(keep), rows[i]["doc"], np.int64))
-                    out[2].append(np.full(len(keep), rows[i]["dig"], np.int64))
-                    out[3].append(first[keep] + at)
-                    out[4] += [raw[x:y + WINDOW] for x, y in zip(first[keep].tolist(), last[keep].tolist())]
-                    out[5].append(np.isin(key[keep], hot[i]))
-                if out[4]:
+                    out[1].append(np.array([(rows[i]["doc"] * 0x9E3779B1 + rows[i]["nth"] >> 16) % n for n in blocks], np.int32))
+                    out[2].append(np.array(blocks, np.int32) > 1)
+                    out[3].append(np.full(len(keep), rows[i]["doc"], np.int64))
+                    out[4].append(np.full(len(keep), rows[i]["nth"], np.int32))
+                    out[5].append(first[keep] + at)
+                    out[6] += [raw[x:y + WINDOW] for x, y in zip(first[keep].tolist(), last[keep].tolist())]
+                if out[6]:
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.concatenate(c)) for c in out[:4]), pa.array(out[4], pa.binary()),
-                         pa.array(np.concatenate(out[5]))], ["key", "doc", "dig", "first", "bytes", "hot"])
+                        [*(pa.array(np.concatenate(c)) for c in out[:6]), pa.array(out[6], pa.binary())], names)
 
-    return texts.mapInArrow(cut, "key bigint, doc bigint, dig bigint, first bigint, bytes binary, hot boolean")
+    return texts.mapInArrow(cut, "key bigint, block int, hot boolean, doc bigint, nth int, first bigint, bytes binary")
 
 
 def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,61 +218,59 @@ def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[(ends - sizes)[row] + place], row, place
 
 
-def _intervals(doc, dig, first, row, place) -> pa.RecordBatch:
-    """Runs of marked neighbouring strings of a row as byte ranges of its text."""
-    if len(row):
-        order = np.lexsort((place, row))
-        row, place = row[order], place[order]
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
-        a = np.flatnonzero(new)
-        b = np.concatenate([a[1:], [len(row)]]) - 1
-        row, start, stop = row[a], first[row[a]] + place[a], first[row[a]] + place[b] + WINDOW
-    else:
-        start = stop = row
-    return pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(dig[row]), pa.array(start), pa.array(stop)],
-                                      ["doc", "dig", "start", "stop"])
-
-
-INTERVAL = "doc bigint, dig bigint, start bigint, stop bigint"
+def _runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first place, last place) of runs of neighbouring places in a row."""
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order]
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])) if len(row) else order
+    last = np.concatenate([new[1:], [len(row)]]) - 1 if len(row) else order
+    return row[new], place[new], place[last]
 
 
 def _sort_blocks(suffixes: DataFrame) -> DataFrame:
-    """Marked byte ranges, from sorting one block of suffixes at a time."""
+    """(doc, nth, start, stop, h): byte ranges marked within their block, where ``h`` is null;
+    and the unmarked strings of hot ranks, with their hash."""
     def sort(batches):
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
         held = pa.Table.from_batches(batches)
-        doc, dig, first = (held.column(c).to_numpy() for c in ("doc", "dig", "first"))
-        raws = held.column("bytes").to_pylist()
-        h, row, place = _strings(raws)
-        order = np.lexsort((doc[row], h))
-        h, own = h[order], doc[row[order]]
-        head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        least = np.repeat(own[head], np.diff(np.concatenate([head, [len(h)]])))
-        marked = order[own > least]
-        yield _intervals(doc, dig, first, row[marked], place[marked])
-
-    return (suffixes.select("key", "doc", "dig", "first", "bytes").repartition("key")
-            .select("doc", "dig", "first", "bytes").mapInArrow(sort, INTERVAL))
-
-
-def _sort_hot(suffixes: DataFrame) -> DataFrame:
-    """The same for hot ranks: one row per string, so that no rank is gathered."""
-    def spell(batches):
-        for batch in batches:
-            doc, dig, first = (batch.column(i).to_numpy() for i in range(3))
-            h, row, place = _strings(batch.column(3).to_pylist())
+        key, block, hot, doc, nth, first = (held.column(c).to_numpy() for c in ("key", "block", "hot", "doc", "nth", "first"))
+        order = np.lexsort((block, key))
+        heads = np.flatnonzero(np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (block[order][1:] != block[order][:-1])]))
+        # whole blocks, about SLICE suffixes at a time
+        cuts = [0]
+        for end in [*heads[1:].tolist(), len(order)]:
+            if end - cuts[-1] >= SLICE or end == len(order):
+                cuts.append(end)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = order[a:b]
+            h, row, place = _strings(held.column("bytes").take(pa.array(own)).to_pylist())
+            row = own[row]
+            by = np.lexsort((doc[row], h))
+            hs, ids = h[by], doc[row[by]]
+            head = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
+            least = np.repeat(ids[head], np.diff(np.concatenate([head, [len(hs)]])))
+            marked = by[ids > least]
+            r, x, y = _runs(row[marked], place[marked])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(doc[row]), pa.array(dig[row]), pa.array(first[row] + place)],
-                ["h", "doc", "dig", "start"])
+                [pa.array(doc[r]), pa.array(nth[r]), pa.array(first[r] + x), pa.array(first[r] + y + WINDOW),
+                 pa.nulls(len(r), pa.int64())], ["doc", "nth", "start", "stop", "h"])
+            rest = by[(ids == least) & hot[row[by]]]
+            if len(rest):
+                r, x = row[rest], place[rest]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[r]), pa.array(nth[r]), pa.array(first[r] + x), pa.array(first[r] + x + WINDOW),
+                     pa.array(h[rest].view(np.int64))], ["doc", "nth", "start", "stop", "h"])
+
+    return suffixes.repartition("key", "block").mapInArrow(sort, "doc bigint, nth int, start bigint, stop bigint, h bigint")
+
 
-    strings = materialise(suffixes.select("doc", "dig", "first", "bytes")
-                          .mapInArrow(spell, "h bigint, doc bigint, dig bigint, start bigint"), "hot-strings")
+def _across_blocks(strings: DataFrame) -> DataFrame:
+    """Marked byte ranges among the strings that their blocks left, by hash."""
     least = materialise(strings.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
                         .where("least <> most").select("h", "least"), "hot-least")
-    return (strings.join(least, "h").where("doc > least")
-            .select("doc", "dig", "start", (F.col("start") + WINDOW).alias("stop")))
+    return strings.join(least, "h").where("doc > least").select("doc", "nth", "start", "stop")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -284,17 +285,19 @@ def removals(docs: DataFrame) -> DataFrame:
     first = materialise(first, "first")
     copies = (facts.join(first.where("n > 1"), "sha").where(F.col("doc") > F.col("least"))
               .where(F.col("n_bytes") >= WINDOW).select("doc", "dig", "n_bytes").distinct())
-    heads = (facts.join(first, "sha").where(F.col("doc") == F.col("least"))
-             .select("doc", "dig").distinct())
-    shared = materialise(_shared(named), "shared")
-    sets = (shared.groupBy("dig").agg(F.collect_set("key").alias("keys"),
-                                      F.collect_set(F.when(F.col("n") > HOT, F.col("key"))).alias("hot"))
-            .join(heads, "dig"))
-    found = materialise(_suffixes(_packed(named).join(sets, ["doc", "dig"])
-                                  .select("doc", "dig", "raw", "keys", "hot")), "suffixes")
-    ranges = _sort_blocks(found.where("NOT hot")).unionByName(_sort_hot(found.where("hot")))
+    # (doc, nth) names a text as its digest does, in fewer bytes: nth is 1 unless an id repeats
+    heads = (facts.join(first, "sha").where(F.col("doc") == F.col("least")).select("doc", "dig").distinct()
+             .withColumn("nth", F.row_number().over(Window.partitionBy("doc").orderBy("dig"))))
+    heads = materialise(heads, "heads")
+    blocks = F.ceil(F.col("n") / HOT).cast("int").alias("blocks")
+    sets = (_shared(named).groupBy("dig").agg(F.collect_set("key").alias("keys"), F.collect_set(
+        F.when(F.col("n") > HOT, F.struct("key", blocks))).alias("hot")).join(heads, "dig"))
+    sorted_blocks = materialise(_sort_blocks(_suffixes(
+        _packed(named).join(sets, ["doc", "dig"]).select("doc", "nth", "raw", "keys", "hot"))), "ranges")
+    ranges = (sorted_blocks.where("h IS NULL").drop("h")
+              .unionByName(_across_blocks(sorted_blocks.where("h IS NOT NULL"))))
     spans = F.collect_set(F.struct("start", "stop")).alias("spans")
-    marked = ranges.groupBy("doc", "dig").agg(spans)
+    marked = ranges.groupBy("doc", "nth").agg(spans).join(heads, ["doc", "nth"]).select("doc", "dig", "spans")
     whole = copies.select("doc", "dig", F.array(F.struct(F.lit(0).cast("bigint").alias("start"),
                                                          F.col("n_bytes").alias("stop"))).alias("spans"))
     return materialise(marked.unionByName(whole), "removals")
