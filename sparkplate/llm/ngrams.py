@@ -19,12 +19,21 @@ form a node. Two nodes link when 100 * intersection >= 80 * union. Every link is
   proposes only its best partner in another component, which joins up dense groups with one
   pair a member; then all pairs left between components are verified on their sets.
 
-A pair inside one component is not tried again: it cannot change a component. Components
-come from minimum labels over the verified links.
+A pair inside one component is not tried again in this search: it cannot change a component.
+Components come from minimum labels over the verified links, and are all that ``keep_one``
+needs.
+
+``links`` and ``link_counts`` go on to every link. Both ends of one lie in one component, so
+the distinct sets of a component are cut into tiles of bounded members and shingles, and each
+pair of tiles is searched in one place, whatever was tried before: pairs that pass the size
+and count-vector bounds are verified on the sets, which travel with the tiles. A pair of sets
+meets in exactly one pair of tiles, so no link is counted twice. Counts leave a tile summed
+per node; only ``links`` writes the pairs out.
 
 Defined cases: null or blank text has no shingles and links with nothing; fewer than five
 words are one shingle, the whole sequence; a null ``doc_id`` never names a component unless
-all of its members lack an id; repeated ids and rows are documents of their own; extra
+all of its members lack an id; repeated ids and rows are documents of their own, and link with
+each other if they have shingles; extra
 columns are not read by ``components``; an empty table gives no rows.
 """
 
@@ -41,6 +50,7 @@ from sparkplate.llm.common import documents, materialise
 from sparkplate.llm.components import connected_components
 
 WORDS, GROUPS, CELLS, TILE, FAN = 5, 64, 1 << 16, 2048, 16
+LINK_TILE, LINK_ITEMS = 1024, 1 << 18  # members and shingles of a tile of a component
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -260,7 +270,7 @@ def _vectors(column) -> np.ndarray:
 
 def _tile_pairs(tile, side, comp, n, vec):
     """Numbers (a, b, overlap bound) of the row pairs of a tile, or of two, that lie in
-    different components and may link."""
+    different components and may link; without ``comp``, of all that may link, each once."""
     order = np.lexsort((side, tile))
     cuts = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1]]))
     ends = np.concatenate([cuts[1:], [len(order)]])
@@ -277,9 +287,11 @@ def _tile_pairs(tile, side, comp, n, vec):
             one = CountTree(vec[left], n[left])
             two = one if side[part[0]] == 2 else CountTree(vec[right], n[right])
             x, y = tree_join(one, two)
+            if comp is None and one is two:
+                x, y = x[x < y], y[x < y]
             found.append((left[x], right[y]))
     for a, b in found:
-        new = (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b]))
+        new = (True if comp is None else comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b]))
         a, b = a[new], b[new]
         most = pair_bound(vec, a, b)
         ok = can_link(n[a], n[b], most)
@@ -388,19 +400,118 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, dig, n, node, root, component_id) of every document.
+# --- all links of a component ----------------------------------------------------------
 
-    ``dig`` is the 64-bit digest of the text, ``root`` the least node of the component
-    (null without shingles).
-    """
+def _whole_tiles(batches):
+    """Tables of whole tiles, from batches sorted by ``tile``."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tile = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(tile, tile[-1]))
+        if held and (cut or held[-1].column(0)[-1].as_py() != tile[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def overlaps(codes: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact overlap of the sets numbered ``a`` and ``b``; set i is ``codes[ends[i]:ends[i + 1]]``,
+    numbers from 0, and none is empty."""
+    out = np.zeros(len(a), np.int64)
+    if not len(a):
+        return out
+    mark = np.zeros(codes.max() + 1, np.uint8)
+    order = np.lexsort((b, a))
+    cuts = np.flatnonzero(np.concatenate([[True], a[order][1:] != a[order][:-1], [True]]))
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        mine = order[low:high]
+        own, mates = a[mine[0]], b[mine]
+        mark[codes[ends[own]:ends[own + 1]]] = 1
+        first, last = mates[0], mates[-1] + 1
+        if last - first <= 2 * len(mates):  # mostly neighbours: one pass over the stretch
+            seen = mark[codes[ends[first]:ends[last]]]
+            out[mine] = np.add.reduceat(seen, ends[first:last] - ends[first], dtype=np.int64)[mates - first]
+        else:
+            for i in range(0, len(mates), 256):
+                size = ends[mates[i:i + 256] + 1] - ends[mates[i:i + 256]]
+                at = np.cumsum(size) - size
+                place = np.repeat(ends[mates[i:i + 256]] - at, size) + np.arange(size.sum())
+                out[mine[i:i + 256]] = np.add.reduceat(mark[codes[place]], at, dtype=np.int64)
+        mark[codes[ends[own]:ends[own + 1]]] = 0
+    return out
+
+
+def _link_tiles(nodes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(tile, side, node, n, copies, vec, items): the components in pairs of tiles, as ``_open_tiles``."""
+    sizes = (labels.join(nodes.select("node", "n"), "node").groupBy("comp")
+             .agg(F.count("*").alias("size"), F.sum("n").alias("all")))
+    tiles = F.greatest(F.ceil(F.col("size") / LINK_TILE), F.ceil(F.col("all") / LINK_ITEMS)).cast("int")
+    placed = (labels.join(sizes.select("comp", tiles.alias("tiles")), "comp")
+              .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")))
+    meets = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(
+        F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j")))
+    full = (placed.join(nodes.select("node", "n", "copies", "vec"), "node").join(sets, "node")
+            .select("comp", "node", "n", "copies", "vec", "items", "mine", F.explode(meets).alias("t")))
+    # named by its three parts: two tiles of one hash would lend each other their members
+    return full.select(F.struct("comp", "t.i", "t.j").alias("tile"),
+                       F.when(F.col("t.i") == F.col("t.j"), 2).when(F.col("mine") == F.col("t.i"), 0).otherwise(1).alias("side"),
+                       "node", "n", "copies", "vec", "items")
+
+
+def _search_links(rows: DataFrame, count: bool) -> DataFrame:
+    """Every link between the distinct sets of ``_link_tiles``: pairs (a, b), a < b; with
+    ``count`` (node, others), for each node the documents that it links with."""
+    names = ["node", "others"] if count else ["a", "b"]
+
+    def search(batches):
+        for t in _whole_tiles(batches):
+            side, node, n, copies = (t.column(c).to_numpy() for c in ("side", "node", "n", "copies"))
+            n, vec = n.astype(np.int64), np.concatenate([_vectors(c) for c in t.column("vec").chunks])
+            parts = [t.column(c).to_numpy() for c in ("comp", "i", "j")]
+            new = np.zeros(len(n), bool)
+            for p in parts:
+                new[1:] |= p[1:] != p[:-1]
+            codes = np.unique(np.concatenate([c.flatten().to_numpy() for c in t.column("items").chunks]), return_inverse=True)[1]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            total = np.zeros(len(n), np.int64)
+            for a, b, _ in _tile_pairs(np.cumsum(new), side, None, n, vec):
+                both = overlaps(codes, ends, a, b)
+                ok = 100 * both >= 80 * (n[a] + n[b] - both)
+                a, b = a[ok], b[ok]
+                if count:
+                    np.add.at(total, a, copies[b])
+                    np.add.at(total, b, copies[a])
+                elif len(a):
+                    x, y = node[a], node[b]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names)
+            if total.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node[total > 0]), pa.array(total[total > 0])], names)
+
+    own = rows.select(F.xxhash64("tile").alias("place"), "tile.*", "side", "node", "n", "copies", "vec", "items")
+    # whole tiles, in order; batches are cut where the hash of a tile changes
+    own = own.repartition("place").sortWithinPartitions("place", "comp", "i", "j")
+    found = own.mapInArrow(search, f"{names[0]} bigint, {names[1]} bigint")
+    return found.groupBy("node").agg(F.sum("others").alias("others")) if count else found
+
+
+# --- the join --------------------------------------------------------------------------
+
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(table, nodes, labels, sets): every document with its node, the distinct nodes, the
+    components of those with a link and their sets."""
     own = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("dig"), "text")
     features = materialise(_features(own), "features")
     table = features.where("cells IS NULL").drop("cells")
     nodes = materialise(table.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_order"), "doc_id", "dig")).alias("head"),
-        F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("fine").alias("fine"))
-        .select("node", "n", "vec", "fine", "head.doc_id", "head.dig"), "nodes")
+        F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("fine").alias("fine"), F.count("*").alias("copies"))
+        .select("node", "n", "vec", "fine", "copies", "head.doc_id", "head.dig"), "nodes")
 
     same = Window.partitionBy("key")
     routed = (_prefixes(own, frequent_cells(features))
@@ -429,12 +540,42 @@ def components(docs: DataFrame) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = connected_components(links)
+    return table, nodes, labels, sets
 
-    table = table.join(labels, "node", "left").select("doc_id", "dig", "n", "node", F.coalesce("comp", "node").alias("root"))
+
+def _named(table: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+    table = table.join(labels, "node", "left").select("doc_id", "dig", "n", "node", F.coalesce("comp", "node").alias("root"), *more)
     least = materialise(table.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "roots")
     return (table.join(least, "root", "left")
             .select("doc_id", "dig", "n", "node", "root", F.when(F.col("root").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+                    .otherwise(F.col("component_id")).alias("component_id"), *more))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, dig, n, node, root, component_id) of every document.
+
+    ``dig`` is the 64-bit digest of the text, ``root`` the least node of the component
+    (null without shingles).
+    """
+    table, _, labels, _ = _joined(docs)
+    return _named(table, labels)
+
+
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``components``, and every link (a, b) between two distinct nodes, a < b.
+    Documents of one node link with each other too; they are not written out as pairs."""
+    table, nodes, labels, sets = _joined(docs)
+    return _named(table, labels), materialise(_search_links(_link_tiles(nodes, labels, sets), False), "all-links")
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """The rows of ``components`` with ``n_links``, the number of other documents that each
+    document links with."""
+    table, nodes, labels, sets = _joined(docs)
+    others = _search_links(_link_tiles(nodes, labels, sets), True)
+    known = materialise(nodes.select("node", "copies").join(labels, "node", "left").join(others, "node", "left")
+                        .select("node", "comp", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "counts")
+    return _named(table, known, "n_links").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -449,4 +590,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(documents(spark, sf_dir)).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
+    return link_counts(documents(spark, sf_dir)).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id", "n_links")

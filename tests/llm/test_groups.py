@@ -113,8 +113,41 @@ def test_ngrams_finds_every_link(spark, monkeypatch, seed, tile):
     assert len({c for _, c in want}) not in (1, len(rows))
 
 
+def linked(rows):
+    """(row, row) numbers of every two documents whose shingle sets link."""
+    sets = [brute.shingles(t) for _, t in rows]
+    return [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+
+
+@pytest.mark.parametrize("seed,tile,items", [(3, 1024, 1 << 18), (4, 5, 1 << 18), (5, 1024, 300)])
+def test_ngrams_links_inside_components(spark, monkeypatch, seed, tile, items):
+    monkeypatch.setattr(ngrams, "LINK_TILE", tile)
+    monkeypatch.setattr(ngrams, "LINK_ITEMS", items)
+    rows = near_copies(seed, groups=6, size=14)
+    base = [f"w{i}" for i in range(100)]
+    near = [" ".join([*base[:10 * i], f"other{i}", *base[10 * i + 1:]]) for i in range(10)]  # one word changed in each
+    rows += [(len(rows) + i, *r[1:]) for i, r in enumerate(rows[:7] + [(0, t, "en", "s") for t in near])]
+    want = linked([r[:2] for r in rows])
+    got = {r["doc_id"]: r for r in ngrams.link_counts(frame(spark, rows)).collect()}
+    assert [got[i]["n_links"] for i in range(len(rows))] == [sum(i in p for p in want) for i in range(len(rows))]
+    assert [got[r[0]]["component_id"] for r in rows] == [c for _, c in brute.component_ids([r[:2] for r in rows])]
+    members, pairs = ngrams.links(frame(spark, rows))
+    node = {r["doc_id"]: r["node"] for r in members.collect()}
+    pairs = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {tuple(sorted((node[i], node[j]))) for i, j in want if node[i] != node[j]}
+    assert len(pairs) > len({x for p in pairs for x in p})  # more than a spanning subset of them
+
+
+def test_ngrams_links_odd_rows(spark, odd):
+    want = linked(PAIRS)
+    got = [(r["doc_id"], r["n_links"]) for r in ngrams.link_counts(odd).collect()]
+    assert sorted(got, key=key) == sorted(((d, sum(i in p for p in want)) for i, (d, _) in enumerate(PAIRS)), key=key)
+
+
 def test_ngrams_empty_table(none):
     assert ngrams.components(none).count() == 0
+    assert ngrams.link_counts(none).count() == 0
 
 
 def test_count_tree_loses_no_pair():
