@@ -97,8 +97,34 @@ def test_chat_layouts(spark):
     assert [(r["layout"], [tuple(t) for t in r["turns"]]) for r in got] == [r[1:] for r in records]
 
 
+def test_chat_gathered_turns_equal_records(spark):
+    rows = spark.createDataFrame([(*r, "clash") for r in TALK], "conv_id bigint, turn int, role string, text string, turns string")
+    one, two = chat.conversations(rows).collect(), chat.canonical(chat.records_of(rows)).drop("record").collect()
+    assert sorted(map(repr, one)) == sorted(map(repr, two))
+
+
+@pytest.mark.parametrize("gather", [chat.conversations, lambda rows: chat.canonical(chat.records_of(rows)).drop("record")])
+def test_chat_long_turns_stay(spark, gather):
+    """A text beyond the 20,000,000 characters at which JSON parsers stop."""
+    rows = spark.range(2).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"),
+                                 F.expr("CASE id WHEN 0 THEN repeat('a\\\\ \"b\" ', 3200000) ELSE 'short' END").alias("text"))
+    done = chat.template(gather(rows))
+    r, = done.select("layout", F.size("loss_spans").alias("n"), F.length(chat.read_loss(F.col("formatted"), F.col("loss_spans"))).alias("c")).collect()
+    size = rows.select(F.sum(F.length("text")).alias("c")).collect()[0]["c"]
+    assert size > 20_000_000 and (r["layout"], r["n"], r["c"]) == ("messages", 2, size)
+
+
+def test_chat_no_json_stays_unknown(spark):
+    bad = [r'{"prompt":"\q","completion":"b"}', '{"prompt":"a\nb","completion":"b"}', '{"prompt":"a,"completion":"b"}', '{"prompt":"a","completion":"b']
+    odd = [(r'{"prompt": "x\": \"y", "completion" : "\\"}', 'x": "y')]
+    got = chat.canonical(spark.createDataFrame([(x,) for x in bad + [o[0] for o in odd]], "record string")).collect()
+    assert [r["layout"] for r in got] == [None] * len(bad) + ["prompt_completion"]
+    assert got[-1]["turns"][0]["text"] == odd[0][1] and got[-1]["turns"][1]["text"] == "\\"
+
+
 def test_chat_empty_table(spark):
     rows = spark.createDataFrame([], "conv_id bigint, turn int, role string, text string")
+    assert chat.conversations(rows).count() == 0
     assert chat.template(chat.canonical(chat.records_of(rows))).count() == 0
 
 
