@@ -84,6 +84,7 @@ def node_of(s: np.ndarray) -> int | None:
 
 
 def count_vector(s: np.ndarray) -> bytes:
+    """Counts over GROUPS classes; two bytes each, where 65535 stands for 65535 or more."""
     return np.minimum(np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 65535).astype("<u2").tobytes()
 
 
@@ -265,7 +266,10 @@ def tree_join(one: CountTree, two: CountTree) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _vectors(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, GROUPS)
+    """Count vectors as rows; a clipped count stands for any, so that bounds stay bounds."""
+    vec = np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, GROUPS)
+    clipped = vec == 65535
+    return np.where(clipped, np.uint32(1 << 30), vec.astype(np.uint32)) if clipped.any() else vec
 
 
 def _tile_pairs(tile, side, comp, n, vec):

@@ -163,6 +163,16 @@ def test_count_tree_loses_no_pair():
     assert {(x, y) for x, y in zip(i[ok].tolist(), j[ok].tolist())} == {(x, y) for x, y in zip(a.tolist(), b.tolist()) if x < y}
 
 
+def test_clipped_counts_stay_bounds():
+    s = np.arange(100_000, dtype=np.uint64) * np.uint64(ngrams.GROUPS)  # all in one class
+    vec = ngrams._vectors(ngrams.pa.array([ngrams.count_vector(x) for x in (s, s[1:], s[:50])], ngrams.pa.binary()))
+    n = np.array([100_000, 99_999, 50])
+    a, b, most = next(ngrams._tile_pairs(np.zeros(3, int), np.full(3, 2), None, n, vec))
+    assert (a.tolist(), b.tolist()) == ([0], [1]) and most[0] >= 99_999
+    one = ngrams.CountTree(vec, n)
+    assert {(0, 1), (1, 0)} <= set(zip(*(x.tolist() for x in ngrams.tree_join(one, one))))
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (103, 100), (200, 200)]
     got = {r["node"]: r["comp"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
