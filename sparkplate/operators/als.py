@@ -67,18 +67,23 @@ def error_metrics(pred: DataFrame, label: str = "stars", prediction: str = "pred
             .withColumn("rmse", F.sqrt("mse")))
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int = 5, user_col: str = "userid",
+def recommend(model: ALSModel, users: DataFrame, n: int | None = None, user_col: str = "userid",
               count_col: str | None = None) -> DataFrame:
-    """Top-``n`` items per requested user, long form ``(userid, businessid, rating)``.
+    """Top-``n`` (5) items per requested user, long form ``(userid, businessid, rating)``.
 
     ``users`` is a table of requests (one HTTP request of the reference = one row here).
-    ``count_col`` names a column with a request's own list length; ``n`` is then the
-    greatest length served, and a user who asks several times gets the longest list.
+    ``count_col`` names a column with a request's own list length (null asks for 5), served
+    whole; a user who asks several times gets the longest list. Only an ``n`` that is given
+    beside it cuts lists, to the greatest length served.
     MLlib scores the asked users against all item blocks, block by block.
     """
     asked = users.select(user_col).distinct()
     if count_col:
-        asked = users.groupBy(user_col).agg(F.least(F.max(count_col), F.lit(n)).alias("_want"))
+        want = F.coalesce(F.max(count_col), F.lit(5))
+        asked = users.groupBy(user_col).agg((want if n is None else F.least(want, F.lit(n))).alias("_want"))
+        if n is None:  # no list is longer than the items, so a huge request needs no more room
+            n = max(1, min(asked.agg(F.max("_want")).first()[0] or 0, model.itemFactors.count()))
+    n = 5 if n is None else n
     recs = model.recommendForUserSubset(asked.select(user_col), n)
     item_col = model.getItemCol()
     if count_col:

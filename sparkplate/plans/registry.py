@@ -626,7 +626,7 @@ def _asked_recs(s, d):
     """Requests with their own list length: 1 to 4 items, by user id."""
     model, test = _model_and_test(s, d)
     asked = test.select("userid", (F.col("userid") % 4 + 1).alias("res_num"))
-    return M.recommend(model, asked, 5, count_col="res_num").groupBy("userid").agg(F.count(F.lit(1)).alias("n"))
+    return M.recommend(model, asked, count_col="res_num").groupBy("userid").agg(F.count(F.lit(1)).alias("n"))
 
 
 query("als_recommend_asked", with_views(_TRAINED + """SELECT userid, CAST(least(userid % 4 + 1, (SELECT count(DISTINCT businessid) FROM tr)) AS BIGINT) AS n

@@ -67,6 +67,16 @@ def test_requests_with_their_own_length(spark):
     assert got == {u: n for u, n in {1: 4, 3: 5}.items() if u in {r.userid for r in asked.collect()}}
 
 
+def test_requests_longer_than_the_default(spark):
+    ratings = G.shared_ratings(spark, SMALL)
+    model = M.train_als(ratings)
+    items = model.itemFactors.count()
+    users = [r.userid for r in ratings.select("userid").distinct().orderBy("userid").limit(4).collect()]
+    asked = spark.createDataFrame(list(zip(users, [8, 10**9, None, 0])), "userid int, res_num int")
+    got = {r.userid: r["count"] for r in M.recommend(model, asked, count_col="res_num").groupBy("userid").count().collect()}
+    assert items > 8 and got == dict(zip(users, [8, items, 5]))
+
+
 def test_als_bounds(spark, scratch):
     ratings = G.ratings(spark, SMALL)
     train, test = SP.time_split(ratings)
