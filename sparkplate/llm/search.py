@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sparkplate.llm.common import documents, materialise
 
-SHARD = 8192
+SHARD = 4096
 BLOCK = 128
 SUMMARY = 4_000_000
 ITEM_TERMS = 100_000
@@ -118,7 +118,7 @@ def build_shard(doc: np.ndarray, ptr: np.ndarray, term: np.ndarray, impact: np.n
     sizes = np.diff(ptr)
     owner = np.repeat(np.arange(len(doc)), sizes)
     axes = np.random.default_rng(12).standard_normal((len(asked), 24)).astype(np.float32)
-    vectors = np.add.reduceat(axes[term] * impact[:, None].astype(np.float32), ptr[:-1])
+    vectors = np.stack([np.add.reduceat(axis[term] * impact.astype(np.float32), ptr[:-1]) for axis in axes.T], axis=1)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-20)
     place = np.full(len(asked), -1)  # a term's coordinate in the summaries of the present list
     order = np.argsort(term, kind="stable")
@@ -225,9 +225,18 @@ def search_shard(x: dict, items: list[np.ndarray], asked: list[np.ndarray], best
 
 # --- the index and its search ------------------------------------------------------------
 
-_LONG = ["doc", "ptr", "impact", "block_ptr", "block_least", "sum_ptr", "summary"]
-_INT = ["term", "block_term", "block_doc"]
-INDEX = ", ".join(["pick int"] + [f"{c} array<bigint>" for c in _LONG] + [f"{c} array<int>" for c in _INT])
+def pack(x: dict) -> bytes:
+    """A shard's arrays, compressed: executors move and hold packed shards, a task opens one at a time."""
+    batch = pa.RecordBatch.from_arrays([pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for v in x.values()], list(x))
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unpack(packed: pa.Scalar) -> dict:
+    batch = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+    return {name: batch.column(i)[0].values.to_numpy() for i, name in enumerate(batch.schema.names)}
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -260,12 +269,10 @@ def build_index(rows: DataFrame, weight: np.ndarray, n_docs: int, length: int, a
         m = np.repeat(10 + 90 * n * n_docs // length, sizes)
         impact = weight[term] * (1_000_000_000 * tf // (1000 * tf + 8 * m))
         x = build_shard(doc, np.r_[0, np.cumsum(sizes)], term, impact, asked, block)
-        pick = int(doc.min() % 1_000_003)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([pick], pa.int32())] + [pa.array([x[c].astype(np.int64)], pa.list_(pa.int64())) for c in _LONG]
-            + [pa.array([x[c].astype(np.int32)], pa.list_(pa.int32())) for c in _INT], ["pick", *_LONG, *_INT])
+        return pa.RecordBatch.from_arrays([pa.array([int(doc.min() % 1_000_003)], pa.int32()), pa.array([pack(x)], pa.binary())],
+                                          ["pick", "shard"])
 
-    return rows.where("size(terms) > 0").mapInArrow(build, INDEX)
+    return rows.where("size(terms) > 0").mapInArrow(build, "pick int, shard binary")
 
 
 def search_index(index: DataFrame, items: list[np.ndarray], asked: list[np.ndarray], k: int, floor: np.ndarray) -> DataFrame:
@@ -273,15 +280,14 @@ def search_index(index: DataFrame, items: list[np.ndarray], asked: list[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in items]
         for batch in batches:
-            for r in range(batch.num_rows):
-                x = {c: batch.column(c)[r].values.to_numpy() for c in [*_LONG, *_INT]}
-                search_shard(x, items, asked, best, floor, k)
+            for packed in batch.column(0):
+                search_shard(unpack(packed), items, asked, best, floor, k)
         number = np.repeat(np.arange(len(items)), [len(b[0]) for b in best])
         yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32())] + [
             pa.array(np.concatenate([b[c] for b in best] or [np.empty(0, np.int64)]), pa.int64()) for c in (1, 0)],
             ["item", "doc", "score"])
 
-    return index.select(*_LONG, *_INT).mapInArrow(run, "item int, doc bigint, score bigint")
+    return index.select("shard").mapInArrow(run, "item int, doc bigint, score bigint")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
