@@ -9,11 +9,11 @@
    on every run and in every engine); the same number ``k`` of the latest training rows
    moves to test, so the test size stays ``n``.
 
-Positions come from the distributed ``global_row_number`` (no single-partition sort). Only
-the test part asks whether its user trains: the users of training rows, one row each, are
-written to the shared folder and joined back, so both sides of that join are exchanged for
-it alone and AQE can split a hot user. The flagged rows are written once; the count ``k``
-and both outputs read that copy, and a lost executor re-reads it.
+The distinct ratings are written once. Both cuts of the order (after ``n`` and after ``n + k``
+rows) come from a histogram by day, of which only the boundary day is ordered
+(``select.Front``), and are plain predicates over the stored rows. New users are found by one
+partial aggregate (users all of whose rows are late) and written, one row each; the late rows
+are joined to them, both sides exchanged for it alone, so that AQE can split a hot user.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkplate.operators.ids import global_row_number
+from sparkplate.operators.select import Front, Key
 from sparkplate.session import cut_lineage
 
 RATING_COLUMNS = ["business_id", "user_id", "stars", "date", "userid", "businessid"]
-
+#: O1: latest first, ties by user, item and stars.
+LATEST = [Key("date", descending=True), Key("user_id"), Key("business_id"), Key("stars")]
 
 HASH_BITS = 60
 
@@ -58,22 +59,23 @@ def users_never_in(rows: DataFrame, users: DataFrame) -> DataFrame:
 def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed: int = 42,
                num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: ``(train, test)`` with ``userid``, ``businessid``, ``stars`` cast to int."""
-    d = ratings.select(*RATING_COLUMNS).distinct()
-    order = [F.col("date").desc_nulls_last(), F.col("user_id").asc_nulls_first(),
-             F.col("business_id").asc_nulls_first(), F.col("stars").asc_nulls_first()]
-    ranked = cut_lineage(global_row_number(d, order, "_pos", num_partitions))
-    total = ranked.count()
-    n = int(Fraction(total) * Fraction(str(ratio)))
-    trains = cut_lineage(ranked.where(F.col("_pos") > n).select("userid").distinct())
-    late = ranked.where(F.col("_pos") <= n)
-    new = users_never_in(late, trains)
-    moved = cut_lineage(new.where(row_hash(seed) < F.lit(share_bound(swap))).select("_pos"))
-    k = moved.count()
-    stay = late.join(moved, "_pos", "left_anti")
-    swapped = late.join(moved, "_pos", "left_semi")
-    pos = F.col("_pos")
-    train = ranked.where(pos > n + k).unionByName(swapped.select(*ranked.columns))
-    test = stay.select(*ranked.columns).unionByName(ranked.where((pos > n) & (pos <= n + k)))
+    d = cut_lineage(ratings.select(*RATING_COLUMNS).distinct())
+    front = Front(d, LATEST, num_partitions=num_partitions)
+    n = int(Fraction(front.total) * Fraction(str(ratio)))
+    late, bound = front.first(n), share_bound(swap)
+    early_rows, late_rows = d.where(~late), d.where(late)
+    if not bound:
+        return _typed(early_rows), _typed(late_rows)
+    late_users = d.groupBy("userid").agg(F.min(late).alias("_late")).where("_late")
+    new = cut_lineage(late_users.select(F.col("userid").alias("_uid"), F.lit(True).alias("_new")))
+    flagged = late_rows.join(new, F.col("userid").eqNullSafe(F.col("_uid")), "left").withColumn(
+        "_moves", F.col("_new").isNotNull() & (row_hash(seed) < F.lit(bound)))
+    k = flagged.where("_moves").count()
+    if not k:
+        return _typed(early_rows), _typed(late_rows)
+    swapped = front.first(n + k)
+    train = d.where(~swapped).unionByName(flagged.where("_moves").select(*d.columns))
+    test = flagged.where("NOT _moves").select(*d.columns).unionByName(d.where(~late & swapped))
     return _typed(train), _typed(test)
 
 

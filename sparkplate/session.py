@@ -40,9 +40,8 @@ def get_session(master: str | None = None, app: str = "sparkplate",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Where it is unset (tests, a first try) the folder lies in the
-    warehouse, which driver and executors share by definition; never in a machine's own
-    temporary folder.
+    Read from the session. Where it is unset, a local session (tests, a first try) keeps it in
+    its warehouse; a cluster session must name a folder that all its machines share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
