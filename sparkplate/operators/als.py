@@ -12,6 +12,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkplate.operators.topitems import top_items
 from sparkplate.session import checkpoint_dir, cut_lineage
 
 # The reference's two model configurations.
@@ -75,7 +76,8 @@ def recommend(model: ALSModel, users: DataFrame, n: int | None = None, user_col:
     ``count_col`` names a column with a request's own list length (null asks for 5), served
     whole; a user who asks several times gets the longest list. Only an ``n`` that is given
     beside it cuts lists, to the greatest length served.
-    MLlib scores the asked users against all item blocks, block by block.
+    Lists come from the norm-ordered index of the item factors (``topitems``), so a user is not
+    scored against items that cannot enter the list; ties go to the smaller item id.
     """
     asked = users.select(user_col).distinct()
     if count_col:
@@ -84,12 +86,14 @@ def recommend(model: ALSModel, users: DataFrame, n: int | None = None, user_col:
         if n is None:  # no list is longer than the items, so a huge request needs no more room
             n = max(1, min(asked.agg(F.max("_want")).first()[0] or 0, model.itemFactors.count()))
     n = 5 if n is None else n
-    recs = model.recommendForUserSubset(asked.select(user_col), n)
-    item_col = model.getItemCol()
+    named = asked.select(F.col(user_col).alias("id"))
+    found = top_items(model.userFactors.join(named, "id", "left_semi").withColumnRenamed("id", "user"),
+                      model.itemFactors.withColumnRenamed("id", "item"), n).rows
+    recs = found.select(F.col("user").cast("int").alias(user_col), F.col("item").cast("int").alias(model.getItemCol()),
+                        F.col("score").cast("float").alias("rating"), "rank")
     if count_col:
-        recs = recs.join(asked, user_col).withColumn(
-            "recommendations", F.slice("recommendations", F.lit(1), F.greatest("_want", F.lit(0))))
-    return recs.select(user_col, F.inline("recommendations")).select(user_col, item_col, "rating")
+        recs = recs.join(asked, user_col).where(F.col("rank") <= F.col("_want"))
+    return recs.select(user_col, model.getItemCol(), "rating")
 
 
 def top_n(scores: DataFrame, n: int = 5, user_col: str = "userid", item_col: str = "businessid",

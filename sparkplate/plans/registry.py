@@ -28,6 +28,7 @@ from sparkplate.operators import quality as Q
 from sparkplate.operators import runs as R
 from sparkplate.operators import scoring as S
 from sparkplate.operators import split as SP
+from sparkplate.operators import topitems as T
 from sparkplate.session import cut_lineage
 from sparkplate.sources.catalog import ensure_namespace, publish_view, query as sql_query, read_table, write_table
 
@@ -623,13 +624,13 @@ FROM (SELECT DISTINCT userid FROM te WHERE userid IN (SELECT userid FROM tr))"""
 
 
 def _asked_recs(s, d):
-    """Requests with their own list length: 1 to 4 items, by user id."""
+    """Requests with their own list length: 1 to 8 items, by user id."""
     model, test = _model_and_test(s, d)
-    asked = test.select("userid", (F.col("userid") % 4 + 1).alias("res_num"))
+    asked = test.select("userid", (F.col("userid") % 8 + 1).alias("res_num"))
     return M.recommend(model, asked, count_col="res_num").groupBy("userid").agg(F.count(F.lit(1)).alias("n"))
 
 
-query("als_recommend_asked", with_views(_TRAINED + """SELECT userid, CAST(least(userid % 4 + 1, (SELECT count(DISTINCT businessid) FROM tr)) AS BIGINT) AS n
+query("als_recommend_asked", with_views(_TRAINED + """SELECT userid, CAST(least(userid % 8 + 1, (SELECT count(DISTINCT businessid) FROM tr)) AS BIGINT) AS n
 FROM (SELECT DISTINCT userid FROM te WHERE userid IN (SELECT userid FROM tr))""", "shared_ratings"))(_asked_recs)
 
 
@@ -682,6 +683,27 @@ FROM ({_TOP_SQL})""", "mean_scores"))(
     .select("userid", "pos", "r.businessid", "r.rating"))
 
 
+# the index of the recommender on factors that SQL can compute: eighths, whose products are exact
+_USER_FACTORS = ["c_custkey % 7 / 8.0", "(c_custkey % 11 - 5) / 8.0", "(c_custkey % 13 - 6) / 8.0", "1.0"]
+_ITEM_FACTORS = ["p_partkey % 29 * (p_partkey % 5) / 8.0", "p_partkey % 29 * (p_partkey % 3 - 1) / 8.0",
+                 "(p_size % 9 - 4) / 8.0", "p_partkey % 29 / 8.0"]
+
+
+def factor_lists(s, d):
+    """(users, items) of ``top_items``: customers and parts."""
+    def factors(table, key, name, parts):
+        lists = F.array(*[F.expr(f"CAST({x} AS DOUBLE)") for x in parts])
+        return analogs.table(s, d, table).select(F.col(key).cast("bigint").alias(name), lists.alias("features"))
+    return factors("customer", "c_custkey", "user", _USER_FACTORS), factors("part", "p_partkey", "item", _ITEM_FACTORS)
+
+
+_DOT_SQL = " + ".join(f"CAST({u} AS DOUBLE) * CAST({i} AS DOUBLE)" for u, i in zip(_USER_FACTORS, _ITEM_FACTORS))
+query("top_items_factors", f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS INTEGER) AS rank
+  FROM (SELECT CAST(c_custkey AS BIGINT) AS "user", CAST(p_partkey AS BIGINT) AS item, {_DOT_SQL} AS score FROM customer, part))
+WHERE rank <= 5""")(lambda s, d: T.top_items(*factor_lists(s, d)).rows)
+
+
 def _baseline_runs(s, d):
     """Three baseline predictors (global, user and item mean) evaluated on all ratings."""
     r = cut_lineage(ratings(s, d).select("userid", "businessid", F.col("stars").cast("double").alias("stars")))
