@@ -510,13 +510,16 @@ register("corpus_tfidf_raw", _tfidf_sql("corpus_text").replace(
 
 query("similar_items_part", with_views(_similar_sql("part_text", "part_tfidf_raw", PART_TITLES),
                                        "part_text", "part_tfidf_raw"))(
-    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := part_items(s, d))), items, PART_TITLES))
+    lambda s, d: C.similar_indexed(C.index_vectors(items := part_items(s, d)), items, PART_TITLES).rows)
 query("similar_items_documents", with_views(_similar_sql("corpus_text", "corpus_tfidf_raw", DOC_TITLES),
                                             "corpus_text", "corpus_tfidf_raw"))(
-    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := corpus_items(s, d))), items, DOC_TITLES))
+    lambda s, d: C.similar_indexed(C.index_vectors(items := corpus_items(s, d)), items, DOC_TITLES).rows)
 query("similar_items_unknown", with_views(_similar_sql("part_text", "part_tfidf_raw", ["no such title"]),
                                           "part_text", "part_tfidf_raw"))(
-    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := part_items(s, d))), items, ["no such title"]))
+    lambda s, d: C.similar_indexed(C.index_vectors(items := part_items(s, d)), items, ["no such title"]).rows)
+query("similar_items_scan", with_views(_similar_sql("part_text", "part_tfidf_raw", PART_TITLES),
+                                       "part_text", "part_tfidf_raw"))(
+    lambda s, d: C.similar_items(cut_lineage(C.tfidf(items := part_items(s, d))), items, PART_TITLES))
 
 
 # ---- time split (M3) -----------------------------------------------------------------
