@@ -25,6 +25,7 @@ from sparkplate.operators import content as C
 from sparkplate.operators import ids as I
 from sparkplate.operators import lookup as L
 from sparkplate.operators import quality as Q
+from sparkplate.operators import rollup as RU
 from sparkplate.operators import runs as R
 from sparkplate.operators import scoring as S
 from sparkplate.operators import split as SP
@@ -220,6 +221,19 @@ def city_metrics_filtered(spark, d):
     return A.a16_city_metrics(A.apply_filters(gold, {"stars": [4, 5]}))
 
 
+# the same charts from a rollup that scans the fact once
+
+def rollup(spark, d):
+    return RU.build_rollup(fr(spark, d), dr(spark, d))
+
+
+for _name in RU.CHARTS:
+    query(f"rollup_{_name}", with_views(CHART_SQL[_name], "analyses_review"))(
+        lambda s, d, name=_name: RU.chart(rollup(s, d), name))
+query("rollup_city_metrics_filtered", ORACLE["city_metrics_filtered"])(
+    lambda s, d: RU.chart(rollup(s, d), "a16_city_metrics", {"stars": [4, 5]}))
+
+
 # ---- data quality (D1-D3, A32, A33, U3) ----------------------------------------------
 
 
