@@ -56,6 +56,24 @@ def encode_ids(df: DataFrame, key: str, out: str, num_partitions: int | None = N
     return numbered.withColumn(out, F.col(out).cast("int"))  # MLlib's ALS takes int ids only
 
 
+def extend_ids(dictionary: DataFrame, df: DataFrame, key: str, out: str,
+               num_partitions: int | None = None) -> DataFrame:
+    """M1 for tables that grow: ``dictionary`` (key, out) with the unknown keys of ``df`` appended.
+
+    Known keys keep their ids, so a saved model and published tables keep their meaning; new
+    keys get the following numbers in key order (nulls first, a null key is a key). Over an empty
+    dictionary this is ``encode_ids``. Only new keys are ranked; the dictionary is read for the
+    anti-join and its greatest id.
+    """
+    known = dictionary.select(F.col(key).alias("_known"))
+    new = df.select(key).distinct()
+    new = new.join(known, new[key].eqNullSafe(F.col("_known")), "left_anti")
+    last = dictionary.agg(F.max(out)).first()[0] or 0
+    numbered = global_row_number(new, [F.col(key).asc_nulls_first()], out, num_partitions)
+    appended = numbered.select(key, (F.col(out) + F.lit(int(last))).cast("int").alias(out))
+    return dictionary.select(key, F.col(out).cast("int").alias(out)).unionByName(appended)
+
+
 def restaurant_transform(restaurant: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Every restaurant row plus its dense ``businessid``."""
     ids = encode_ids(restaurant, "business_id", "businessid", num_partitions)

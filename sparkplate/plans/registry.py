@@ -47,6 +47,10 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _fresh(name: str) -> str:
+    return f"sparkplate_check.{name}_{uuid.uuid4().hex}"
+
+
 def flat_hours(df: DataFrame) -> DataFrame:
     """Replace the ``hours`` struct by one column per day for engine-neutral comparison."""
     cols = []
@@ -377,6 +381,23 @@ query("encode_ids_user", with_views(
     lambda s, d: I.encode_ids(analogs.an_review(s, d), "user_id", "userid"))
 
 
+@query("ids_after_two_loads", """WITH first AS (
+  SELECT p_name, CAST(row_number() OVER (ORDER BY p_name) AS INTEGER) AS id
+  FROM (SELECT DISTINCT p_name FROM part WHERE p_size < 20)),
+rest AS (SELECT p_name, CAST(row_number() OVER (ORDER BY p_name) + (SELECT count(*) FROM first) AS INTEGER) AS id
+  FROM (SELECT DISTINCT p_name FROM part WHERE p_name NOT IN (SELECT p_name FROM first)))
+SELECT *, true AS old FROM first UNION ALL SELECT *, false FROM rest""")
+def ids_after_two_loads(s, d):
+    """M1 kept: the names of small parts arrive first, then the whole table; both loads are stored."""
+    ensure_namespace(s, "sparkplate_check")
+    name, part = _fresh("ids"), analogs.table(s, d, "part").select("p_name", "p_size")
+    write_table(I.encode_ids(part.where("p_size < 20"), "p_name", "id"), name)
+    first = s.table(name)
+    write_table(I.extend_ids(first, part, "p_name", "id"), name)  # replaces the table that it reads
+    return read_table(s, name).join(first.select("p_name", F.lit(True).alias("_old")), "p_name", "left").select(
+        "p_name", "id", F.coalesce("_old", F.lit(False)).alias("old"))
+
+
 # ---- look-ups (P10-P12, U4, J8, P15) -------------------------------------------------
 
 query("lookup_account", with_views("""SELECT account_name, name, userid FROM (
@@ -778,10 +799,6 @@ query("als_recommend_shared_ids")(
 
 # ---- catalog round trips (S3-S5, S8, S9, S14) -----------------------------------------
 
-def _fresh(name: str) -> str:
-    return f"sparkplate_check.{name}_{uuid.uuid4().hex}"
-
-
 @query("catalog_round_trip", "SELECT p_partkey, p_name, p_size * 2 AS doubled FROM part")
 def catalog_round_trip(spark, d):
     """Create a namespace and a table, replace it with another schema, read it."""
