@@ -8,34 +8,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkplate.functions.scoring import weighted_rating as _formula
-from sparkplate.session import cut_lineage
+
+
+#: Values inside a bracket that are few enough to be ordered in one task.
+FEW = 100_000
+#: Accuracy of the sketch (rank errors of 1 / ACCURACY of the rows).
+ACCURACY = 10_000
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     """Linear-interpolation quantile of the non-null values (pandas' default rule), exact.
 
-    Equal values are counted first (partial aggregation), so a value held by a third of the
-    rows is one row. The distinct values are range-partitioned; sums per partition (one row
-    each) become offsets, and a running sum inside each partition gives the position up to
-    which a value reaches. Only the (at most) two values around ``q * (n - 1)`` reach the
-    driver.
+    A mergeable sketch (``percentile_approx``, one partial aggregate) brackets the position; one
+    pass counts what lies below and inside. While more than ``FEW`` rows lie inside, the bracket
+    is narrowed the same way, by thousands each time. The values inside are then counted by
+    value and only they are ordered. A bracket that misses the position (the sketch's errors
+    are no promise) is widened, so the result never depends on the sketch. Nothing is range
+    partitioned and no distinct value leaves its task unless it lies inside the last bracket.
     """
-    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = cut_lineage(vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).repartitionByRange("_v")
-                         .withColumn("_part", F.spark_partition_id()))
-    parts = counts.groupBy("_part").agg(F.sum("_n").alias("_sum"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    offsets = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
-    n = parts.agg(F.sum("_sum")).first()[0]
+    v = F.col("_v")
+    vals = df.select(F.col(col).cast("double").alias("_v")).where(v.isNotNull())
+    inside, below, slack = vals, 0, 2 / ACCURACY
+    n = rows = vals.count()
     if not n:
         return None
-    inside = Window.partitionBy("_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.join(F.broadcast(offsets), "_part").select("_v", (F.col("_off") + F.sum("_n").over(inside)).alias("_end"), "_n")
     pos = q * (n - 1)
     lo = math.floor(pos)
     hi = min(lo + 1, n - 1)
+    while rows > FEW and slack < 1:
+        shares = [max(0.0, (lo - below) / rows - slack), min(1.0, (hi - below + 1) / rows + slack)]
+        a, b = inside.agg(F.percentile_approx("_v", shares, ACCURACY)).first()[0]
+        less, upto = inside.agg(F.count_if(v < F.lit(a)), F.count_if(v <= F.lit(b))).first()
+        if not below + less <= lo <= hi < below + upto:
+            slack *= 8
+            continue
+        if a == b:  # ties cover the position
+            return a
+        if upto - less == rows:
+            break  # few values with many ties each: counted by value below
+        inside, below, rows = inside.where(v.between(F.lit(a), F.lit(b))), below + less, upto - less
+    counts = inside.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) + F.lit(below)
+    ends = counts.select("_v", "_n", upto.alias("_end"))
     holds = [(F.col("_end") > i) & (F.col("_end") - F.col("_n") <= i) for i in (lo, hi)]
-    got = upto.agg(*[F.max(F.when(h, F.col("_v"))) for h in holds]).first()
+    got = ends.agg(*[F.max(F.when(h, F.col("_v"))) for h in holds]).first()
     return got[0] + (got[1] - got[0]) * (pos - lo)
 
 

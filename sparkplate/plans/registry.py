@@ -21,6 +21,7 @@ from sparkplate.sources import analogs
 from sparkplate.functions.numeric import round_half_up
 from sparkplate.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, text_features
 from sparkplate.operators import als as M
+from sparkplate.operators import bucketed as B
 from sparkplate.operators import content as C
 from sparkplate.operators import ids as I
 from sparkplate.operators import lookup as L
@@ -225,6 +226,20 @@ def city_metrics_filtered(spark, d):
     return A.a16_city_metrics(A.apply_filters(gold, {"stars": [4, 5]}))
 
 
+# the star join over bucketed tables, and a chart on it
+
+def bucketed_gold(spark, d):
+    ensure_namespace(spark, "sparkplate_check")
+    names = _fresh("fact"), _fresh("dim")
+    B.store_star(fr(spark, d), dr(spark, d), *names, buckets=16)
+    return B.bucketed_gold(spark, *names)
+
+
+query("gold_bucketed", with_views("SELECT * EXCLUDE (user_name) FROM analyses_review", "analyses_review"))(
+    lambda s, d: flat_hours(bucketed_gold(s, d)))
+query("gold_bucketed_city_metrics", with_views(CHART_SQL["a16_city_metrics"], "analyses_review"))(
+    lambda s, d: A.a16_city_metrics(bucketed_gold(s, d)))
+
 # the same charts from a rollup that scans the fact once
 
 def rollup(spark, d):

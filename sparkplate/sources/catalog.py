@@ -13,8 +13,9 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Names of versioned tables: time of the write, and a tag against writers of the same moment.
@@ -33,9 +34,18 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     return [f"{ns}.{t}" if ns else t for t in sorted(t.name for t in found) if re.fullmatch(re.escape(short) + VERSION, t, re.I)]
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None) -> None:
-    """Create or replace a table with the frame's (possibly new) schema, at once."""
+def write_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by=None,
+                observe: Mapping[str, Column] | None = None) -> dict:
+    """Create or replace a table with the frame's (possibly new) schema, at once.
+
+    ``observe`` names aggregates (counts, nulls, sums) that are taken while the rows are
+    written, without a scan of their own; their values are returned. Each row is written, and
+    so counted, once: a retried task reports only its successful attempt.
+    """
     spark = df.sparkSession
+    seen = Observation(f"write-{uuid.uuid4().hex}") if observe else None
+    if seen:
+        df = df.observe(seen, *[agg.alias(label) for label, agg in observe.items()])
     before = versions(spark, name)
     version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     w = df.write.format(fmt)
@@ -54,6 +64,7 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by=Non
     publish_view(spark, f"SELECT * FROM {version}", name)
     for old in before[:-1]:  # the last one may still be read
         spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return dict(seen.get) if seen else {}
 
 
 def ensure_namespace(spark: SparkSession, ns: str) -> None:

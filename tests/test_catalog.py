@@ -87,3 +87,17 @@ def test_ids_over_an_empty_dictionary_and_no_new_keys(spark):
     first = extend_ids(none, keys, "k", "id")
     assert first.exceptAll(encode_ids(keys, "k", "id")).count() == 0 and first.count() == 97
     assert extend_ids(first, keys, "k", "id").exceptAll(first).count() == 0
+
+
+def test_metrics_of_a_write_need_no_further_scan(spark, ns):
+    """Counts taken while writing equal those of the checks afterwards; the source is read once."""
+    from sparkplate.operators import quality as Q
+
+    reads = spark.sparkContext.accumulator(0)
+    source = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id")).alias("k"))
+    counted = source.mapInArrow(lambda batches: ((reads.add(b.num_rows), b)[1] for b in batches), "k bigint")
+    seen = K.write_table(counted, f"{ns}.observed", observe={"rows": F.count(F.lit(1)), "nulls": F.count_if(F.col("k").isNull())})
+    assert reads.value == 1000
+    stored = K.read_table(spark, f"{ns}.observed")
+    assert seen == {"rows": Q.row_count(stored).first()[0], "nulls": Q.check_not_null(stored, "k").count()} == {"rows": 1000, "nulls": 100}
+    assert K.write_table(source, f"{ns}.observed") == {}

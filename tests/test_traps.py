@@ -135,6 +135,22 @@ def test_exact_quantile_with_a_hot_value(spark):
     assert S.exact_quantile(df.where("v < 0"), "v", 0.5) is None
 
 
+def test_exact_quantile_narrows_by_sketch(spark, monkeypatch):
+    """Small limits force many brackets; ties, gaps and hot values at the position stay exact."""
+    monkeypatch.setattr(S, "FEW", 20)
+    monkeypatch.setattr(S, "ACCURACY", 50)
+    base = spark.range(0, 4000, 1, 6)
+    for value in (F.col("id").cast("double"), F.col("id") % 7, F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * F.col("id")),
+                  F.lit(4), F.when(F.col("id") % 5 == 1, None).otherwise(-F.col("id") / 3), F.col("id") % 2):
+        df = base.select(value.alias("v"))
+        vals = sorted(float(r.v) for r in df.collect() if r.v is not None)
+        for q in (0.0, 0.001, 0.3337, 0.5, 0.7, 0.9999, 1.0):
+            pos = q * (len(vals) - 1)
+            lo = int(pos)
+            hi = min(lo + 1, len(vals) - 1)
+            assert math.isclose(S.exact_quantile(df, "v", q), vals[lo] + (vals[hi] - vals[lo]) * (pos - lo))
+
+
 def test_first_per_keeps_values_of_null_orders(spark):
     df = spark.createDataFrame([("k1", None, "v1"), ("k2", None, "x"), ("k2", 3, "b"), ("k2", 3, "a")],
                                "k string, o int, v string")
