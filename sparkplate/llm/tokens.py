@@ -38,8 +38,9 @@ def _byte_letters() -> list[str]:
 class WordEncoder:
     """``ids(text)``: little-endian unsigned 32-bit ids of a whole text, as bytes.
 
-    ``cache`` bounds the words kept; a full cache is emptied, which costs time only. With
-    ``plain`` set, strings of special tokens in a text are ordinary text.
+    ``cache`` bounds the words kept; a full cache is emptied, which costs time only. A text
+    that may hold the string of an added token goes to the library whole, as such a token is
+    found inside and beside words.
     """
 
     @classmethod
@@ -53,12 +54,13 @@ class WordEncoder:
             kept[name] = cls(vocabulary)
         return kept[name]
 
-    def __init__(self, vocabulary: str, cache: int = 500_000, plain: bool = True):
+    def __init__(self, vocabulary: str, cache: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = plain
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = sorted({f(t[:2]) for t in added for f in (str.lower, str.upper, str)} | set(_ODD))
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.limit, self.known = cache, {}
 
@@ -94,7 +96,7 @@ class WordEncoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(c in text for c in _ODD):
+        if any(c in text for c in self.marks):
             return self._encode([text])[0]
         plain = True
         try:  # below U+0100 lower case maps letter by letter as in the vocabulary's rules

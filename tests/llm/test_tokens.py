@@ -18,13 +18,13 @@ PATH = P.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text, end: np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
 def test_word_encoder_equals_library(library):
     encoder = WordEncoder(vocabulary(PATH), cache=20)
-    texts = [r[1] for r in ODD] + ["İstanbul Σας ΟΔΟΣ", "H̱ello é café", "don't I'll, x., 3.14 µ ß ÀÉ", "日本 語。", "a\x85b c\x1cd", "ª º ²½", "Word, word. WORD., ,,, ."]
+    texts = [r[1] for r in ODD] + ["İstanbul Σας ΟΔΟΣ", "H̱ello é café", "don't I'll, x., 3.14 µ ß ÀÉ", "日本 語。", "a\x85b c\x1cd", "ª º ²½", "Word, word. WORD., ,,, .",
+             "hello <|endoftext|> world", "a<|endoftext|>b, c", "<|STARTOFTEXT|>x <|EndOfText|>", "<|startoftext|><|endoftext|>", "<| endoftext |> <|"]
     for text in texts * 2:
         assert encoder.ids(text) == library(text, 2)[:-1].tobytes(), text
 
@@ -55,6 +55,16 @@ def test_packing_odd_rows(spark, odd, library):
     check_packing([r[:2] for r in ODD], packing.pack_documents(odd, PATH).collect(), library)
 
 
+def test_added_tokens_in_texts(spark, library, tmp_path):
+    rows = [(1, "hello <|endoftext|> world", "en", "a"), (2, "a<|endoftext|>b", "en", "a"), (3, "plain words", "en", "a")]
+    docs = frame(spark, rows)
+    check_packing([r[:2] for r in rows], packing.pack_documents(docs, PATH).collect(), library)
+    binary.write_tokens(docs, str(tmp_path / "added"), vocabulary(PATH))
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in binary.read_tokens(spark, str(tmp_path / "added")).collect()}
+    assert got == {d: (len(x), zlib.crc32(x.tobytes())) for d, t, *_ in rows for x in [library(t, 1)]}
+    assert got[1][0] == 4
+
+
 def test_packing_real_rows(spark, small, library):
     got = packing.pack_documents(small[0], PATH).collect()
     check_packing([r[:2] for r in small[1]], got, library)
