@@ -9,8 +9,9 @@ their texts grouped, and that grouping is by the whole normalised text, so bytes
 and neither a filter's false pass nor a digest collision can join two texts.
 
 Defined cases: null text counts as empty; a null ``doc_id`` counts as larger than any and
-stands only for a group without ids; repeated ids are grouped by text like any rows; extra
-columns are not read; an empty snapshot, batch or table is fine.
+stands only for a group without ids; repeated ids are grouped by text like any rows; of rows
+that share a group's smallest id (or have no id, where none has) the one read first stays, so a
+group keeps exactly one row; extra columns are not read; an empty snapshot, batch or table is fine.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
     """
     old, new = snapshot.select("doc_id", "text"), batch.select("doc_id", "text")
     rows = materialise(digests(old).withColumn("old", F.lit(True))
-                       .unionByName(digests(new).withColumn("old", F.lit(False))), "digests")
+                       .unionByName(digests(new).withColumn("old", F.lit(False)))
+                       .withColumn("row", F.monotonically_increasing_id()), "digests")
     held = materialise(_per_digest(rows.where("old")), "snapshot-digests")
     came = _per_digest(rows.where("NOT old"))
     buckets = max(1, -(-held.count() // BUCKET))
@@ -85,12 +87,15 @@ def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
               .where("group_size > 1")
               .select(F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size"))
     groups = materialise(groups, "groups")
+    first = (rows.join(groups, "sha").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+             .groupBy("sha").agg(F.min("row").alias("keep_row")))
+    groups = materialise(groups.join(first, "sha"), "kept-rows")
     out = rows.join(groups, "sha", "left")
     single = F.col("group_size").isNull()
     return out.select(
         "doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
-        (single | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "sha")
+        (single | (F.col("row") == F.col("keep_row"))).alias("kept"), "sha")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +111,6 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """

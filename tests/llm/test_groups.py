@@ -46,11 +46,13 @@ def test_lines_empty_table(none):
 
 def grouped(rows):
     norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in rows]
-    out = []
+    out, taken = [], set()
     for (doc, _), t in zip(rows, norm):
         ids = [d for (d, _), u in zip(rows, norm) if u == t]
         keep = min((d for d in ids if d is not None), default=None) if len(ids) > 1 else doc
-        out.append((doc, keep, len(ids), len(ids) == 1 or doc == keep, hashlib.sha256(t.encode()).hexdigest()))
+        stays = doc == keep and t not in taken  # one row of each group
+        taken |= {t} if stays else set()
+        out.append((doc, keep, len(ids), stays, hashlib.sha256(t.encode()).hexdigest()))
     return sorted(out, key=key)
 
 
@@ -61,6 +63,15 @@ def test_exact_odd_rows(spark, odd, middle):
     assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["sha"]).hex()) for r in got), key=key) == grouped(PAIRS)
 
 
+def test_exact_keeps_one_row_of_repeated_ids(spark):
+    rows = [(1, "a b"), (1, "a  b"), (2, "a b"), (None, "c"), (None, "c"), (None, "d"), (3, "e"), (3, "f")]
+    docs = frame(spark, [(*r, "x", "s") for r in rows]).repartition(3)
+    for old in (F.lit(False), F.coalesce(F.col("doc_id") < 2, F.lit(False))):
+        got = exact.dedup(docs.where(old), docs.where(~old)).collect()
+        assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["sha"]).hex()) for r in got), key=key) == grouped(rows)
+        assert sum(r["kept"] for r in got) == 5
+
+
 def test_exact_empty_table(none):
     assert exact.dedup(none, none).count() == 0
 
