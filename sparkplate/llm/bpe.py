@@ -125,20 +125,32 @@ def _fold(word: Column, t: Column, slots: tuple[int, int]) -> Column:
         return let(chosen, lambda c: F.filter(F.transform(ids, lambda x, i: F.when(F.array_contains(c, i), low)
                    .when(F.array_contains(c, i - 1), F.lit(-1).cast("bigint")).otherwise(x)), lambda x: x >= 0))
 
+    def pair(ids: Column) -> Column:
+        return F.struct(ids.alias("ids"), ranks(ids).alias("rank"))
+
+    def spliced(ids: Column, rank: Column, low: Column, p: Column) -> Column:
+        """The pair at ``p`` merged: only the two pairs next to it have new ranks."""
+        beside = F.array_compact(F.array(_merge_rank(t, slots, F.get(ids, p - 2), low),
+                                         _merge_rank(t, slots, low, F.get(ids, p + 1))))
+        return F.struct(F.concat(F.slice(ids, 1, p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids))).alias("ids"),
+                        F.concat(F.slice(rank, 1, F.greatest(p - 2, F.lit(0))), beside,
+                                 F.slice(rank, p + 2, F.size(rank))).alias("rank"))
+
     def merged(ids: Column, rank: Column, low: Column) -> Column:
         return let(F.array_position(rank, low).cast("int"), lambda p: F.when(
-            F.array_contains(F.slice(rank, p + 1, F.size(rank)), low), many(ids, rank, low)).otherwise(
-            F.concat(F.slice(ids, 1, p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids)))))
+            F.array_contains(F.slice(rank, p + 1, F.size(rank)), low),
+            let(many(ids, rank, low), pair)).otherwise(spliced(ids, rank, low, p)))
 
     def step(state: Column, _: Column) -> Column:
-        return let(F.array_min(state["rank"]), lambda low: F.when(F.coalesce(low >= NONE, F.lit(True)), state).otherwise(
-            let(merged(state["ids"], state["rank"], low), lambda ids: F.struct(ids.alias("ids"), ranks(ids).alias("rank")))))
+        done = F.struct(state["ids"].alias("ids"), F.array().cast("array<bigint>").alias("rank"))
+        return let(F.array_min(state["rank"]), lambda low: F.when(low.isNull(), state).when(low >= NONE, done).otherwise(
+            merged(state["ids"], state["rank"], low)))
 
     # one character per byte
     chars = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
     start = F.transform(chars, lambda c: F.get(t["bytes"], F.ascii(c)))
     return let(start, lambda ids: F.aggregate(
-        F.slice(ids, 2, F.size(ids)), F.struct(ids.alias("ids"), ranks(ids).alias("rank")), step, lambda s: s["ids"]))
+        F.slice(ids, 2, F.size(ids)), pair(ids), step, lambda s: s["ids"]))
 
 
 class Encoder:
