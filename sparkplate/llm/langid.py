@@ -2,8 +2,9 @@
 
 A text becomes a TF-IDF vector over hashed byte trigrams of its letters (lower case; what is
 no letter is a space), of length one. Document frequencies cover every training row. The
-centroids are fitted on a bounded sample, at most ``SAMPLE`` rows per language drawn by
-hash: spherical k-means with ``CENTROIDS`` centroids for each. A text gets the language of
+centroids are fitted on a bounded sample, at most ``SAMPLE`` distinct texts per language drawn
+by a hash of the text and taken in the texts' order, so equal rows in any layout give equal
+models: spherical k-means with ``CENTROIDS`` centroids for each. A text gets the language of
 the centroid with the highest cosine; ``rejected`` tells that the cosine lies below what
 ``REJECT`` times the sample's lower cosines reach, i.e. that it is far from every language.
 
@@ -77,13 +78,18 @@ def _unit(found, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(train: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """At most ``size`` rows per language: a hash draws about twice as many, their order decides."""
-    labels = train.groupBy("lang").agg(F.count("*").alias("_n"))
-    drawn = F.xxhash64(F.lit(11), "doc_id", F.length("text"), F.monotonically_increasing_id())
-    some = (train.withColumn("_draw", drawn).join(F.broadcast(labels), "lang")  # a row per language
-            .where(F.pmod("_draw", F.col("_n")) < 2 * size))
+    """At most ``size`` distinct texts per language, drawn by a hash of the text.
+
+    A hash draws about twice as many, their order decides. Neither ids nor the layout of the
+    files have a part in it. Copies of a text count once, so a group of copies cannot fill it.
+    """
+    named = train.select("lang", "text", F.xxhash64(F.lit(11), "text").alias("_draw"))
+    labels = named.groupBy("lang").agg(F.approx_count_distinct("_draw").alias("_n"))
+    some = (named.join(F.broadcast(labels), "lang")  # a row per language
+            .where(F.pmod("_draw", F.greatest("_n", F.lit(1))) < 2 * size))
+    one = some.groupBy("lang", "_draw").agg(F.min("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("_draw")
-    return some.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= size).select("lang", "text")
+    return one.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= size).select("lang", "text")
 
 
 class Model:
@@ -109,7 +115,7 @@ def fit(train: DataFrame) -> Model:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def cluster(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [f for f in map(trigrams, pdf["text"]) if f is not None]
+        found = [f for f in map(trigrams, sorted(t for t in pdf["text"] if t is not None)) if f is not None]
         x = np.zeros((len(found), DIMS), np.float32)
         for row, f in zip(x, found):
             at, v = _unit(f, idf)

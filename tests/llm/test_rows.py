@@ -1,6 +1,7 @@
 """Row-local operators: quality rules, chat formatting, byte-level BPE, language identification."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -188,6 +189,79 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_model_depends_on_rows_alone(spark, small):
+    df = small[0].select("doc_id", "text", "lang")
+    labelled = df.where("lang IS NOT NULL")
+    copies = labelled.unionByName(labelled.where("lang = 'en'").limit(1).crossJoin(spark.range(500)).drop("id"))
+    told = []
+    for train in (labelled.coalesce(1), labelled.repartition(7, "text").withColumn("doc_id", F.col("doc_id") * -3)):
+        told.append({r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in langid.predict(df, langid.fit(train)).collect()})
+    assert told[0] == told[1]
+    drawn = [sorted(map(tuple, langid.sample(t, 20).collect())) for t in (labelled, copies)]
+    assert all(len(set(d)) == len(d) for d in drawn)  # copies of a text are drawn once
+
+
+def test_language_matches_plain_computation(spark, small):
+    """TF-IDF, k-means and cosines once more, over dictionaries; every text is in the sample."""
+    rows = [(text, lang) for _, text, lang, _ in small[1]]
+
+    def counts(text):
+        letters = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower())
+        raw = b" " + b" ".join(letters.encode().split()) + b" "
+        out = {}
+        for i in range(len(raw) - 2):
+            h = int.from_bytes(raw[i:i + 3], "big") * 0x9E3779B1 % 2**32 >> 18
+            out[h] = out.get(h, 0) + 1
+        return out
+
+    train = [(t, lang) for t, lang in rows if t and lang and any(map(str.isalpha, t))]
+    df = {}
+    for t, _ in train:
+        for h in counts(t):
+            df[h] = df.get(h, 0) + 1
+    idf = lambda h: math.log((1 + len(train)) / (1 + df.get(h, 0))) + 1
+
+    def unit(v):
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {h: x / size for h, x in v.items()}
+
+    def vector(t):
+        return unit({h: math.log1p(n) * idf(h) for h, n in counts(t).items()})
+
+    def dot(a, b):
+        return sum(x * b.get(h, 0.0) for h, x in a.items())
+
+    def total(vs):
+        out = {}
+        for v in vs:
+            for h, x in v.items():
+                out[h] = out.get(h, 0.0) + x
+        return out
+
+    centroids = []
+    for lang in sorted({lang for _, lang in train}):
+        xs = [vector(t) for t in sorted({t for t, known in train if known == lang})]
+        assert len(xs) <= langid.SAMPLE
+        mean, k = total(xs), min(langid.CENTROIDS, len(xs))
+        order = sorted(range(len(xs)), key=lambda i: dot(xs[i], mean))
+        cs = [xs[order[int(i * (len(xs) - 1) / (k - 1)) if k > 1 else 0]] for i in range(k)]
+        for _ in range(langid.ROUNDS):
+            own = [max(range(k), key=lambda c: dot(x, cs[c])) for x in xs]
+            cs = [unit(total(x for x, o in zip(xs, own) if o == c) or cs[c]) for c in range(k)]
+        centroids += [(lang, c) for c in cs]
+    model = langid.fit(small[0].where("lang IS NOT NULL").select("doc_id", "text", "lang"))
+    wrong = 0
+    for t, _ in rows:
+        lang, score, _ = model.judge(t)
+        if t and any(map(str.isalpha, t)):
+            v = vector(t)
+            best = max(centroids, key=lambda c: dot(v, c[1]))
+            wrong += abs(dot(v, best[1]) - score) > 1e-3 or best[0] != lang
+        else:
+            assert (lang, score) == ("und", 0.0)
+    assert wrong == 0
+
+
 def test_language_odd_rows(spark, odd, none):
     train = odd.where(~langid.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     model = langid.fit(train.select("doc_id", "text", "lang"))
