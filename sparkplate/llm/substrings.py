@@ -10,10 +10,11 @@ construction, only the suffixes at cover positions enter a sort, block by block:
 * Cover ranks: a first shuffle of (hash, text digest) tells which cover strings occur in two
   different texts. All other suffixes are settled without a further look.
 * Blocks: the surviving cover suffixes are dealt by rank (hash) with the bytes of the
-  strings they stand for, and each block is sorted on its own: equal strings meet, and all
+  strings they stand for; sorted by Spark, the blocks stream through a task and each is
+  sorted on its own by a 64-bit hash. Equal strings meet, their bytes are compared, and all
   but those of the smallest id are marked. A rank held by more than ``HOT`` texts is dealt
-  into several blocks by text; strings unmarked in their block are then compared across
-  blocks by their hash, with partial aggregation and a join that can be split.
+  into several blocks by text; strings unmarked in their block are then sorted by their
+  bytes across blocks, and one sweep marks all but the first id of equal ones.
 
 Exact copies of a smaller document are settled by digest before. Texts travel compressed.
 
@@ -206,8 +207,9 @@ def _suffixes(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(cut, "key bigint, block int, hot boolean, doc bigint, nth int, first bigint, bytes binary")
 
 
-def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, place in the row) of every 50-byte string of the rows."""
+def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The rows' bytes end to end, then (hash, row, place in the row, place in the bytes) of
+    every 50-byte string of the rows."""
     sizes = np.array([len(r) for r in raws], np.int64)
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(raws), np.uint8)
@@ -215,7 +217,49 @@ def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     counts = sizes - WINDOW + 1
     row = np.repeat(np.arange(len(raws)), counts)
     place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return h[(ends - sizes)[row] + place], row, place
+    at = (ends - sizes)[row] + place
+    return data, h[at], row, place, at
+
+
+def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 50-byte strings at the given places, one row of bytes each."""
+    return data[at[:, None] + np.arange(WINDOW)]
+
+
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the string at each place of ``a`` (ascending) has the bytes of its partner in ``b``.
+
+    Where both step on by one byte from a pair that is equal, only the last byte is new.
+    """
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+    if not np.array_equal(data[a + WINDOW - 1], data[b + WINDOW - 1]):
+        return False
+    heads = np.flatnonzero(new)
+    return all(np.array_equal(_windows(data, a[c]), _windows(data, b[c]))
+               for c in np.array_split(heads, len(heads) // SLICE + 1))
+
+
+def _grouped(name: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by name and id, first string of its name, whether its id is above the first's)."""
+    by = np.lexsort((ids, name))
+    head = np.flatnonzero(np.concatenate([[True], name[by][1:] != name[by][:-1]]))
+    first = np.repeat(by[head], np.diff(np.concatenate([head, [len(by)]])))
+    return by, first, ids[by] > ids[first]
+
+
+def _marked(data: np.ndarray, h: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings whose bytes a smaller id holds too, and the others.
+
+    Hashes propose, bytes decide: should two unequal strings share a hash, the strings are
+    grouped again by their bytes.
+    """
+    by, first, later = _grouped(h, ids)
+    order = np.argsort(by[later])
+    if not _same_bytes(data, at[by[later]][order], at[first[later]][order]):
+        exact = np.ascontiguousarray(_windows(data, at)).view(f"V{WINDOW}").ravel()
+        by, first, later = _grouped(np.unique(exact, return_inverse=True)[1], ids)
+    return by[later], by[~later]
 
 
 def _runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,50 +271,65 @@ def _runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[new], place[new], place[last]
 
 
+def _whole_blocks(batches):
+    """Tables of whole blocks, about SLICE suffixes or one block each, from sorted batches."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < SLICE:
+            continue
+        table = pa.Table.from_batches(held)
+        key, block = table.column("key").to_numpy(), table.column("block").to_numpy()
+        new = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]))
+        if len(new):  # the last block may go on in the next batch
+            yield table.slice(0, int(new[-1]) + 1)
+            table = table.slice(int(new[-1]) + 1)
+        held, size = table.to_batches(), table.num_rows
+    if size:
+        yield pa.Table.from_batches(held)
+
+
 def _sort_blocks(suffixes: DataFrame) -> DataFrame:
-    """(doc, nth, start, stop, h): byte ranges marked within their block, where ``h`` is null;
-    and the unmarked strings of hot ranks, with their hash."""
+    """(doc, nth, start, stop, s): byte ranges marked within their block, where ``s`` is null;
+    and the unmarked strings of hot ranks, with their bytes."""
+    names = ["doc", "nth", "start", "stop", "s"]
+
     def sort(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        held = pa.Table.from_batches(batches)
-        key, block, hot, doc, nth, first = (held.column(c).to_numpy() for c in ("key", "block", "hot", "doc", "nth", "first"))
-        order = np.lexsort((block, key))
-        heads = np.flatnonzero(np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (block[order][1:] != block[order][:-1])]))
-        # whole blocks, about SLICE suffixes at a time
-        cuts = [0]
-        for end in [*heads[1:].tolist(), len(order)]:
-            if end - cuts[-1] >= SLICE or end == len(order):
-                cuts.append(end)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            own = order[a:b]
-            h, row, place = _strings(held.column("bytes").take(pa.array(own)).to_pylist())
-            row = own[row]
-            by = np.lexsort((doc[row], h))
-            hs, ids = h[by], doc[row[by]]
-            head = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
-            least = np.repeat(ids[head], np.diff(np.concatenate([head, [len(hs)]])))
-            marked = by[ids > least]
+        for held in _whole_blocks(batches):
+            hot, doc, nth, first = (held.column(c).to_numpy() for c in ("hot", "doc", "nth", "first"))
+            data, h, row, place, at = _strings(held.column("bytes").to_pylist())
+            marked, rest = _marked(data, h, at, doc[row])
             r, x, y = _runs(row[marked], place[marked])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[r]), pa.array(nth[r]), pa.array(first[r] + x), pa.array(first[r] + y + WINDOW),
-                 pa.nulls(len(r), pa.int64())], ["doc", "nth", "start", "stop", "h"])
-            rest = by[(ids == least) & hot[row[by]]]
-            if len(rest):
-                r, x = row[rest], place[rest]
+                 pa.nulls(len(r), pa.binary())], names)
+            rest = rest[hot[row[rest]]]
+            for some in np.array_split(rest, len(rest) // SLICE + 1) if len(rest) else ():
+                r, x = row[some], place[some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[r]), pa.array(nth[r]), pa.array(first[r] + x), pa.array(first[r] + x + WINDOW),
-                     pa.array(h[rest].view(np.int64))], ["doc", "nth", "start", "stop", "h"])
+                     pa.array([w.tobytes() for w in _windows(data, at[some])], pa.binary())], names)
 
-    return suffixes.repartition("key", "block").mapInArrow(sort, "doc bigint, nth int, start bigint, stop bigint, h bigint")
+    return (suffixes.repartition("key", "block").sortWithinPartitions("key", "block")
+            .mapInArrow(sort, "doc bigint, nth int, start bigint, stop bigint, s binary"))
 
 
 def _across_blocks(strings: DataFrame) -> DataFrame:
-    """Marked byte ranges among the strings that their blocks left, by hash."""
-    least = materialise(strings.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-                        .where("least <> most").select("h", "least"), "hot-least")
-    return strings.join(least, "h").where("doc > least").select("doc", "nth", "start", "stop")
+    """Marked byte ranges among the strings that their blocks left: sorted by bytes and id,
+    equal strings follow each other and all but those of the first id are marked."""
+    def sweep(batches):
+        held, least = None, None
+        for batch in batches:
+            later = []
+            for s, doc in zip(batch.column(4).to_pylist(), batch.column(0).to_pylist()):
+                if s != held:
+                    held, least = s, doc
+                later.append(doc > least)
+            yield batch.filter(pa.array(later, pa.bool_())).select([0, 1, 2, 3])
+
+    return (strings.select("doc", "nth", "start", "stop", "s").repartition("s").sortWithinPartitions("s", "doc")
+            .mapInArrow(sweep, "doc bigint, nth int, start bigint, stop bigint"))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -294,8 +353,8 @@ def removals(docs: DataFrame) -> DataFrame:
         F.when(F.col("n") > HOT, F.struct("key", blocks))).alias("hot")).join(heads, "dig"))
     sorted_blocks = materialise(_sort_blocks(_suffixes(
         _packed(named).join(sets, ["doc", "dig"]).select("doc", "nth", "raw", "keys", "hot"))), "ranges")
-    ranges = (sorted_blocks.where("h IS NULL").drop("h")
-              .unionByName(_across_blocks(sorted_blocks.where("h IS NOT NULL"))))
+    ranges = (sorted_blocks.where("s IS NULL").drop("s")
+              .unionByName(_across_blocks(sorted_blocks.where("s IS NOT NULL"))))
     spans = F.collect_set(F.struct("start", "stop")).alias("spans")
     marked = ranges.groupBy("doc", "nth").agg(spans).join(heads, ["doc", "nth"]).select("doc", "dig", "spans")
     whole = copies.select("doc", "dig", F.array(F.struct(F.lit(0).cast("bigint").alias("start"),

@@ -220,3 +220,23 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot, segment, odd_rows):
 
 def test_repeats_empty_table(none):
     assert substrings.remove_repeats(none).count() == 0
+
+
+def test_repeats_compare_bytes_of_equal_hashes():
+    raws = [bytes(range(60)), bytes(range(1, 61)), bytes(range(100, 160)), bytes(range(60))]
+    data, h, row, place, at = substrings._strings(raws)
+    ids = row.copy()
+    want = {(r, p) for r, p in zip(row.tolist(), place.tolist()) if r == 3 or (r == 1 and p < 10)}
+    for names in (h, np.zeros_like(h)):  # as they are, and all alike
+        marked, rest = substrings._marked(data, names, at, ids)
+        assert set(zip(row[marked].tolist(), place[marked].tolist())) == want
+        assert sorted([*marked.tolist(), *rest.tolist()]) == list(range(len(h)))
+
+
+def test_repeats_stream_whole_blocks(monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE", 5)
+    keys = np.repeat([1, 2, 3, 4], [3, 9, 1, 4])
+    table = substrings.pa.table({"key": keys, "block": np.zeros(len(keys), np.int32)})
+    parts = [t.column("key").to_pylist() for t in substrings._whole_blocks(table.to_batches(max_chunksize=2))]
+    assert sum(parts, []) == keys.tolist()
+    assert not any(set(a) & set(b) for i, a in enumerate(parts) for b in parts[i + 1:])
