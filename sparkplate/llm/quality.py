@@ -2,8 +2,10 @@
 
 Every rule runs once per document. The ledger row keeps the measurements and one failure
 bit per rule; policies are versioned masks over the bits, so changing a policy, or asking
-what one rule alone rejects, never reads a text again. All work is row-local DataFrame
-expressions: one scan, no shuffle, no Python on the executors.
+what one rule alone rejects, never reads a text again. The ledger is row-local DataFrame
+expressions: one scan, no Python on the executors. The query writes it once and takes from
+it the verdicts of all policies and the ablation, whose counts (bitwise sums over bit
+patterns) stand beside each document that one rule alone rejects.
 
 Defined cases: a null or empty text has no words and fails ``few_words``; repeated rows
 and repeated ids are judged row by row; extra columns pass through ``ledger`` unless they
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkplate.llm.common import documents, let, words
+from sparkplate.llm.common import documents, let, materialise, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
             "n_letters", "n_upper")
@@ -135,6 +137,11 @@ def ablation(led: DataFrame, policy: str) -> DataFrame:
     )
 
 
+def sole_rule(policy_bits: Column, policy: str) -> Column:
+    """Name of the rule that alone rejects a document under a policy, else null."""
+    return F.coalesce(*[F.when(policy_bits == BIT[r], F.lit(r)) for r in POLICIES[policy]])
+
+
 POLICY = "web-2"
 
 
@@ -145,10 +152,17 @@ def keep_good(docs: DataFrame, policy: str = POLICY) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = judge(ledger(documents(spark, sf_dir)), POLICY)
-    base = F.col("fail_bits").bitwiseAND(F.lit(mask("base-1"))) != 0
-    return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                      "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits")
+    led = materialise(ledger(documents(spark, sf_dir).select("doc_id", "text")), "ledger")
+    verdicts = [(F.col("fail_bits").bitwiseAND(F.lit(mask(p))) == 0).alias("kept_" + p.replace("-", "_")) for p in POLICIES]
+    judged = judge(led, POLICY).select("*", *verdicts, sole_rule(F.col("policy_bits"), POLICY).alias("sole_rule"))
+    # at most one row per rule
+    without = F.broadcast(ablation(led, POLICY).select(F.col("rule").alias("sole_rule"), F.col("failed").alias("rule_failed"),
+                                                       F.col("failed_alone").alias("rule_failed_alone"),
+                                                       F.col("kept_without").alias("kept_without_rule")))
+    return judged.join(without, "sole_rule", "left").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~F.col("kept_base_1")).alias("base_failed"), "kept", "fail_bits", *["kept_" + p.replace("-", "_") for p in POLICIES],
+        "sole_rule", "rule_failed", "rule_failed_alone", "kept_without_rule")
 
 
 # The twin derives everything on its own; a window is compared as text here.
@@ -180,9 +194,17 @@ b AS (
     + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN word_chars < 2 * n_words OR word_chars > 14 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN 100 * n_upper > 50 * n_letters THEN 32 ELSE 0 END)
-    + (CASE WHEN 100 * n_letters < 50 * word_chars THEN 64 ELSE 0 END) AS bits FROM m)
+    + (CASE WHEN 100 * n_letters < 50 * word_chars THEN 64 ELSE 0 END) AS bits FROM m),
+r(rule, bit) AS (
+  VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('word_length', 16),
+         ('capitals', 32), ('few_letters', 64)),
+a AS (
+  SELECT rule, bit, count(*) FILTER (WHERE bits & bit <> 0) AS failed, count(*) FILTER (WHERE bits = bit) AS alone,
+         count(*) FILTER (WHERE bits = 0 OR bits = bit) AS without FROM b, r GROUP BY rule, bit)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
-       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, bits = 0 AS kept, bits::BIGINT AS fail_bits
-FROM b
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, bits = 0 AS kept, bits::BIGINT AS fail_bits,
+       bits & 3 = 0 AS kept_base_1, bits & 39 = 0 AS kept_web_1, bits = 0 AS kept_web_2,
+       rule AS sole_rule, failed::BIGINT AS rule_failed, alone::BIGINT AS rule_failed_alone, without::BIGINT AS kept_without_rule
+FROM b LEFT JOIN a ON bits = bit
 """
