@@ -13,8 +13,9 @@ conversation reads back exactly. The loss mask is a list of (start, length) span
 points of the formatted string, over the assistant texts.
 
 Everything is DataFrame expressions. Turns of a conversation are gathered with a partial
-aggregation; a conversation is one output row, so its size is that of its own turns. Gathered
-turns stay arrays: only the shape of their first turn is printed as JSON and fingerprinted.
+aggregation; a conversation is one output row, so its size is that of its own turns. A table of
+turns becomes records of every layout that can carry them without loss; texts stay column
+values: only the shape of a record is printed as JSON and fingerprinted.
 
 Defined cases: null role or text is empty; a record that is no JSON or of an unknown layout
 keeps its row with a null ``layout`` and no turns; turns with equal numbers are ordered by
@@ -156,13 +157,87 @@ def records_of(turn_rows: DataFrame) -> DataFrame:
     return _gathered(turn_rows).select("conv_id", _json(F.col("messages")).alias("record"))
 
 
-def conversations(turn_rows: DataFrame) -> DataFrame:
-    """(conv_id, layout, turns): as ``canonical`` of ``records_of``, without texts in JSON."""
-    first = F.transform(F.slice("messages", 1, 1), lambda x: F.struct(F.lit("").alias("role"), F.lit("").alias("content")))
-    printed = _gathered(turn_rows).select("conv_id", "messages", fingerprint(_json(first)).alias("_fp"))
-    lost = F.raise_error(F.lit("a conversation gathered from turns has no layout"))
-    known = next(x for x in LAYOUTS if x.name == "messages")
-    turns = F.when(_layout(_name) == known.name, _turns_of(known, F.struct("messages")).cast(TURNS)).otherwise(lost.cast(TURNS))
+def _records(messages: Column) -> dict[str, tuple[Column, Column]]:
+    """Per layout: whether it carries gathered turns without loss, and the record it would be.
+
+    A record is a struct with the fields of the layout's schema; a field it does not use is null.
+    """
+    who = F.transform(messages, lambda m: m["role"])
+    pair = who == F.array(F.lit("user"), F.lit("assistant"))
+    led = (who == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))) & (F.get(messages, F.lit(0))["content"] != "")
+
+    def text(i: int) -> Column:
+        return F.get(messages, F.lit(i))["content"]
+
+    def theirs(role: Column, roles: tuple[tuple[str, str], ...]) -> Column:
+        out = role
+        for name, ours in roles:
+            out = F.when(role == ours, F.lit(name)).otherwise(out)
+        return out
+
+    layouts = {x.name: x for x in LAYOUTS}
+    names = [name for name, _ in layouts["from_value"].roles]
+    gap = F.locate("\n\n", text(0))
+    split = (gap > 0) & (F.length(text(0)) > gap + 1)  # an empty second part would not come back
+    record = {
+        "messages": (F.lit(True), [messages]),
+        "from_value": (~F.exists(who, lambda r: r.isin(names)), [F.transform(messages, lambda m: F.struct(
+            theirs(m["role"], layouts["from_value"].roles), m["content"]))]),
+        "prompt_completion": (pair, [text(0), text(1)]),
+        "prompt_response": (pair | led, [F.when(led, text(0)), F.when(led, text(1)).otherwise(text(0)),
+                                         F.when(led, text(2)).otherwise(text(1))]),
+        "instruction": (pair, [F.when(split, F.substr(text(0), F.lit(1), gap - 1)).otherwise(text(0)),
+                               F.when(split, F.substr(text(0), gap + 2)), text(1)]),
+    }
+    return {name: (fits, F.struct(*[value.cast(kind).alias(field) for value, (field, kind) in zip(values, _fields(layouts[name]))]))
+            for name, (fits, values) in record.items()}
+
+
+def _fields(layout: Layout) -> list[tuple[str, str]]:
+    """(name, type) of the top-level fields of a layout's records."""
+    return [tuple(field.split(" ", 1)) for field in layout.schema.split(", ")]
+
+
+def _shape(known: Layout, record: Column) -> Column:
+    """JSON of a record with its text values emptied and one turn of its array."""
+    empty = F.lit("")
+    fields = []
+    for field, _ in _fields(known):
+        if field == known.each:
+            names = known.turns[0]
+            kept = F.transform(F.slice(record[field], 1, 1), lambda _: F.struct(*[empty.alias(n) for n in names]))
+        else:
+            kept = F.when(record[field].isNotNull(), empty)
+        fields.append(kept.alias(field))
+    return F.to_json(F.struct(*fields))
+
+
+def heterogeneous(turn_rows: DataFrame, layouts: tuple[str, ...]) -> DataFrame:
+    """(conv_id, one column per layout, shape): each conversation as a record of one layout.
+
+    The layout is drawn by a hash of ``conv_id`` among those of ``layouts`` that carry the
+    turns without loss (``messages`` always does); the columns of the others are null.
+    ``shape`` is the record's JSON without texts.
+    """
+    gathered = _gathered(turn_rows)
+    made = _records(F.col("messages"))
+    able = F.filter(F.array(*[F.when(fits, F.lit(name)) for name, (fits, _) in made.items() if name in layouts]), lambda x: x.isNotNull())
+    drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("conv_id").cast("string"), F.lit(""))), 1, 7), 16, 10).cast("bigint")
+    chosen = gathered.select("conv_id", "messages", let(able, lambda x: F.get(x, (drawn % F.size(x)).cast("int"))).alias("_as"))
+    told = chosen.select("conv_id", *[F.when(F.col("_as") == name, record).alias(name) for name, (_, record) in made.items()])
+    shape = F.coalesce(*[F.when(F.col(x.name).isNotNull(), _shape(x, F.col(x.name))) for x in LAYOUTS])
+    return told.select("*", shape.alias("shape"))
+
+
+def conversations(turn_rows: DataFrame, layouts: tuple[str, ...] = ("messages",)) -> DataFrame:
+    """(conv_id, layout, turns): records of the ``layouts``, mapped back by their fingerprints.
+
+    Works as ``canonical`` does on JSON, but a text stays a column value and is never parsed,
+    so its length has no bound.
+    """
+    printed = heterogeneous(turn_rows, layouts).withColumn("_fp", fingerprint(F.col("shape")))
+    lost = F.raise_error(F.lit("a conversation gathered from turns has no layout")).cast(TURNS)
+    turns = _layout(lambda known: _turns_of(known, F.col(known.name)).cast(TURNS) if known else lost)
     return printed.select("conv_id", _layout(_name).alias("layout"), turns.alias("turns"))
 
 
@@ -224,11 +299,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = dict(rows.dtypes)
     extra = spark.range(2).select(F.lit(-1).cast(types["conv_id"]).alias("conv_id"), F.col("id").cast(types["turn"]).alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
-    done = template(conversations(rows.unionByName(extra)))
+    done = template(conversations(rows.unionByName(extra), tuple(x.name for x in LAYOUTS)))
     back = done.select("conv_id", "layout", "formatted", read_turns(F.col("formatted")).alias("t"),
                        read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     told = F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    return back.select("conv_id", F.size("t").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+    return back.select("conv_id", "layout", F.size("t").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
                        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                        F.length("formatted").cast("bigint").alias("formatted_chars"))
 
@@ -245,11 +320,22 @@ e AS (
     + (length(role) - length(replace(role, '</s>', '')) + length(text) - length(replace(text, '</s>', ''))) // 4
     + (length(role) - length(replace(role, '[INST]', '')) + length(text) - length(replace(text, '[INST]', ''))) // 6
     + (length(role) - length(replace(role, '[/INST]', '')) + length(text) - length(replace(text, '[/INST]', ''))) // 7
-    + 20 AS n FROM x)
-SELECT conv_id, count(*)::BIGINT AS n_turns,
+    + 20 AS n FROM x),
+g AS (
+  SELECT conv_id, list(role ORDER BY turn NULLS FIRST, role, text) AS who,
+         first(text ORDER BY turn NULLS FIRST, role, text) AS opening FROM c GROUP BY conv_id),
+able AS (
+  SELECT conv_id, [x FOR x IN [
+      'messages', CASE WHEN NOT list_has_any(who, ['human', 'gpt']) THEN 'from_value' END,
+      CASE WHEN who = ['user', 'assistant'] THEN 'prompt_completion' END,
+      CASE WHEN who = ['user', 'assistant'] OR (who = ['system', 'user', 'assistant'] AND opening <> '') THEN 'prompt_response' END,
+      CASE WHEN who = ['user', 'assistant'] THEN 'instruction' END] IF x IS NOT NULL] AS names FROM g),
+l AS (
+  SELECT conv_id, names[1 + ('0x' || substr(md5(coalesce(conv_id::VARCHAR, '')), 1, 7))::BIGINT % len(names)] AS layout FROM able)
+SELECT e.conv_id, any_value(layout) AS layout, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(n)::BIGINT AS formatted_chars
-FROM e GROUP BY conv_id
+FROM e JOIN l ON e.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY e.conv_id
 """

@@ -50,6 +50,27 @@ def test_quality_policies_and_ablation(spark, small):
         r["doc_id"] for r in quality.judge(led, quality.POLICY).where("kept").collect()}
 
 
+def test_quality_query_carries_policies_and_ablation(spark, tmp_path):
+    """Every policy and the ablation stand beside the measures; odd rows keep their number."""
+    texts = [None, "", "one two", "word " * 60, "# " * 200, " ".join(f"w{i}" for i in range(60)), "A B " * 40, "one two"]
+    spark.createDataFrame([(None if i == 5 else 1, t, "x") for i, t in enumerate(texts)],
+                          "doc_id bigint, text string, sole_rule string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = quality.op1_quality_rules(spark, str(tmp_path)).collect()
+    bits = [r["fail_bits"] for r in rows]
+    assert len(rows) == len(texts)
+    for r in rows:
+        for policy in quality.POLICIES:
+            assert r["kept_" + policy.replace("-", "_")] == (r["fail_bits"] & quality.mask(policy) == 0)
+        assert r["kept"] == r["kept_web_2"] and r["base_failed"] != r["kept_base_1"]
+        alone = [name for name, bit in quality.BIT.items() if bit == r["fail_bits"]]
+        assert r["sole_rule"] == (alone[0] if alone else None)
+        if alone:
+            bit = quality.BIT[alone[0]]
+            assert r["rule_failed"] == sum(bool(b & bit) for b in bits) and r["rule_failed_alone"] == bits.count(bit)
+            assert r["kept_without_rule"] == sum(b & ~bit == 0 for b in bits)
+    assert any(r["sole_rule"] for r in rows)
+
+
 def test_quality_empty_table(none):
     assert quality.ledger(none).count() == 0
     assert quality.keep_good(none).columns == none.columns
@@ -104,6 +125,25 @@ def test_chat_gathered_turns_equal_records(spark):
     assert sorted(map(repr, one)) == sorted(map(repr, two))
 
 
+def test_chat_records_of_all_layouts(spark):
+    """Turns survive the layout drawn for them, whatever roles, blank lines and nulls they hold."""
+    names = tuple(x.name for x in chat.LAYOUTS)
+    texts = ["a", "", "a\n\nb", "a\n\n", "\n\nb", "\n\n\n", None, "x\n\ny\n\nz", "é漢\n\n\"q\""]
+    heads = [("user", "assistant"), ("system", "user", "assistant"), ("human", "gpt"), ("user",), ("assistant", "user"), (None, "tool")]
+    rows = [(len(texts) * 100 * k + 100 * t + c, i, role, texts[(t + i) % len(texts)], "clash")
+            for k, roles in enumerate(heads) for t in range(len(texts)) for c in range(6) for i, role in enumerate(roles)]
+    rows += [(None, i, r, "no id", "clash") for i, r in enumerate(("user", "assistant"))]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string, shape string")
+    got = chat.conversations(df, names).collect()
+    want = {}
+    for conv, i, role, text, _ in rows:
+        want.setdefault(conv, []).append((role or "", text or ""))
+    assert len(got) == len(want) and {r["layout"] for r in got} == set(names)
+    for r in got:
+        assert [tuple(t) for t in r["turns"]] == want[r["conv_id"]], r
+    assert {r["layout"] for r in got if {"human", "gpt"} & {t["role"] for t in r["turns"]}} == {"messages"}
+
+
 @pytest.mark.parametrize("gather", [chat.conversations, lambda rows: chat.canonical(chat.records_of(rows)).drop("record")])
 def test_chat_long_turns_stay(spark, gather):
     """A text beyond the 20,000,000 characters at which JSON parsers stop."""
