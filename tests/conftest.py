@@ -16,6 +16,7 @@ def spark():
     s = get_session("local[4]", app="sparkplate-tests", shuffle_partitions=8, conf={
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
+        "spark.driver.memory": "4g",
     })
     checkpoint_dir(s)
     yield s
