@@ -76,7 +76,7 @@ def recommend(model: ALSModel, users: DataFrame, n: int | None = None, user_col:
     ``count_col`` names a column with a request's own list length (null asks for 5), served
     whole; a user who asks several times gets the longest list. Only an ``n`` that is given
     beside it cuts lists, to the greatest length served.
-    Lists come from the norm-ordered index of the item factors (``topitems``), so a user is not
+    Lists come from the index of the item factors in boxes (``topitems``), so a user is not
     scored against items that cannot enter the list; ties go to the smaller item id.
     """
     asked = users.select(user_col).distinct()

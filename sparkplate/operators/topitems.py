@@ -1,17 +1,21 @@
-"""Exact top-n items per user by inner product (M7, O5): a norm-ordered index of the items.
-
-Items lie in blocks of ``BLOCK``, longest factor first; a block carries its greatest length.
-By Cauchy-Schwarz no item of a block scores above that length times the user's own, so a user
-whose n-th best score lies above the bound of the next block is finished. Users search in
-rounds over ranges of blocks that double in size; a finished user takes no part in later
-rounds, and inside a round each block passes over users that it cannot serve.
-
-In a round the open users, in groups of about ``GROUP``, are joined with the blocks of the
-range by block number (an equi-join; AQE splits it by size). Each pair of group and block is one
-matrix product in an Arrow task, which gives only rows that can enter a list. The work is that
-of the open users, not users x items.
-
-Ties go to the smaller item id. A user or item without factors, and zero factors, score zero.
+"""Exact top-n items per user by inner product (M7, O5): boxes of like items, searched by bounds.
+
+Items lie in blocks of ``BLOCK`` neighbours: their factors, cut at quantiles of each dimension,
+are ordered along a Z-order curve. A block carries the least and the greatest value of each
+dimension and its greatest length, which bound the score of any user with any of its items (the
+corner of the box that suits the user's signs, and Cauchy-Schwarz). The bounds of ``WIDE``
+blocks make one row. Users lie in groups of ``GROUP`` of like direction.
+
+The search has two rounds. First each user is scored against the block of greatest bound in
+each row of bounds, which gives a score that the list will reach at least. Then the user is scored
+against the other blocks whose bound reaches that score, and against no others. Each offer of a
+part of a group to a block is one matrix product in an Arrow task, joined by block number (an
+equi-join, split by AQE). The work is that of the blocks reached, not users x items; which blocks
+these are depends on the layout, the lists do not.
+
+Of items with equal factors only the ``n`` of smallest id can enter a list, so a vector shared by
+a large share of the items costs n items. Ties go to the smaller item id. A user or item without
+factors, and zero factors, score zero; users of zero factors get the smallest ids without a search.
 Bounds are widened for rounding, so results equal a full scan in doubles.
 """
 
@@ -22,21 +26,28 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparkplate.operators.ids import global_row_number
 from sparkplate.session import cut_lineage
 
-BLOCK = 1024
+BLOCK = 512
 GROUP = 1024
+#: Blocks whose bounds lie in one row.
+WIDE = 1024
 SLACK = 1e-9
+#: Dimensions and cuts of each dimension in a Z-order code of at most 60 bits.
+CODE_BITS, MOST_BITS = 60, 8
+#: Users of one batch of offers.
+OFFERED = 1 << 16
 FOUND = "user long, item long, score double"
 
 
 @dataclass
 class TopItems:
-    """``rows``: (user, item, score, rank), each user's list. ``scored``: pairs offered to a matrix product, of ``pairs``."""
+    """``rows``: (user, item, score, rank), each user's list. ``scored``: pairs offered to a matrix product, of ``pairs``;
+    ``rounds``: the pairs of each round."""
     rows: DataFrame
     scored: int
     pairs: int
@@ -48,54 +59,144 @@ class TopItems:
 
 
 def _length(features: Column) -> Column:
-    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda acc, x: acc + x * x))
+
 
+def _rank(df: DataFrame) -> int:
+    return df.agg(F.max(F.size(F.coalesce("features", F.array())))).first()[0] or 0
 
-def index_items(items: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(block, top, ids, factors): items ``(item, features)`` by length, ``block`` in each."""
-    measured = items.select("item", F.coalesce("features", F.array()).cast("array<double>").alias("features"))
-    measured = measured.withColumn("length", _length(F.col("features")))
-    ranked = global_row_number(measured, [F.col("length").desc(), F.col("item").asc()], "place")
-    member = F.struct("place", "item", "features")
-    blocks = ranked.groupBy(F.floor((F.col("place") - 1) / block).cast("int").alias("block")).agg(
-        F.max("length").alias("top"), F.array_sort(F.collect_list(member)).alias("m"))
-    return cut_lineage(blocks.select("block", "top", F.col("m.item").alias("ids"), F.col("m.features").alias("factors")))
+
+def _padded(df: DataFrame, key: str, rank: int) -> DataFrame:
+    """(key, features, length): doubles, with zeros for what is missing of ``rank`` dimensions."""
+    values = F.array(*[F.coalesce(F.get("features", F.lit(j)).cast("double"), F.lit(0.0)) for j in range(rank)])
+    return df.select(F.col(key).cast("bigint").alias(key), values.alias("features")).withColumn("length", _length(F.col("features")))
+
+
+def _neighbours(df: DataFrame, key: str, rank: int, unit: bool, size: int, out: str) -> DataFrame:
+    """Rows numbered along a Z-order curve, ``size`` to a number ``out``; ``unit``: by direction."""
+    dims = min(rank, CODE_BITS)
+    bits = max(1, min(MOST_BITS, CODE_BITS // dims))
+    scale = F.when(F.col("length") > 0, F.col("length")).otherwise(1.0) if unit else F.lit(1.0)
+    shares = [k / 2 ** bits for k in range(1, 2 ** bits)]
+    cuts = df.agg(*[F.percentile_approx(F.col("features")[j] / scale, shares, 1000) for j in range(dims)]).first()
+    cuts = [np.array(c or [], float) for c in cuts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, rank)
+            if unit:
+                length = b.column("length").to_numpy(zero_copy_only=False)
+                x = x / np.where(length > 0, length, 1.0)[:, None]
+            cells = [np.searchsorted(c, x[:, j], side="right") for j, c in enumerate(cuts)]
+            code = np.zeros(b.num_rows, np.int64)
+            for bit in reversed(range(bits)):
+                for cell in cells:
+                    code = code * 2 + (cell >> bit & 1)
+            yield b.append_column("code", pa.array(code))
+
+    coded = df.select(key, "features", "length").mapInArrow(run, f"{key} long, features array<double>, length double, code long")
+    placed = global_row_number(coded, [F.col("code").asc(), F.col(key).asc()], "place")
+    return placed.select(F.floor((F.col("place") - 1) / size).cast("int").alias(out), key, "features", "length")
+
+
+def index_items(items: DataFrame, rank: int, n: int, block: int = BLOCK, wide: int = WIDE) -> tuple[DataFrame, DataFrame]:
+    """(blocks, boxes) of padded items: blocks (block, ids, factors); boxes (wide, low, high, top),
+    a list of ``wide`` neighbouring blocks each, in their order."""
+    alike = Window.partitionBy("features").orderBy("item")
+    kept = items.withColumn("_copy", F.row_number().over(alike)).where(F.col("_copy") <= n).drop("_copy")
+    member = F.struct("item", "features")
+    blocks = cut_lineage(
+        _neighbours(kept, "item", rank, False, block, "block").groupBy("block")
+        .agg(F.max("length").alias("top"), F.array_sort(F.collect_list(member)).alias("m"),
+             *[f(F.col("features")[j]).alias(f"{side}{j}") for j in range(rank) for side, f in (("low", F.min), ("high", F.max))])
+        .select("block", "top", F.col("m.item").alias("ids"), F.col("m.features").alias("factors"),
+                *[F.array(*[F.col(f"{side}{j}") for j in range(rank)]).alias(side) for side in ("low", "high")]))
+    boxes = blocks.groupBy(F.floor(F.col("block") / wide).cast("int").alias("wide")).agg(
+        F.sort_array(F.collect_list(F.struct("block", "low", "high", "top"))).alias("m"))
+    return blocks.select("block", "ids", "factors"), cut_lineage(
+        boxes.select("wide", F.col("m.low").alias("low"), F.col("m.high").alias("high"), F.col("m.top").alias("top")))
+
+
+def _flat(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy(zero_copy_only=False)
 
 
 def _matrix(column: pa.Array, row: int) -> np.ndarray:
     lists = column[row].values
-    width = lists.value_lengths().to_numpy(zero_copy_only=False)
-    if not len(width) or not width.max():
-        return np.zeros((len(width), 1))
-    out = np.zeros((len(width), int(width.max())))
-    out[np.arange(out.shape[1]) < width[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-    return out
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _bounds(b: pa.RecordBatch, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Users x blocks: the greatest score of each user in each block, and the room for rounding."""
+    u, top = _matrix(b.column("features"), r), _flat(b.column("top"), r)
+    most = _flat(b.column("lengths"), r)[:, None] * top
+    box = np.maximum(u, 0) @ _matrix(b.column("high"), r).T + np.minimum(u, 0) @ _matrix(b.column("low"), r).T
+    return np.minimum(box, most), SLACK * (1 + most)
+
+
+def _seeds(pairs: DataFrame) -> DataFrame:
+    """(g, wide, seeds): for each user of the group the block of greatest bound."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                best = _bounds(b, r)[0].argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([b.column("g").slice(r, 1), b.column("wide").slice(r, 1),
+                                                  pa.array([best.astype(np.int32)], pa.list_(pa.int32()))], ["g", "wide", "seeds"])
+
+    return pairs.select("g", "wide", "lengths", "features", "low", "high", "top").mapInArrow(run, "g int, wide int, seeds array<int>")
+
+
+def _offers(pairs: DataFrame, seeding: bool, wide: int) -> DataFrame:
+    """(block, users, least, features): the users of a group that a block is scored for; ``seeding``: their seeds, else
+    the other blocks whose bound reaches the user's least score."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                users, least, seeds = (_flat(b.column(c), r) for c in ("users", "least", "seeds"))
+                features, first = _matrix(b.column("features"), r), b.column("wide")[r].as_py() * wide
+                if seeding:
+                    who = np.argsort(seeds, kind="stable")
+                    at = seeds[who]
+                else:
+                    bound, room = _bounds(b, r)
+                    live = bound + room >= least[:, None]
+                    live[np.arange(len(users)), seeds] = False
+                    at, who = np.nonzero(live.T)
+                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
+                ends = np.r_[starts[1:], len(at)]
+                lo = 0
+                while lo < len(starts):  # blocks of one batch, by their users
+                    hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + OFFERED)))
+                    part, offsets = who[starts[lo]:ends[hi - 1]], np.r_[starts[lo:hi], ends[hi - 1]] - starts[lo]
+                    width = features.shape[1]
+                    inner = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * width, pa.array(features[part].ravel()))
+                    lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), v)
+                             for v in (pa.array(users[part]), pa.array(least[part]), inner)]
+                    yield pa.RecordBatch.from_arrays([pa.array(first + at[starts[lo:hi]], pa.int32()), *lists],
+                                                     ["block", "users", "least", "features"])
+                    lo = hi
+
+    boxes = [] if seeding else ["lengths", "low", "high", "top"]
+    return pairs.select("wide", "users", "least", "features", "seeds", *boxes).mapInArrow(
+        run, "block int, users array<long>, least array<double>, features array<array<double>>")
 
 
 def _score(pairs: DataFrame, n: int) -> DataFrame:
-    """The rows of each (group, block) pair that can enter a user's list."""
+    """The rows of each offer that can enter a user's list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                users, least, lengths = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in (0, 1, 2))
-                u, i = _matrix(b.column(3), r), _matrix(b.column(5), r)
-                ids, top = b.column(4)[r].values.to_numpy(), b.column(6)[r].as_py()
-                live = np.flatnonzero(lengths * top * (1 + SLACK) + SLACK >= least)
-                width = min(u.shape[1], i.shape[1])
-                got = u[live, :width] @ i[:, :width].T
-                kept_u, kept_i, kept_s = [], [], []
-                if got.size:
-                    if got.shape[1] > n:  # the n best of the block, with all that tie with the last of them
-                        low = np.partition(got, got.shape[1] - n, axis=1)[:, got.shape[1] - n]
-                        good = got >= np.maximum(low, least[live])[:, None]
-                    else:
-                        good = got >= least[live][:, None]
-                    a, c = np.nonzero(good)
-                    kept_u, kept_i, kept_s = users[live][a], ids[c], got[a, c]
-                yield pa.RecordBatch.from_arrays([pa.array(kept_u, pa.int64()), pa.array(kept_i, pa.int64()),
-                                                  pa.array(kept_s, pa.float64())], ["user", "item", "score"])
-
-    return pairs.select("users", "least", "lengths", "features", "ids", "factors", "top").mapInArrow(run, FOUND)
+                users, least, ids = (_flat(b.column(c), r) for c in ("users", "least", "ids"))
+                got = _matrix(b.column("features"), r) @ _matrix(b.column("factors"), r).T
+                good = got >= least[:, None]
+                many = np.flatnonzero(good.sum(axis=1) > n)
+                if len(many):  # the n best of the block, with all that tie with the last of them
+                    low = np.partition(got[many], got.shape[1] - n, axis=1)[:, got.shape[1] - n]
+                    good[many] &= got[many] >= low[:, None]
+                a, c = np.nonzero(good)
+                yield pa.RecordBatch.from_arrays([pa.array(users[a]), pa.array(ids[c]), pa.array(got[a, c])], ["user", "item", "score"])
+
+    return pairs.select("users", "least", "features", "ids", "factors").mapInArrow(run, FOUND)
 
 
 def _best(rows: DataFrame, n: int) -> DataFrame:
@@ -103,39 +204,47 @@ def _best(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def top_items(users: DataFrame, items: DataFrame, n: int = 5, block: int = BLOCK, group: int = GROUP) -> TopItems:
+def top_items(users: DataFrame, items: DataFrame, n: int = 5, block: int = BLOCK, group: int = GROUP,
+              wide: int = WIDE) -> TopItems:
     """The ``n`` items of greatest inner product for every row of ``users`` (user, features), user unique.
 
     ``items``: (item, features), item unique; ids are integers."""
-    blocks = index_items(items, block)
-    stats = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("ids")).alias("items")).first()
-    n_blocks, n_items = stats["blocks"], stats["items"] or 0
-    users = cut_lineage(users.select(F.col("user").cast("bigint").alias("user"),
-                                     F.coalesce("features", F.array()).cast("array<double>").alias("features"))
-                        .withColumn("length", _length(F.col("features"))))
-    n_users = users.count()
-    open_users = users.withColumn("least", F.lit(float("-inf")))
-    best, out = None, TopItems(users.sparkSession.createDataFrame([], FOUND + ", rank int"), 0, n_users * n_items)
-    n_open, low, size = n_users, 0, 1
-    while low < n_blocks and n_open and n > 0:
-        high = min(n_blocks, low + size)
-        groups = (open_users.groupBy(F.pmod(F.xxhash64("user"), F.lit(max(1, -(-n_open // group)))).alias("g"))
-                  .agg(F.collect_list(F.struct("user", "least", "length", "features")).alias("m"))
-                  .select(F.col("m.user").alias("users"), F.col("m.least").alias("least"), F.col("m.length").alias("lengths"),
-                          F.col("m.features").alias("features"), F.explode(F.sequence(F.lit(low), F.lit(high - 1))).alias("block")))
-        found = _score(groups.join(blocks.where(F.col("block").between(low, high - 1)), "block"), n)
-        best = cut_lineage(_best(found if best is None else best.drop("rank").unionByName(found), n))
-        offered = n_open * (min(high * block, n_items) - low * block)
-        out.scored += offered
-        out.rounds.append((low, high, n_open))
-        low, size = high, size * 2
-        if low < n_blocks:
-            bound = blocks.where(F.col("block") == low).first()["top"]
-            full = best.groupBy("user").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
-            open_users = cut_lineage(users.join(full.select("user", F.col("least")), "user", "left")
-                                     .withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-                                     .where(F.col("length") * bound * (1 + SLACK) + SLACK >= F.col("least")))
-            n_open = open_users.count()
-    if best is not None:
-        out.rows = best
+    rank = max(1, _rank(users), _rank(items))
+    items, users = cut_lineage(_padded(items, "item", rank)), cut_lineage(_padded(users, "user", rank))
+    n_users, n_items = users.count(), items.count()
+    out = TopItems(users.sparkSession.createDataFrame([], FOUND + ", rank int"), 0, n_users * n_items)
+    if not (n_users and n_items and n > 0):
+        return out
+    blocks, boxes = index_items(items, rank, n, block, wide)
+    n_wide = boxes.count()
+    searched = cut_lineage(_neighbours(users.where("length > 0"), "user", rank, True, group, "g"))
+
+    def groups(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("user", "least", "length", "features"))).alias("m"))
+                .select("g", F.col("m.user").alias("users"), F.col("m.least").alias("least"), F.col("m.length").alias("lengths"),
+                        F.col("m.features").alias("features")))
+
+    def found(offers: DataFrame) -> DataFrame:
+        seen = Observation()
+        pairs = offers.join(blocks, "block").observe(
+            seen, F.sum(F.size("users").cast("bigint") * F.size("ids")).alias("pairs"))
+        rows = cut_lineage(_score(pairs, n))
+        out.rounds.append(seen.get["pairs"] or 0)
+        return rows
+
+    plain = cut_lineage(groups(searched.withColumn("least", F.lit(float("-inf")))))
+    every = plain.withColumn("wide", F.explode(F.sequence(F.lit(0), F.lit(n_wide - 1))))
+    seeds = cut_lineage(_seeds(every.join(boxes, "wide")))
+    first = cut_lineage(_best(found(_offers(plain.join(seeds, "g"), True, wide)), n))
+    full = first.where(F.col("rank") == n).select("user", F.col("score").alias("least"))
+    open_users = searched.join(full, "user", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    more = found(_offers(groups(open_users).join(seeds, "g").join(boxes, "wide"), False, wide))
+    lists = _best(first.drop("rank").unionByName(more), n)
+    zero = users.where("length = 0").select("user", "length")
+    if not zero.isEmpty():
+        lowest = global_row_number(items.orderBy("item").limit(n).select("item", F.lit(0.0).alias("length")), [F.col("item").asc()], "rank")
+        lists = lists.unionByName(zero.join(F.broadcast(lowest), "length").select(  # n rows
+            "user", "item", F.lit(0.0).alias("score"), F.col("rank").cast("int").alias("rank")))
+    out.rows = cut_lineage(lists)
+    out.scored = sum(out.rounds)
     return out

@@ -78,3 +78,18 @@ def test_recommend_equals_the_library(spark):
         low[u] = min(s, low.get(u, s))
     for (u, i), s in mine.items():
         assert s == pytest.approx(theirs[u, i], abs=1e-5) if (u, i) in theirs else s == pytest.approx(low[u], abs=1e-5)
+
+
+def test_items_of_one_length_prune(spark):
+    """Lengths tell these items apart in nothing; their directions do."""
+    turn = [k * 2 * np.pi / 3000 for k in range(3000)]
+    items = [(i, [float(np.round(64 * np.cos(t))) / 8, float(np.round(64 * np.sin(t))) / 8]) for i, t in enumerate(turn)]
+    users = [(i, [float(np.round(40 * np.cos(t))) / 8, float(np.round(40 * np.sin(t))) / 8]) for i, t in enumerate(turn[::30])]
+    assert check(spark, users, items, 5, block=32, group=16, wide=16).share < 0.4
+
+
+def test_copies_of_one_vector_cost_n_items(spark):
+    items = [(i, [4.0, 1.0]) for i in range(1500, 0, -1)] + made(6, 64, 1)
+    items[-64:] = [(i + 2000, x[:2]) for i, x in items[-64:]]
+    found = check(spark, [(u, [1.0, u / 8]) for u in range(40)] + [(50, [0.0, 0.0])], items, 5, block=16)
+    assert found.scored <= 41 * (5 + 64)
