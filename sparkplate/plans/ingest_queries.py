@@ -27,7 +27,7 @@ def _folder(spark) -> str:
 
 
 def _json(df: DataFrame, path: str) -> str:
-    df.write.json(path)
+    df.write.json(path, compression="gzip")
     return path
 
 
@@ -115,9 +115,11 @@ def raw_datasets(s, d) -> str:
     """The five raw datasets as JSON lines, from the given tables."""
     folder = _folder(s)
     review = analogs.an_review(s, d)
-    for name, df in {"business": analogs.an_restaurant(s, d), "user": analogs.an_user(s, d), "review": review,
+    # tips are taken from the written reviews, so their join runs once
+    written = s.read.schema(review.schema).json(_json(review, f"{folder}/review.json"))
+    for name, df in {"business": analogs.an_restaurant(s, d), "user": analogs.an_user(s, d),
                      "checkin": analogs.an_photos(s, d).select("business_id", F.col("label").alias("date")),
-                     "tip": review.select("user_id", "business_id", "text", "date", F.col("cool").alias("compliment_count"))}.items():
+                     "tip": written.select("user_id", "business_id", "text", "date", F.col("cool").alias("compliment_count"))}.items():
         _json(df, f"{folder}/{name}.json")
     return folder
 
