@@ -19,10 +19,21 @@ from sparkplate.session import checkpoint_dir, cut_lineage
 MAIN_CONFIG = dict(rank=4, max_iter=4, reg=0.35, nonnegative=True, seed=42)
 ALT_CONFIG = dict(rank=12, max_iter=10, reg=0.1, nonnegative=False, seed=42)
 
-#: Factor blocks of users and of items. MLlib seeds its factors per block, so the number is
-#: part of the result: it is a fixed parameter, not taken from the cluster. A block holds
-#: all ratings of its users or items; raise it for more than some hundred million ratings.
+#: Least factor blocks of users and of items. MLlib seeds its factors per block, so the number is
+#: part of the result: it is taken from the ratings, not from the cluster. A block holds all
+#: ratings of its users or items, so above ``NUM_BLOCKS * BLOCK_RATINGS`` ratings there are more.
 NUM_BLOCKS = 10
+BLOCK_RATINGS = 25_000_000
+
+
+def _blocks(ratings: DataFrame, num_blocks: int | None) -> int:
+    return num_blocks or max(NUM_BLOCKS, -(-ratings.count() // BLOCK_RATINGS))
+
+
+def _training_rows(ratings: DataFrame, *cols: str) -> DataFrame:
+    """The three columns of the fit, written once: MLlib evaluates its input twice."""
+    checkpoint_dir(ratings.sparkSession)
+    return cut_lineage(ratings.select(*cols))
 
 
 def _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col, rating_col,
@@ -36,9 +47,9 @@ def _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col,
 def train_als(ratings: DataFrame, rank: int = MAIN_CONFIG["rank"], max_iter: int = MAIN_CONFIG["max_iter"],
               reg: float = MAIN_CONFIG["reg"], nonnegative: bool = True, seed: int = 42, cold_start: str = "drop",
               user_col: str = "userid", item_col: str = "businessid", rating_col: str = "stars",
-              num_blocks: int = NUM_BLOCKS) -> ALSModel:
+              num_blocks: int | None = None) -> ALSModel:
     """M4: explicit-feedback ALS; defaults are the reference's main configuration."""
-    checkpoint_dir(ratings.sparkSession)
+    num_blocks = _blocks(ratings := _training_rows(ratings, user_col, item_col, rating_col), num_blocks)
     return _als(rank, max_iter, reg, nonnegative, seed, cold_start, user_col, item_col,
                 rating_col, num_blocks).fit(ratings)
 
@@ -46,9 +57,9 @@ def train_als(ratings: DataFrame, rank: int = MAIN_CONFIG["rank"], max_iter: int
 def train_als_pipeline(ratings: DataFrame, rank: int = ALT_CONFIG["rank"],
                        max_iter: int = ALT_CONFIG["max_iter"], reg: float = ALT_CONFIG["reg"],
                        seed: int = 42, user_col: str = "userid", item_col: str = "businessid",
-                       rating_col: str = "stars", num_blocks: int = NUM_BLOCKS) -> PipelineModel:
+                       rating_col: str = "stars", num_blocks: int | None = None) -> PipelineModel:
     """M4, second configuration: ALS as the single stage of a ``Pipeline``."""
-    checkpoint_dir(ratings.sparkSession)
+    num_blocks = _blocks(ratings := _training_rows(ratings, user_col, item_col, rating_col), num_blocks)
     als = _als(rank, max_iter, reg, False, seed, "drop", user_col, item_col, rating_col,
                num_blocks)
     return Pipeline(stages=[als]).fit(ratings)
