@@ -67,9 +67,11 @@ def _rank(df: DataFrame) -> int:
 
 
 def _padded(df: DataFrame, key: str, rank: int) -> DataFrame:
-    """(key, features, length): doubles, with zeros for what is missing of ``rank`` dimensions."""
+    """(key, features, length): doubles, with zeros for what is missing of ``rank`` dimensions.
+    A vector that holds a null or NaN has no scores, so its row is left out."""
+    unknown = F.coalesce(F.exists("features", lambda x: x.isNull() | F.isnan(x.cast("double"))), F.lit(False))
     values = F.array(*[F.coalesce(F.get("features", F.lit(j)).cast("double"), F.lit(0.0)) for j in range(rank)])
-    return df.select(F.col(key).cast("bigint").alias(key), values.alias("features")).withColumn("length", _length(F.col("features")))
+    return df.where(~unknown).select(F.col(key).cast("bigint").alias(key), values.alias("features")).withColumn("length", _length(F.col("features")))
 
 
 def _neighbours(df: DataFrame, key: str, rank: int, unit: bool, size: int, out: str) -> DataFrame:

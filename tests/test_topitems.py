@@ -93,3 +93,10 @@ def test_copies_of_one_vector_cost_n_items(spark):
     items[-64:] = [(i + 2000, x[:2]) for i, x in items[-64:]]
     found = check(spark, [(u, [1.0, u / 8]) for u in range(40)] + [(50, [0.0, 0.0])], items, 5, block=16)
     assert found.scored <= 41 * (5 + 64)
+
+
+def test_vectors_with_nulls_have_no_scores(spark):
+    users, items = [(1, [1.0, 2.0]), (2, [3.0, 1.0])], [(i, [i / 8, 1.0]) for i in range(40)]
+    odd = spark.createDataFrame(items + [(50, [None, 99.0]), (51, [99.0, float("nan")])], ITEMS)
+    rows = T.top_items(spark.createDataFrame([*users, (3, [None, 1.0])], USERS), odd, 3, block=8).rows.collect()
+    assert sorted(map(tuple, rows)) == scan(users, items, 3)
