@@ -78,8 +78,9 @@ def list_namespaces(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, ns: str) -> DataFrame:
-    """Tables and views by their names, without the stored versions behind them."""
-    return spark.sql(f"SHOW TABLES IN {ns}").where(~F.col("tableName").rlike(VERSION + "$"))
+    """Tables and views by their names, without the stored versions behind them and without
+    session views, which are in no namespace but are shown in every one."""
+    return spark.sql(f"SHOW TABLES IN {ns}").where(~F.col("isTemporary") & ~F.col("tableName").rlike(VERSION + "$"))
 
 
 def publish_view(spark: SparkSession, source: DataFrame | str, name: str) -> None:

@@ -101,3 +101,8 @@ def test_metrics_of_a_write_need_no_further_scan(spark, ns):
     stored = K.read_table(spark, f"{ns}.observed")
     assert seen == {"rows": Q.row_count(stored).first()[0], "nulls": Q.check_not_null(stored, "k").count()} == {"rows": 1000, "nulls": 100}
     assert K.write_table(source, f"{ns}.observed") == {}
+
+
+def test_session_views_are_in_no_namespace(spark, ns):
+    K.publish_view(spark, numbers(spark, 3), "elsewhere.shown")
+    assert "elsewhere_shown" not in {r.tableName for r in K.list_tables(spark, ns).collect()}
