@@ -12,9 +12,11 @@ construction, only the suffixes at cover positions enter a sort, block by block:
 * Blocks: the surviving cover suffixes are dealt by rank (hash) with the bytes of the
   strings they stand for; sorted by Spark, the blocks stream through a task and each is
   sorted on its own by a 64-bit hash. Equal strings meet, their bytes are compared, and all
-  but those of the smallest id are marked. A rank held by more than ``HOT`` texts is dealt
-  into several blocks by text; strings unmarked in their block are then sorted by their
-  bytes across blocks, and one sweep marks all but the first id of equal ones.
+  but those of the smallest id are marked. A rank held more than ``HOT`` times is dealt into
+  several blocks by the bytes around it. Of equal bytes only those of the smallest id enter a
+  block, the others are marked whole: most of them in the task that cut them, the rest as the
+  sorted block streams by. Strings unmarked in their block are then sorted by their bytes
+  across blocks, and one sweep marks all but the first id of equal ones.
 
 Exact copies of a smaller document are settled by digest before. Texts travel compressed.
 
@@ -26,8 +28,11 @@ character that was cut in two are dropped.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +41,10 @@ from sparkplate.llm.common import documents, materialise
 
 WINDOW, GRAM = 50, 24
 SPAN = WINDOW - GRAM + 1  # grams in a window
+_RANGE = ["doc", "nth", "start", "stop"]
+_LENGTH_BITS = (WINDOW + SPAN).bit_length()
 HOT, SEGMENT, SLICE = 4096, 1 << 19, 1 << 14
+SEEN = 100_000  # bytes around hot ranks that a task remembers
 _U = np.uint64
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256).astype(np.uint64) * _U(2) + _U(1)
 _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -176,11 +184,14 @@ def _packed(named: DataFrame, *more: str) -> DataFrame:
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """(key, block, hot, doc, nth, first, bytes): the strings each shared cover suffix stands for."""
-    names = ["key", "block", "hot", "doc", "nth", "first", "bytes"]
+    """(key, block, hot, doc, nth, first, stop, bytes): the strings each shared cover suffix stands
+    for. Bytes of a hot rank that the task has seen with a smaller id are left out: all strings
+    from ``first`` to ``stop`` are marked already."""
+    names = ["key", "block", "hot", "doc", "nth", "first", "stop", "bytes"]
 
     def cut(batches):
         big = zstandard.ZstdDecompressor()
+        seen: dict[tuple[int, bytes], int] = {}
         for batch in batches:
             rows = batch.to_pylist()
             wanted = [np.array(r["keys"], np.int64) for r in rows]
@@ -192,19 +203,33 @@ def _suffixes(texts: DataFrame) -> DataFrame:
                 bounds = np.searchsorted(part, np.arange(len(parts) + 1))
                 for (i, raw, at), a, b in zip(parts, bounds[:-1], bounds[1:]):
                     keep = a + np.flatnonzero(np.isin(key[a:b], wanted[i]))
-                    blocks = [hot[i].get(k, 1) for k in key[keep].tolist()] if hot[i] else [1] * len(keep)
+                    stop = np.ma.masked_all(len(keep), np.int64)
+                    doc, strings = rows[i]["doc"], [raw[x:y + WINDOW] for x, y in zip(first[keep].tolist(), last[keep].tolist())]
+                    blocks = np.zeros(len(keep), np.int32)
+                    is_hot = np.isin(key[keep], list(hot[i]))
+                    for j in np.flatnonzero(is_hot).tolist():
+                        name = int(key[keep[j]]), strings[j]
+                        if seen.setdefault(name, doc) < doc:
+                            blocks[j], strings[j] = (doc * 0x9E3779B1 >> 16) % hot[i][name[0]], None
+                            stop[j] = last[keep[j]] + WINDOW + at
+                        else:
+                            blocks[j], seen[name] = zlib.crc32(strings[j]) % hot[i][name[0]], doc
+                    if len(seen) > SEEN:
+                        seen.clear()
                     out[0].append(key[keep])
-                    out[1].append(np.array([(rows[i]["doc"] * 0x9E3779B1 + rows[i]["nth"] >> 16) % n for n in blocks], np.int32))
-                    out[2].append(np.array(blocks, np.int32) > 1)
-                    out[3].append(np.full(len(keep), rows[i]["doc"], np.int64))
+                    out[1].append(blocks)
+                    out[2].append(is_hot)
+                    out[3].append(np.full(len(keep), doc, np.int64))
                     out[4].append(np.full(len(keep), rows[i]["nth"], np.int32))
                     out[5].append(first[keep] + at)
-                    out[6] += [raw[x:y + WINDOW] for x, y in zip(first[keep].tolist(), last[keep].tolist())]
-                if out[6]:
+                    out[6].append(stop)
+                    out[7] += strings
+                if out[7]:
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.concatenate(c)) for c in out[:6]), pa.array(out[6], pa.binary())], names)
+                        [*(pa.array(np.concatenate(c)) for c in out[:6]), pa.array(np.ma.concatenate(out[6])),
+                         pa.array(out[7], pa.binary())], names)
 
-    return texts.mapInArrow(cut, "key bigint, block int, hot boolean, doc bigint, nth int, first bigint, bytes binary")
+    return texts.mapInArrow(cut, "key bigint, block int, hot boolean, doc bigint, nth int, first bigint, stop bigint, bytes binary")
 
 
 def _strings(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -271,10 +296,38 @@ def _runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[new], place[new], place[last]
 
 
-def _whole_blocks(batches):
-    """Tables of whole blocks, about SLICE suffixes or one block each, from sorted batches."""
+def _new_bytes(batches, aside: list):
+    """The rows whose strings are not all held by a smaller id with equal bytes in the block, from
+    batches in which hot rows are sorted by bytes and id. The byte ranges of the others go ``aside``."""
+    held, least = None, None
+    for batch in batches:
+        known = np.array(pc.is_null(batch.column("bytes")))
+        hot = np.array(batch.column("hot")) & ~known
+        if hot.any():
+            columns = [batch.column(c).to_numpy() for c in ("key", "block", "doc")]
+            at = np.flatnonzero(hot)
+            key, block, doc = (c[at].tolist() for c in columns)
+            for j, *name, d, s in zip(at.tolist(), key, block, doc, batch.column("bytes").take(pa.array(at)).to_pylist()):
+                if (name, s) != held:
+                    held, least = (name, s), d
+                known[j] = d > least
+        if known.any():
+            some = batch.filter(pa.array(known))
+            length = pc.cast(pc.binary_length(some.column("bytes")), pa.int64())
+            stop = pc.coalesce(some.column("stop"), pc.add(some.column("start"), length))
+            aside.append(pa.RecordBatch.from_arrays(
+                [*(some.column(c) for c in _RANGE[:3]), stop, pa.nulls(some.num_rows, pa.binary())], [*_RANGE, "s"]))
+            batch = batch.filter(pa.array(~known))
+        yield batch
+
+
+def _whole_blocks(batches, aside: list = ()):
+    """Tables of whole blocks, about SLICE suffixes or one block each, from sorted batches; an
+    empty one where something lies ``aside`` for the caller to take."""
     held, size = [], 0
     for batch in batches:
+        if aside:
+            yield pa.Table.from_batches([batch.slice(0, 0)])
         held.append(batch)
         size += batch.num_rows
         if size < SLICE:
@@ -293,11 +346,16 @@ def _whole_blocks(batches):
 def _sort_blocks(suffixes: DataFrame) -> DataFrame:
     """(doc, nth, start, stop, s): byte ranges marked within their block, where ``s`` is null;
     and the unmarked strings of hot ranks, with their bytes."""
-    names = ["doc", "nth", "start", "stop", "s"]
+    names = [*_RANGE, "s"]
 
     def sort(batches):
-        for held in _whole_blocks(batches):
-            hot, doc, nth, first = (held.column(c).to_numpy() for c in ("hot", "doc", "nth", "first"))
+        aside: list = []
+        for held in _whole_blocks(_new_bytes(batches, aside), aside):
+            yield from aside
+            aside.clear()
+            if not held.num_rows:
+                continue
+            hot, doc, nth, first = (held.column(c).to_numpy() for c in ("hot", "doc", "nth", "start"))
             data, h, row, place, at = _strings(held.column("bytes").to_pylist())
             marked, rest = _marked(data, h, at, doc[row])
             r, x, y = _runs(row[marked], place[marked])
@@ -310,8 +368,10 @@ def _sort_blocks(suffixes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[r]), pa.array(nth[r]), pa.array(first[r] + x), pa.array(first[r] + x + WINDOW),
                      pa.array([w.tobytes() for w in _windows(data, at[some])], pa.binary())], names)
+        yield from aside
 
-    return (suffixes.repartition("key", "block").sortWithinPartitions("key", "block")
+    of_hot = [F.when(F.col("hot"), F.col(c)) for c in ("bytes", "doc")]
+    return (suffixes.withColumnRenamed("first", "start").repartition("key", "block").sortWithinPartitions("key", "block", *of_hot)
             .mapInArrow(sort, "doc bigint, nth int, start bigint, stop bigint, s binary"))
 
 
@@ -328,8 +388,8 @@ def _across_blocks(strings: DataFrame) -> DataFrame:
                 later.append(doc > least)
             yield batch.filter(pa.array(later, pa.bool_())).select([0, 1, 2, 3])
 
-    return (strings.select("doc", "nth", "start", "stop", "s").repartition("s").sortWithinPartitions("s", "doc")
-            .mapInArrow(sweep, "doc bigint, nth int, start bigint, stop bigint"))
+    return (strings.select("doc", "nth", "start", "length", "s").repartition("s").sortWithinPartitions("s", "doc")
+            .mapInArrow(sweep, "doc bigint, nth int, start bigint, length int"))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -351,12 +411,21 @@ def removals(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("n") / HOT).cast("int").alias("blocks")
     sets = (_shared(named).groupBy("dig").agg(F.collect_set("key").alias("keys"), F.collect_set(
         F.when(F.col("n") > HOT, F.struct("key", blocks))).alias("hot")).join(heads, "dig"))
+    length = (F.col("stop") - F.col("start")).cast("int").alias("length")
     sorted_blocks = materialise(_sort_blocks(_suffixes(
-        _packed(named).join(sets, ["doc", "dig"]).select("doc", "nth", "raw", "keys", "hot"))), "ranges")
+        _packed(named).join(sets, ["doc", "dig"]).select("doc", "nth", "raw", "keys", "hot"))).select(
+            "doc", "nth", "start", length, "s"), "ranges")
     ranges = (sorted_blocks.where("s IS NULL").drop("s")
               .unionByName(_across_blocks(sorted_blocks.where("s IS NOT NULL"))))
-    spans = F.collect_set(F.struct("start", "stop")).alias("spans")
-    marked = ranges.groupBy("doc", "nth").agg(spans).join(heads, ["doc", "nth"]).select("doc", "dig", "spans")
+    # one number a range while they are gathered: none is longer than the strings of a cover place
+    packed = F.collect_set(F.shiftleft("start", _LENGTH_BITS) + F.col("length")).alias("spans")
+
+    def span(x):
+        start = F.shiftright(x, _LENGTH_BITS)
+        return F.struct(start.alias("start"), (start + x.bitwiseAND(F.lit((1 << _LENGTH_BITS) - 1))).alias("stop"))
+
+    marked = (ranges.groupBy("doc", "nth").agg(packed).join(heads, ["doc", "nth"])
+              .select("doc", "dig", F.transform("spans", span).alias("spans")))
     whole = copies.select("doc", "dig", F.array(F.struct(F.lit(0).cast("bigint").alias("start"),
                                                          F.col("n_bytes").alias("stop"))).alias("spans"))
     return materialise(marked.unionByName(whole), "removals")

@@ -218,6 +218,24 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot, segment, odd_rows):
         ((r[0], None if r[1] is None else w[0].decode("utf-8", "ignore")) for r, w in zip(rows, want)), key=key)
 
 
+def test_repeats_of_a_hot_passage_are_marked_within_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(600)
+    rows = [(i, text(80) + passage, "en", "s") for i in range(200)]
+    monkeypatch.setattr(substrings, "HOT", 3)
+    swept, sweep = [], substrings._across_blocks
+    monkeypatch.setattr(substrings, "_across_blocks", lambda s: (swept.append(sweep(s).count()), sweep(s))[1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # eight tasks hold the blocks
+    try:
+        rows_out = substrings._cut(frame(spark, rows), ["doc_id"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {r["doc_id"]: (bytes(r["_kept"]), r["_removed"], r["_spans"]) for r in rows_out}
+    assert got == {r[0]: w for r, w in zip(rows, brute.cut_repeats([r[:2] for r in rows]))}
+    assert swept[0] < 550, swept  # strings of the passage, each in up to eight tasks
+
+
 def test_repeats_empty_table(none):
     assert substrings.remove_repeats(none).count() == 0
 
