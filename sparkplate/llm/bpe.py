@@ -8,11 +8,11 @@ would be searched from its start). The tables reach the plan as a one-row scalar
 which keeps their values out of plan texts and in compact form.
 
 The words of a corpus are counted in full; the most frequent, at most ``HEAD`` of them
-(a fixed bound, some megabytes), are folded once and become a second constant table. A text
-is split by the pattern; each word takes its ids from the head table, and a word outside
-it is folded in place. So no text, word or id is shuffled after the count, and hot words
-cost one look-up. Decoding looks every id up in a constant table of byte strings and
-concatenates them.
+(a fixed bound, some megabytes), are folded once by Spark and shipped to the tasks. Spark
+splits the texts; a task takes the ids of each word from the head, and folds a word outside
+it once, by the same merges in the same order, and keeps its ids (``Known``). So no text,
+word or id is shuffled after the count, and a word costs one look-up. Decoding looks every
+id up in a constant table of byte strings and concatenates them.
 
 Defined cases: null or empty text has no ids; repeated rows and ids are encoded row by row;
 extra columns pass through ``encode``; an empty table has an empty head and no rows.
@@ -22,14 +22,25 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
+import heapq
+import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkplate.llm.common import documents, let, materialise
 
 HEAD = 1 << 18
+#: Characters of the longest word that is kept, in the head or by a task; longer ones are folded where they stand.
+KEPT = 64
+#: Words that a task looks up together.
+WORDS = 1 << 20
 #: Ranks lie below this; a look-up that finds no merge gives a value from here on.
 NONE = 1 << 20
 
@@ -153,33 +164,108 @@ def _fold(word: Column, t: Column, slots: tuple[int, int]) -> Column:
         F.slice(ids, 2, F.size(ids)), pair(ids), step, lambda s: s["ids"]))
 
 
+def fold_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: always merge the lowest-ranked pair, the leftmost of equal ones.
+
+    A pair is named by its place and end, which only grow. The heap keeps long words at
+    ``n log n`` steps; a word that is a token is its own id, as in the library.
+    """
+    n = len(word)
+    if word in ranks:
+        return [ranks[word]]
+    end, before = [*range(1, n + 1)], [*range(-1, n)]  # of the piece that starts here; end 0: merged away
+    pairs = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
+    heapq.heapify(pairs)
+    while pairs:
+        _, i, stop = heapq.heappop(pairs)
+        middle = end[i]
+        if not middle or middle >= n or end[middle] != stop:
+            continue
+        end[i], end[middle], before[stop] = stop, 0, i
+        if stop < n and (r := ranks.get(word[i:end[stop]])) is not None:
+            heapq.heappush(pairs, (r, i, end[stop]))
+        if i and (r := ranks.get(word[before[i]:stop])) is not None:
+            heapq.heappush(pairs, (r, before[i], stop))
+    ids, i = [], 0
+    while i < n:
+        ids.append(ranks[word[i:end[i]]])
+        i = end[i]
+    return ids
+
+
+class Known(dict):
+    """A task's words and their ids, joined by commas: the head, and the words met outside it.
+
+    ``most`` bounds the words kept; beyond it those outside the head are forgotten, which
+    costs time only.
+    """
+
+    @classmethod
+    def of(cls, name: str, ranks: dict[bytes, int], head: bytes) -> Known:
+        """The worker's table of this name: Spark reuses Python workers, so later tasks find
+        the words of earlier ones."""
+        kept = sys.__dict__.setdefault("_sparkplate_words", {})
+        if name not in kept:
+            kept.clear()
+            kept[name] = cls(ranks, head)
+        return kept[name]
+
+    def __init__(self, ranks: dict[bytes, int], head: bytes, most: int = 400_000):
+        self.ranks, self.head, self.most = ranks, head, most
+        self.begin()
+
+    def begin(self) -> None:
+        self.clear()
+        if self.head:
+            self.update(zip(*(c.to_numpy() for c in pa.ipc.open_stream(self.head).read_all().columns)))
+        self.limit = len(self) + self.most
+
+    def __missing__(self, word: str) -> str:
+        ids = ",".join(map(str, fold_bytes(word.encode(), self.ranks)))
+        if len(word) <= KEPT:
+            if len(self) >= self.limit:
+                self.begin()
+            self[word] = ids
+        return ids
+
+    def told(self, words: pa.ListArray) -> Iterator[pa.Array]:
+        """Ids of each list of words, joined by commas; the lists are taken in runs of about
+        ``WORDS`` words, and each distinct word of a run is looked up once."""
+        starts = words.offsets.to_numpy()
+        a = 0
+        while a < len(words):
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + WORDS, "right")) - 1)
+            coded = words.values[starts[a]:starts[b]].dictionary_encode()
+            ids = pa.array([self[w] for w in coded.dictionary.to_numpy(zero_copy_only=False)], pa.string())
+            yield pc.binary_join(pa.ListArray.from_arrays(starts[a:b + 1] - starts[a], ids.take(coded.indices)), ",")
+            a = b
+
+
 class Encoder:
-    """Column expressions of one rank file, with an optional head of ready words.
+    """Encoding and decoding by one rank file, with an optional head of ready words.
 
-    The tables are one-row frames in the shared folder. ``bind`` puts them beside a frame's
-    columns as scalar subqueries; the expressions use each of them once, so the optimiser
-    takes the subquery into the expression and no row carries a table.
+    The tables of merges and pieces are one-row frames in the shared folder. ``bind`` puts
+    them beside a frame's columns as scalar subqueries; the expressions use each of them once,
+    so the optimiser takes the subquery into the expression and no row carries a table.
     """
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         self.pattern = java_pattern(pattern)
         moves, merges = _rank_table(path)
         self.slots = (len(moves), len(merges))
-        ranks = read_ranks(path)
+        self.ranks = ranks = read_ranks(path)
         pieces = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token.hex()
         self.tables = materialise(spark.createDataFrame(
             [(list(moves), list(merges), [ranks[bytes([b])] for b in range(256)], pieces)],
             "moves array<bigint>, merges array<bigint>, bytes array<bigint>, pieces array<string>"), "bpe-tables")
-        self.head, self.head_slots = None, (0, 0)
+        self.head = b""
 
     def bind(self, df: DataFrame) -> DataFrame:
         tables = [self.tables.select(F.struct("moves", "merges", "bytes")).scalar().alias("_merges"),
                   self.tables.select("pieces").scalar().alias("_pieces")]
-        if self.head is not None:
-            tables.append(self.head.select(F.struct("words", "ids", "moves")).scalar().alias("_head"))
-        return df.select(*[c for c in df.columns if c not in ("_merges", "_pieces", "_head")], *tables)
+        return df.select(*[c for c in df.columns if c not in ("_merges", "_pieces")], *tables)
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({self.pattern})"))
@@ -192,10 +278,10 @@ class Encoder:
         """Count all words of ``docs``, fold the most frequent ones and keep them as a table.
 
         The cut is a count such that at most ``head`` words reach it, read off the
-        histogram of counts, so only the head's words come to the driver.
+        histogram of counts, so only the head's words, of bounded length, come to the driver.
         """
         counts = materialise(docs.select(F.explode(self.words(F.col("text"))).alias("word"))
-                             .groupBy("word").agg(F.count("*").alias("n")), "words")
+                             .groupBy("word").agg(F.count("*").alias("n")), "words").where(F.length("word") <= KEPT)
         seen, least = 0, None
         for row in counts.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).limit(head).toLocalIterator():
             seen += row["c"]
@@ -205,42 +291,28 @@ class Encoder:
         if least is None:
             return
         chosen = counts.where(F.col("n") >= least).select("word").repartition("word")
-        chosen = materialise(self.bind(chosen).select("word", F.xxhash64("word").alias("h"), self.word_ids(F.col("word")).alias("ids")), "head")
-        h = np.array([r["h"] for r in chosen.select("h").collect()], np.int64).view(np.uint64)  # at most ``head``
-        buckets, slots = _sizes(len(h))
-        base, step = (h & np.uint64(slots - 1)).astype(np.int64), ((h >> np.uint64(24)) & np.uint64(NONE - 1) | np.uint64(1)).astype(np.int64)
-        bucket = (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
-        moves = _displace(bucket, base, step, buckets, slots)
-        spark = docs.sparkSession
-        move = materialise(spark.createDataFrame([(moves.tolist(),)], "moves array<bigint>"), "head-moves")
-        slot = let(F.col("_moves"), lambda m: self._head_slot(F.col("h"), m, buckets, slots))
-        placed = chosen.select("*", move.scalar().alias("_moves")).select("word", "ids", slot.alias("slot"))
-        # one row: the words in slot order, empty slots in between
-        every = spark.range(slots).select(F.col("id").cast("int").alias("slot"))
-        row = (every.join(placed, "slot", "left").groupBy().agg(F.sort_array(F.collect_list(F.struct(
-            "slot", F.coalesce("word", F.lit("")).alias("word"), F.coalesce("ids", F.lit("")).alias("ids")))).alias("r")))
-        row = row.select(F.col("r.word").alias("words"), F.col("r.ids").alias("ids")).withColumn("moves", move.scalar())
-        self.head, self.head_slots = materialise(row, "head-table"), (buckets, slots)
-
-    @staticmethod
-    def _head_slot(h: Column, moves: Column, buckets: int, slots: int) -> Column:
-        bucket = F.shiftrightunsigned(h, 65 - buckets.bit_length()).cast("int")
-        base, step = h.bitwiseAND(F.lit(slots - 1)), F.shiftright(h, 24).bitwiseAND(F.lit(NONE - 1)).bitwiseOR(F.lit(1))
-        return (base + F.get(moves, bucket) * step).bitwiseAND(F.lit(slots - 1)).cast("int")
-
-    def ids_text(self, text: Column) -> Column:
-        """Ids of a whole text of a bound frame, joined by commas."""
-        def fold(t: Column, w: Column) -> Column:
-            return F.array_join(_fold(w, t, self.slots), ",")
-
-        def known(t: Column, head: Column, w: Column) -> Column:
-            at = self._head_slot(F.xxhash64(w), head["moves"], *self.head_slots)
-            return let(at, lambda s: F.when(F.get(head["words"], s) == w, F.get(head["ids"], s)).otherwise(fold(t, w)))
-
-        if self.head is None:
-            return let(F.col("_merges"), lambda t: F.array_join(F.transform(self.words(text), lambda w: fold(t, w)), ","))
-        return let(F.col("_merges"), lambda t: let(F.col("_head"), lambda h: F.array_join(
-            F.transform(self.words(text), lambda w: known(t, h, w)), ",")))
+        found = self.bind(chosen).select("word", self.word_ids(F.col("word")).alias("ids")).toArrow()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, found.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(found)
+        self.head = sink.getvalue().to_pybytes()
+
+    def told(self, df: DataFrame, *own: str) -> DataFrame:
+        """The columns ``own`` of ``df`` and ``_told``, the ids of the whole ``text``, joined by commas."""
+        ranks, head = self.ranks, self.head
+        name = hashlib.sha256(repr(sorted(ranks.items())).encode() + head).hexdigest()
+        split = df.select(*own, self.words(F.col("text")).alias("_told"))
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = Known.of(name, ranks, head)
+            for b in batches:
+                at = 0
+                for ids in known.told(b.column(len(own))):
+                    rows = b.slice(at, len(ids))
+                    yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], [*own, "_told"])
+                    at += len(ids)
+
+        return split.mapInArrow(look_up, StructType([*split.schema.fields[:-1], StructField("_told", StringType())]))
 
     def decoded(self, ids: Column) -> Column:
         """Bytes of an array of ids of a bound frame: their binary pieces one after the other."""
@@ -254,9 +326,8 @@ def ids_of(ids_text: Column) -> Column:
 
 def encode(docs: DataFrame, encoder: Encoder) -> DataFrame:
     """``docs`` plus ``ids``, the token ids of ``text``."""
-    own = [c for c in docs.columns if c != "ids"]
-    told = encoder.bind(docs.select(*own)).select(*own, encoder.ids_text(F.col("text")).alias("_told"))
-    return told.select(*own, ids_of(F.col("_told")).alias("ids"))
+    own = [c for c in docs.columns if c not in ("ids", "_told")]
+    return encoder.told(docs, *own).select(*own, ids_of(F.col("_told")).alias("ids"))
 
 
 def decode(encoded: DataFrame, encoder: Encoder) -> DataFrame:
@@ -271,7 +342,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     encoder = Encoder(spark, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     encoder.learn(docs)
-    told = encoder.bind(docs).select("doc_id", encoder.ids_text(F.col("text")).alias("told"))
+    told = encoder.told(docs, "doc_id").withColumnRenamed("_told", "told")
     back = decode(told.select("doc_id", "told", ids_of(F.col("told")).alias("ids")), encoder)
     return back.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("told", 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -210,6 +210,43 @@ def test_bpe_folds_runs_and_random_words(spark, library):
     assert all(got[t] == library.encode_ordinary(t) for t in texts)
 
 
+def test_bpe_folds_a_word_once_a_task(library, monkeypatch):
+    """F op7: a word outside the head was folded at each of its places."""
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    folded, fold = [], bpe.fold_bytes
+    monkeypatch.setattr(bpe, "fold_bytes", lambda word, r: folded.append(word) or fold(word, r))
+    lists = [[" zqxv", " wjk", " zqxv"], [], [" zqxv", "ñ漢"], [" wjk", "y" * 100, "y" * 100]]
+    want = [",".join(str(i) for w in ws for i in library.encode_ordinary(w)) for ws in lists]
+
+    def told(known, words):
+        return [x for part in known.told(words) for x in part.to_pylist()]
+
+    known, column = bpe.Known(ranks, b""), pa.array([["a"], *lists], pa.list_(pa.string())).slice(1)
+    assert told(known, column) == want
+    assert len(folded) == 3 + 1  # four distinct words
+    assert told(known, pa.array(lists, pa.list_(pa.string()))) == want
+    assert sorted(set(folded)) == sorted({w.encode() for ws in lists for w in ws})
+    assert len(folded) == 3 + 2  # words longer than KEPT are not kept
+    monkeypatch.setattr(bpe, "WORDS", 2)
+    assert told(bpe.Known(ranks, b"", most=1), column) == want  # forgets words, not ids
+    assert told(known, column.slice(0, 0)) == []
+
+
+def test_bpe_folds_bytes_as_library(library):
+    import random
+
+    import public_tokenizers as P
+
+    ranks, rng = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), random.Random(11)
+    words = ["a" * n for n in (1, 2, 3, 64, 333)] + ["=" * 200, "漢" * 40, "\x85", "́"]
+    words += ["".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 40))) for _ in range(500)]
+    for w in words:
+        assert bpe.fold_bytes(w.encode(), ranks) == library._core_bpe.encode_single_piece(w.encode()), w
+
+
 def test_bpe_empty_table(spark, none):
     encoder = _encoder(spark)
     encoder.learn(none)
