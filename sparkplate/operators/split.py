@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkplate.operators.select import Front, Key
-from sparkplate.session import cut_lineage
+from sparkplate.session import cut_lineage, shuffle_tasks
 
 RATING_COLUMNS = ["business_id", "user_id", "stars", "date", "userid", "businessid"]
 #: O1: latest first, ties by user, item and stars.
@@ -60,17 +60,26 @@ def users_never_in(rows: DataFrame, users: DataFrame) -> DataFrame:
         F.col("_uid").isNull()).drop("_uid")
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """The distinct rows of a table, counted first. Spark merges partitions by compressed bytes, of which such
-    rows have few; a table of many rows is dealt out by all columns to tasks of ``ROWS_PER_TASK``."""
-    tasks = -(-df.count() // ROWS_PER_TASK)
+def tasks_of(rows: int) -> int:
+    return -(-rows // ROWS_PER_TASK)
+
+
+def distinct_rows(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The distinct rows of a table of about ``rows``, which are counted if not given. Spark merges partitions by
+    compressed bytes, of which such rows have few; a table of many rows is dealt out by all columns to tasks of
+    ``ROWS_PER_TASK``."""
+    tasks = tasks_of(df.count() if rows is None else rows)
     return (df.repartition(tasks, *df.columns) if tasks > df.sparkSession.sparkContext.defaultParallelism else df).distinct()
 
 
 def time_split(ratings: DataFrame, ratio: float = 0.3, swap: float = 0.3, seed: int = 42,
-               num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """M3: ``(train, test)`` with ``userid``, ``businessid``, ``stars`` cast to int."""
-    d = cut_lineage(distinct_rows(ratings.select(*RATING_COLUMNS)))
+               num_partitions: int | None = None, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """M3: ``(train, test)`` with ``userid``, ``businessid``, ``stars`` cast to int. ``rows``, the number
+    of ratings as far as it is known, sets the number of tasks only; without it they are counted."""
+    spark, ratings = ratings.sparkSession, ratings.select(*RATING_COLUMNS)
+    rows = ratings.count() if rows is None else rows
+    with shuffle_tasks(spark, tasks_of(rows)):  # the joins that make the ratings run here too
+        d = cut_lineage(distinct_rows(ratings, rows))
     front = Front(d, LATEST, num_partitions=num_partitions)
     n = int(Fraction(front.total) * Fraction(str(ratio)))
     late, bound = front.first(n), share_bound(swap)

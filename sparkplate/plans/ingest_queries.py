@@ -16,7 +16,7 @@ from sparkplate.operators import split as SP
 from sparkplate.plans import registry as G
 from sparkplate.plans.pipeline import run_pipeline
 from sparkplate.plans.sqlviews import with_views
-from sparkplate.session import checkpoint_dir, cut_lineage
+from sparkplate.session import checkpoint_dir, cut_lineage, shuffle_tasks
 from sparkplate.sources import analogs
 from sparkplate.sources import raw as Rw
 from sparkplate.sources.catalog import ensure_namespace, list_tables, write_table
@@ -86,8 +86,10 @@ def als_saved_model(s, d):
     keys = ["userid", "businessid", "stars", "date"]
     before = M.predict(model, test).select(*keys, F.col("prediction").alias("_before"))
     after = M.predict(M.load_model(path), test).select(*keys, "prediction")
-    return before.join(after, keys).agg(
+    both = before.join(after, keys).agg(
         F.count(F.lit(1)).alias("predicted"), F.count_if(~F.col("_before").eqNullSafe(F.col("prediction"))).alias("changed"))
+    with shuffle_tasks(s, SP.tasks_of(test.count())):
+        return cut_lineage(both)
 
 
 @G.query("als_training_errors", with_views(G._TRAINED + """SELECT (SELECT count(*) FROM tr) AS training_nrows,
