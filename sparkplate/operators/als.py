@@ -90,10 +90,13 @@ def recommend(model: ALSModel, users: DataFrame, n: int | None = None, user_col:
     Lists come from the index of the item factors in boxes (``topitems``), so a user is not
     scored against items that cannot enter the list; ties go to the smaller item id.
     """
-    asked = users.select(user_col).distinct()
     if count_col:
         want = F.coalesce(F.max(count_col), F.lit(5))
         asked = users.groupBy(user_col).agg((want if n is None else F.least(want, F.lit(n))).alias("_want"))
+    else:
+        asked = users.select(user_col).distinct()
+    asked = cut_lineage(asked)  # read up to four times
+    if count_col:
         if n is None:  # no list is longer than the items, so a huge request needs no more room
             n = max(1, min(asked.agg(F.max("_want")).first()[0] or 0, model.itemFactors.count()))
     n = 5 if n is None else n
