@@ -205,8 +205,10 @@ class _Slice:
 
     def lists(self, u: np.ndarray, lengths: np.ndarray, least: np.ndarray, n: int, pairs: list[int]) -> tuple:
         """(row of ``u``, item, score, rank): up to ``n`` items of each user that score ``least`` or more; adds the pairs
-        scored to ``pairs``: those of the users' first blocks, and the others."""
-        least, best, found, held = least.copy(), np.full((len(u), n), -np.inf), [], 0
+        scored to ``pairs``: those of the users' first blocks, and the others. The least score rises with each block; for
+        lists longer than a block whenever the scores held are ranked."""
+        least, found, held = least.copy(), [], 0
+        best = np.full((len(u), n), -np.inf) if n <= self.block else None
 
         def ranked() -> tuple:
             who, ids, score = (np.concatenate([f[j] for f in found]) for j in range(3))
@@ -214,6 +216,7 @@ class _Slice:
             order = live[np.lexsort((ids[live], -score[live], who[live]))]
             who, ids, score = who[order], ids[order], score[order]
             rank = np.arange(len(who)) - np.searchsorted(who, who) + 1
+            least[who[rank == n]] = score[rank == n]
             return tuple(x[rank <= n] for x in (who, ids, score, rank))
 
         def offer(block: int, who: np.ndarray, kind: int) -> None:
@@ -225,10 +228,11 @@ class _Slice:
             if not len(some):
                 return
             got, who = got[some], who[some]
-            few = min(n, got.shape[1])
-            both = np.concatenate([best[who], np.partition(got, got.shape[1] - few, axis=1)[:, got.shape[1] - few:]], axis=1)
-            best[who] = np.partition(both, both.shape[1] - n, axis=1)[:, both.shape[1] - n:]
-            least[who] = np.maximum(least[who], best[who, 0])
+            if best is not None:
+                few = min(n, got.shape[1])
+                both = np.concatenate([best[who], np.partition(got, got.shape[1] - few, axis=1)[:, got.shape[1] - few:]], axis=1)
+                best[who] = np.partition(both, both.shape[1] - n, axis=1)[:, both.shape[1] - n:]
+                least[who] = np.maximum(least[who], best[who, 0])
             a, c = np.nonzero(got >= least[who][:, None])
             found.append((who[a], self.ids[at][c], got[a, c]))
             held += len(a)

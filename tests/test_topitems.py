@@ -125,6 +125,12 @@ def test_several_slices_equal_a_full_scan(spark, n, block, wide, signs):
     check(spark, half(9, 40, signs) + [(90, [0.0]), (91, [0.0, signs[1] / 8])], items, n, block=block, wide=wide, group=16)
 
 
+def test_lists_longer_than_a_block_are_ranked_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(T, "HELD", 300)
+    check(spark, half(17, 20, (1, 1, 1, 1)), half(18, 400, (1, 1, 1, 1)), 30, block=8, wide=20)
+    check(spark, [(1, [0.0]), (2, None)], half(18, 40, (1, 1, 1, 1)), 3, block=8, wide=2)
+
+
 def test_slices_of_users_of_both_signs(spark):
     found = check(spark, made(12, 40, 1), made(13, 300, 1), 5, block=8, wide=4)
     assert found.scored < found.pairs
