@@ -308,10 +308,11 @@ def top_items(users: DataFrame, items: DataFrame, n: int = 5, block: int = BLOCK
 
     lists = found(groups(searched.withColumn("least", F.lit(float("-inf")))), 0)
     if n_slices > 1:
-        full = lists.where(F.col("rank") == n).select("user", F.col("score").alias("least"))
+        full = lists.where(F.col("rank") == n).groupBy("user").agg(F.max("score").alias("least"))
         opened = groups(searched.join(full, "user", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
         for number in range(1, n_slices):
             lists = lists.unionByName(found(opened, number))
+    if n_slices > 1 or users.select("user").distinct().count() < n_users:  # rows of a user that comes twice make one list
         lists = cut_lineage(_best(lists, n))
     zero = users.where("length = 0").select("user", "length")
     if not zero.isEmpty():

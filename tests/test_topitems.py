@@ -131,6 +131,18 @@ def test_lists_longer_than_a_block_are_ranked_in_parts(spark, monkeypatch):
     check(spark, [(1, [0.0]), (2, None)], half(18, 40, (1, 1, 1, 1)), 3, block=8, wide=2)
 
 
+@pytest.mark.parametrize("wide", [2, 64])
+def test_rows_of_a_user_that_comes_twice_make_one_list(spark, wide):
+    users, items = half(19, 12, (1, 1, 1, 1)), half(20, 120, (1, 1, 1, 1))
+    users, items = users + users[:4] + [(5, [4.0, 0.0, 0.5, 1.0])], items + items[::3]
+    got = T.top_items(spark.createDataFrame(users, USERS), spark.createDataFrame(items, ITEMS), 5, block=8, wide=wide).rows
+    want = []
+    for u in {u for u, _ in users}:
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for v, x in users if v == u for i, y in items)
+        want += [(u, i, -s, r + 1) for r, (s, i) in enumerate(scored[:5])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_slices_of_users_of_both_signs(spark):
     found = check(spark, made(12, 40, 1), made(13, 300, 1), 5, block=8, wide=4)
     assert found.scored < found.pairs
