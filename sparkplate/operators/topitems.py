@@ -132,8 +132,8 @@ def _swept(items: DataFrame, sign: np.ndarray, inverse: np.ndarray, margin: floa
     far = items.select("features").mapInArrow(reach, "k int, far double").groupBy("k").agg(
         F.get(F.sort_array(F.collect_list("far"), asc=False), F.lit(n - 1)).alias("far"))  # n values a task
     reached = np.full(len(inverse), -np.inf)
-    for r in far.where("far IS NOT NULL").collect():  # a row a corner
-        reached[r.k] = r.far - margin
+    for k, value in far.where("far IS NOT NULL").agg(F.collect_list(F.struct("k", "far"))).first()[0]:  # a number a corner
+        reached[k] = value - margin
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,22 +147,21 @@ def _swept(items: DataFrame, sign: np.ndarray, inverse: np.ndarray, margin: floa
 
 def undominated(items: DataFrame, users: DataFrame, rank: int, n: int, enough: int) -> DataFrame:
     """The padded items without most of those that cannot enter a list of ``n``, in sweeps until ``enough`` are left; all of them
-    where users have factors of both signs."""
+    where users have factors of both signs. Directions are drawn around the items' mean; which they are has no part in the lists."""
     seen = users.where("length > 0").agg(*[f(F.col("features")[j]) for f in (F.min, F.max) for j in range(rank)]).first()
     if seen[0] is None or any(seen[j] < 0 < seen[rank + j] for j in range(rank)):
         return items
     sign = np.array([-1.0 if seen[j] < 0 else 1.0 for j in range(rank)])
-    longest, left = items.agg(F.max("length"), F.count(F.lit(1))).first()
+    spread = [f(F.col("features")[j]) for f in (F.avg, F.stddev_pop) for j in range(rank)]
+    before = None
     for corners in CORNERS:
-        if left <= enough or corners * n > PLACES:
+        left, longest, *stats = items.agg(F.count(F.lit(1)), F.max("length"), *spread).first()
+        if left <= enough or corners * n > PLACES or (before and left > 0.95 * before):
             break
-        drawn = items.orderBy(F.xxhash64("item"), "item").limit(corners).select("features").collect()
-        to = np.array([r.features for r in drawn]) * sign
+        mean, deviation = np.array(stats, float).reshape(2, rank)
+        to = mean * sign + deviation * np.random.default_rng(corners).standard_normal((corners, rank))
         to = np.where(to.max(axis=1, keepdims=True) > 0, np.maximum(to, 1e-3 * to.max(axis=1, keepdims=True)), 1.0)
-        items = _swept(items, sign, to.min(axis=1, keepdims=True) / to, SLACK * longest, n)
-        before, left = left, items.count()
-        if left > 0.95 * before:
-            break
+        items, before = _swept(items, sign, to.min(axis=1, keepdims=True) / to, SLACK * longest, n), left
     return items
 
 
